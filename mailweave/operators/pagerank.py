@@ -7,14 +7,16 @@ graph at once (``by``), each slice with its own node count and dangling mass:
 
 Layout, chosen so that the edges are shuffled once and not per iteration:
 
-* edges are hash-partitioned and sorted on (slice, source, part) and written to
-  the checkpoint folder; each iteration merges the ranks into them;
+* the edges are checkpointed, then hash-partitioned and sorted on (slice,
+  source, part) and cached; each iteration merges the ranks into them, so what
+  moves is one row per node, not one per edge;
 * a source with more edges than an average task holds is cut into parts by
   target, and its rank is sent to each part;
 * contributions are summed per task before they are shuffled on the target, so
   a target with very many sources costs one row per task;
+* the nodes are cached in the partitioning in which the sums arrive;
 * the ranks are checkpointed after every iteration: the plan stays short, and a
-  lost executor costs at most one iteration.
+  lost executor costs its cached blocks and at most one iteration.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ WHOLE = "_whole"
 # A source is never cut for fewer edges than this.
 MIN_PART_EDGES = 1_000_000
 
-# Up to this many slices, the per-slice totals are broadcast (about 50 bytes each).
-MAX_BROADCAST_SLICES = 100_000
+# Up to this many slices or large sources are broadcast (about 100 bytes each).
+MAX_BROADCAST_ROWS = 100_000
 
 # Parts per slice where there are more slices than that.
 SLICE_PARTS = 32
@@ -46,13 +48,27 @@ class RankState(NamedTuple):
     """A graph prepared for the loop, and the ranks reached so far."""
 
     edges: DataFrame  # slice…, src, part, dst, w
-    ranks: DataFrame  # slice…, id, out_weight, parts, rank
+    nodes: DataFrame  # slice…, id, out_weight, parts
+    ranks: DataFrame  # the nodes with their rank
     keys: list[str]  # the slice columns
     slices: int
 
+    def release(self) -> None:
+        """Drop the cached graph; checkpointed ranks stay readable."""
+        self.edges.unpersist()
+        self.nodes.unpersist()
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def _placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partitioned and sorted on the keys, and cached that way.
+
+    The number of partitions is the one joins and aggregations use, so that
+    neither has to move the rows again.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        df.repartition(count, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    )
 
 
 def start_ranks(
@@ -61,54 +77,43 @@ def start_ranks(
     by: Sequence[str] = (),
     part_edges: int | None = None,
 ) -> RankState:
-    """Partition the graph for the loop and give every node rank ``1 / n``.
+    """Place the graph for the loop and give every node rank ``1 / n``.
 
     A source gets one part per ``part_edges`` edges; the default is the average
     number of edges per shuffle partition.
     """
-    shared_folder(graph.sparkSession)
-    count = _partitions(graph)
+    spark = graph.sparkSession
+    shared_folder(spark)
     keys = list(by) or [WHOLE]
     slice_columns = [F.col(c) for c in by] or [F.lit(0).alias(WHOLE)]
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    edges = graph.select(*slice_columns, "src", "dst", w.alias("w")).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    edges = graph.select(*slice_columns, "src", "dst", w.alias("w")).checkpoint()
 
-    strength = node_strength(edges, keys, "w").persist(StorageLevel.MEMORY_AND_DISK)
+    strength = _placed(node_strength(edges, keys, "w"), [*keys, "id"])
     sizes = strength.groupBy(*keys).agg(
         F.count("*").alias("n"), F.sum("out_degree").alias("edges")
     )
     slices, total = sizes.agg(F.count("*"), F.coalesce(F.sum("edges"), F.lit(0))).first()
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if part_edges is None:
         part_edges = max(total // count, MIN_PART_EDGES)
     parts = F.greatest(F.ceil(F.col("out_degree") / part_edges), F.lit(1)).cast("int")
+    nodes = strength.withColumn("parts", parts).drop("out_degree")
 
-    ranks = (
-        _with_slice(strength.withColumn("parts", parts), sizes, keys, slices)
-        .select(*keys, "id", "out_weight", "parts", (1.0 / F.col("n")).alias("rank"))
-        .repartition(count, *keys, "id")
-        .sortWithinPartitions(*keys, "id")
-        .checkpoint()
-    )
     # Each large source holds more than part_edges of the total, so there are
-    # fewer than total / part_edges of them: at most one per shuffle partition.
-    large = strength.withColumn("parts", parts).where(F.col("parts") > 1)
-    large = large.select(*keys, F.col("id").alias("src"), "parts")
-    if total // part_edges <= max(count, MAX_BROADCAST_SLICES):
+    # fewer than total / part_edges of them: by default at most one per task.
+    large = nodes.where(F.col("parts") > 1).select(*keys, F.col("id").alias("src"), "parts")
+    if total // part_edges <= max(count, MAX_BROADCAST_ROWS):
         large = F.broadcast(large)
     part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")), F.lit(0)).cast("int")
-    placed = (
+    split = (
         edges.where(F.col("w") > 0)
         .join(large, [*keys, "src"], "left")
         .select(*keys, "src", part.alias("part"), "dst", "w")
-        .repartition(count, *keys, "src", "part")
-        .sortWithinPartitions(*keys, "src", "part")
-        .checkpoint()
     )
-    strength.unpersist()
-    edges.unpersist()
-    return RankState(placed, ranks, keys, slices)
+    ranks = _with_slice(nodes, sizes, keys, slices)
+    ranks = ranks.select(*nodes.columns, (1.0 / F.col("n")).alias("rank"))
+    return RankState(_placed(split, [*keys, "src", "part"]), nodes, ranks, keys, slices)
 
 
 def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int) -> DataFrame:
@@ -117,7 +122,7 @@ def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int)
     Few slices are broadcast. With more, both sides are shuffled on the slice,
     spread over parts so that one very large slice does not end in one task.
     """
-    if slices <= MAX_BROADCAST_SLICES:
+    if slices <= MAX_BROADCAST_ROWS:
         return df.join(F.broadcast(totals), keys)
     spread = F.pmod(F.xxhash64("id"), F.lit(SLICE_PARTS))
     copies = totals.withColumn("_spread", F.explode(F.sequence(F.lit(0), F.lit(SLICE_PARTS - 1))))
@@ -128,7 +133,7 @@ def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int)
 
 def pagerank_step(state: RankState, damping: float = 0.85) -> RankState:
     """One iteration, as a plan; nothing runs until the ranks are used."""
-    edges, ranks, keys, slices = state
+    edges, nodes, ranks, keys, slices = state
     sends = F.col("out_weight") > 0
     base = ranks.groupBy(*keys).agg(
         (
@@ -151,9 +156,8 @@ def pagerank_step(state: RankState, damping: float = 0.85) -> RankState:
         .agg(F.sum(F.col("share") * F.col("w")).alias("received"))
     )
     rank = F.col("base") + damping * F.coalesce("received", F.lit(0.0))
-    updated = _with_slice(ranks.join(received, [*keys, "id"], "left"), base, keys, slices)
-    updated = updated.select(*keys, "id", "out_weight", "parts", rank.alias("rank"))
-    return state._replace(ranks=updated)
+    updated = _with_slice(nodes.join(received, [*keys, "id"], "left"), base, keys, slices)
+    return state._replace(ranks=updated.select(*nodes.columns, rank.alias("rank")))
 
 
 def rank_vector(state: RankState) -> DataFrame:
@@ -179,6 +183,8 @@ def pagerank(
     for _ in range(iterations):
         state = pagerank_step(state, damping)
         state = state._replace(ranks=state.ranks.checkpoint())
+    if iterations:
+        state.release()
     return rank_vector(state)
 
 
