@@ -58,22 +58,30 @@ def _zone_seconds(zone: Column) -> Column:
     return F.when(zone.rlike("[0-9]"), sign * minutes).otherwise(named[F.upper(zone)]) * 60
 
 
+def _instant(parts: Column) -> Column:
+    """Instant from day, month name, year, hour, minute, second, zone at 1 to 7."""
+
+    def number(position: int) -> Column:
+        return parts[position].try_cast("int")
+
+    first = F.make_date(number(3), _month_number(parts[2]), F.lit(1))
+    seconds = number(6) - _zone_seconds(parts[7])
+    shift = F.make_dt_interval(number(1) - 1, number(4), number(5), seconds.cast("decimal(18,6)"))
+    return first.cast("timestamp_ntz") + shift
+
+
 def sent_at(date: Column) -> Column:
     """UTC wall-clock instant of a Date header, NULL if it cannot be read.
 
     Days, hours, minutes and seconds beyond their range roll over ("31 Feb" is
     early March), as a lenient calendar does.
     """
-    text = trim_blanks(date)
-    parts = F.split(F.regexp_replace(text, _DATE, "$1 $2 $3 $4 $5 $6 $7"), " ")
-
-    def number(position: int) -> Column:
-        return F.get(parts, F.lit(position)).try_cast("int")
-
-    first = F.make_date(number(2), _month_number(F.get(parts, F.lit(1))), F.lit(1))
-    seconds = number(5) - _zone_seconds(F.get(parts, F.lit(6)))
-    shift = F.make_dt_interval(number(0) - 1, number(3), number(4), seconds.cast("decimal(18,6)"))
-    return F.when(text.rlike(_DATE), first.cast("timestamp_ntz") + shift)
+    # A match is marked with a control character, which trimmed text cannot start
+    # with; the array of one binds the parts to a name. So the pattern is applied
+    # once, and not for the test and for every field.
+    marked = F.regexp_replace(trim_blanks(date), _DATE, "\x01 $1 $2 $3 $4 $5 $6 $7")
+    found = F.filter(F.array(F.split(marked, " ")), lambda parts: parts[0] == "\x01")
+    return F.get(F.transform(found, _instant), F.lit(0))
 
 
 def _in_zone(instant: Column, tz: str) -> Column:
@@ -83,7 +91,7 @@ def _in_zone(instant: Column, tz: str) -> Column:
 def sent_month(instant: Column, tz: str = "UTC", lo: int = 1998, hi: int = 2002) -> Column:
     """``yyyy-MM`` in the given zone; ``NA`` if unreadable or outside the years."""
     local = _in_zone(instant, tz)
-    month = F.date_format(local, "yyyy-MM")
+    month = F.substring(local.cast("string"), 1, 7)
     return F.when(F.year(local).between(lo, hi), month).otherwise(F.lit(NO_MONTH))
 
 

@@ -1 +1,119 @@
 """DataFrame to DataFrame operators."""
+
+from mailweave.operators.features import (
+    FEATURES,
+    active_months,
+    degrees,
+    night_ratio,
+    person_counts,
+    person_features,
+    sent_recv,
+)
+from mailweave.operators.graph import (
+    dangling_nodes,
+    edge_weights,
+    node_strength,
+    nodes,
+    out_strength,
+    quarter_sizes,
+    simple_graph,
+    with_quarter,
+)
+from mailweave.operators.kmeans import (
+    KMeansResult,
+    assign,
+    cluster_centers_raw,
+    cluster_crosstab,
+    cluster_profile,
+    cluster_sizes,
+    collect_centroids,
+    collect_stats,
+    column_stats,
+    init_centroids,
+    kmeans,
+    standardize,
+    update_centroids,
+)
+from mailweave.operators.messages import (
+    build_edges,
+    explode_recipients,
+    gate_messages,
+    header_fields,
+    ingest_metrics,
+    parse_messages,
+    persons,
+    skip_reasons,
+)
+from mailweave.operators.pagerank import (
+    check_mass,
+    pagerank,
+    pagerank_step,
+    rank_mass,
+    rank_vector,
+    start_ranks,
+)
+from mailweave.operators.ranking import (
+    global_vs_quarterly,
+    peak_quarter,
+    quarter_winner,
+    rank_compare,
+    seed_emails,
+    series_wide,
+    top_k,
+    track,
+)
+from mailweave.operators.summary import scale_summary
+
+__all__ = [
+    "FEATURES",
+    "KMeansResult",
+    "active_months",
+    "assign",
+    "build_edges",
+    "check_mass",
+    "cluster_centers_raw",
+    "cluster_crosstab",
+    "cluster_profile",
+    "cluster_sizes",
+    "collect_centroids",
+    "collect_stats",
+    "column_stats",
+    "dangling_nodes",
+    "degrees",
+    "edge_weights",
+    "explode_recipients",
+    "gate_messages",
+    "global_vs_quarterly",
+    "header_fields",
+    "ingest_metrics",
+    "init_centroids",
+    "kmeans",
+    "night_ratio",
+    "node_strength",
+    "nodes",
+    "out_strength",
+    "pagerank",
+    "pagerank_step",
+    "parse_messages",
+    "peak_quarter",
+    "person_counts",
+    "person_features",
+    "persons",
+    "quarter_sizes",
+    "quarter_winner",
+    "rank_compare",
+    "rank_mass",
+    "rank_vector",
+    "scale_summary",
+    "seed_emails",
+    "sent_recv",
+    "series_wide",
+    "simple_graph",
+    "skip_reasons",
+    "standardize",
+    "start_ranks",
+    "top_k",
+    "track",
+    "update_centroids",
+    "with_quarter",
+]

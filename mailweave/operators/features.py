@@ -1,8 +1,9 @@
 """Behavioural features per person, from the parsed mails.
 
-The copies are counted once per (sender, recipient) pair; that table is summed
-to either end, so no distinct count runs over the raw copies and no person's
-rows are gathered in one task.
+One pass over the mails counts copies per (sender, recipient) and mails per
+(sender, month); those counts are then summed to the persons at either end. No
+distinct count runs over the raw copies and no person's rows are gathered in
+one task.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 
 from mailweave.functions import ratio
 from mailweave.functions.dates import NO_MONTH
-from mailweave.operators.messages import explode_recipients, valid_mails
 
 FEATURES = [
     "recvCount",
@@ -27,14 +27,33 @@ FEATURES = [
 COUNTS = ["sent", "recv", "out_degree", "in_degree", "night", "active_months"]
 
 
-def pair_counts(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame:
-    """Copies and night copies per ``(src, dst)``."""
+def mail_facts(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame:
+    """``src, dst, ym, copies, night``: what each mail adds, counted per key.
+
+    A pair has ``dst`` and no ``ym``; a month in which a person sent a mail has
+    ``ym`` and no ``dst``, and is there for mails without valid recipients too.
+    """
     hour = F.col("hour")
     at_night = F.when((hour >= night[0]) & (hour < night[1]), 1).otherwise(0)
+
+    def fact(dst, ym, copies, night_copies):
+        return F.struct(
+            dst.cast("string").alias("dst"),
+            ym.cast("string").alias("ym"),
+            copies.cast("bigint").alias("copies"),
+            night_copies.cast("bigint").alias("night"),
+        )
+
+    none, zero = F.lit(None), F.lit(0)
+    copies = F.transform(
+        F.concat("to", "cc"), lambda dst: fact(dst, none, F.lit(1), at_night)
+    )
+    facts = F.concat(copies, F.array(fact(none, F.col("ym"), zero, zero)))
+    kept = F.when(F.col("skip_reason").isNull(), facts)
     return (
-        explode_recipients(parsed)
-        .groupBy("src", "dst")
-        .agg(F.count("*").alias("copies"), F.sum(at_night).alias("night"))
+        parsed.select("src", F.inline(kept))
+        .groupBy("src", "dst", "ym")
+        .agg(F.sum("copies").alias("copies"), F.sum("night").alias("night"))
     )
 
 
@@ -50,32 +69,19 @@ def person_counts(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFra
     ``sent``, ``recv`` and ``night`` count copies; a sender whose mails had no
     valid recipient is kept with zeros.
     """
-    one = F.lit(1)
-    sender = _row(F.col("src"), sent=F.col("copies"), night=F.col("night"), out_degree=one)
-    recipient = _row(F.col("dst"), recv=F.col("copies"), in_degree=one)
-    copies = pair_counts(parsed, night).select(F.inline(F.array(sender, recipient)))
-    months = active_month_rows(parsed).select(
-        F.inline(
-            F.array(
-                _row(
-                    F.col("email"),
-                    active_months=F.when(F.col("ym") != NO_MONTH, 1).otherwise(0),
-                )
-            )
-        )
-    )
+    src, dst, one = F.col("src"), F.col("dst"), F.lit(1)
+    sender = _row(src, sent=F.col("copies"), night=F.col("night"), out_degree=one)
+    recipient = _row(dst, recv=F.col("copies"), in_degree=one)
+    month = _row(src, active_months=F.when(F.col("ym") != NO_MONTH, 1).otherwise(0))
+    rows = F.when(dst.isNull(), F.array(month)).otherwise(F.array(sender, recipient))
     return (
-        copies.unionByName(months)
+        mail_facts(parsed, night)
+        .select(F.inline(rows))
         .groupBy("email")
         .agg(*[F.sum(name).alias(name) for name in COUNTS])
     )
 
 
-def active_month_rows(parsed: DataFrame) -> DataFrame:
-    """Distinct ``(email, ym)`` of senders, the unknown month included."""
-    return valid_mails(parsed).select(F.col("src").alias("email"), "ym").distinct()
-
-
 def sent_recv(parsed: DataFrame) -> DataFrame:
     """Copies sent and received per person."""
     return person_counts(parsed).select("email", "sent", "recv")
@@ -95,11 +101,7 @@ def night_ratio(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame
 
 def active_months(parsed: DataFrame) -> DataFrame:
     """Number of known months in which a person sent a mail."""
-    return (
-        active_month_rows(parsed)
-        .groupBy("email")
-        .agg(F.count_if(F.col("ym") != NO_MONTH).alias("activeMonths"))
-    )
+    return person_counts(parsed).select("email", F.col("active_months").alias("activeMonths"))
 
 
 def person_features(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame:

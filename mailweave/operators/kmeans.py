@@ -74,6 +74,11 @@ def init_centroids(df: DataFrame, k: int, seed: int = 42, id_col: str = "email")
     return df.orderBy(key, id_col).limit(k)
 
 
+def collect_centroids(points: DataFrame, cols: Sequence[str]) -> Centroids:
+    """The K starting points on the driver, in their order."""
+    return [[row[c] for c in cols] for row in points.collect()]
+
+
 def nearest(cols: Sequence[str], centroids: Centroids) -> Column:
     """Number of the centre at least squared distance, the lowest on a tie."""
     distances = [
@@ -126,9 +131,7 @@ def kmeans(
     points = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]).checkpoint()
     means, stds = collect_stats(points, cols)
     scaled = standardize(points, cols, means, stds).persist(StorageLevel.MEMORY_AND_DISK)
-    centroids = [
-        [row[c] for c in cols] for row in init_centroids(scaled, k, seed, id_col).collect()
-    ]
+    centroids = collect_centroids(init_centroids(scaled, k, seed, id_col), cols)
     if len(centroids) < k:
         raise ValueError(f"k={k} but there are only {len(centroids)} points")
     history: list[float] = []

@@ -88,19 +88,16 @@ def parse_messages(
     )
 
 
-def valid_mails(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("skip_reason").isNull())
-
-
 def explode_recipients(parsed: DataFrame) -> DataFrame:
-    """One row per copy: ``msg_id, src, dst, type, sent_at, ym, hour``."""
+    """One row per copy: ``msg_id, src, dst, type, sent_at, ym, hour``.
+
+    Skipped mails have no recipients, so they need no filter here.
+    """
     copies = F.concat(
         F.transform("to", lambda dst: F.struct(dst.alias("dst"), F.lit("to").alias("type"))),
         F.transform("cc", lambda dst: F.struct(dst.alias("dst"), F.lit("cc").alias("type"))),
     )
-    return valid_mails(parsed).select(
-        "msg_id", "src", F.inline(copies), "sent_at", "ym", "hour"
-    )
+    return parsed.select("msg_id", "src", F.inline(copies), "sent_at", "ym", "hour")
 
 
 def build_edges(parsed: DataFrame) -> DataFrame:
@@ -110,8 +107,8 @@ def build_edges(parsed: DataFrame) -> DataFrame:
 
 def persons(parsed: DataFrame) -> DataFrame:
     """Directory: every sender of a valid mail and every valid recipient."""
-    everyone = F.concat(F.array("src"), "to", "cc")
-    return valid_mails(parsed).select(F.explode(everyone).alias("email")).distinct()
+    everyone = F.when(F.col("skip_reason").isNull(), F.concat(F.array("src"), "to", "cc"))
+    return parsed.select(F.explode(everyone).alias("email")).distinct()
 
 
 def skip_reasons(parsed: DataFrame) -> DataFrame:
