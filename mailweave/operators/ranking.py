@@ -151,6 +151,11 @@ def global_vs_quarterly(top: DataFrame, quarterly_top: DataFrame) -> DataFrame:
         F.min("rank").alias("best_rank"),
         F.median("rank").alias("median_rank"),
     )
-    return top.select(F.col("rank").alias("global_rank"), "email").join(
-        quarterly, "email", "left"
-    ).withColumn("quarters_in_top", F.coalesce("quarters_in_top", F.lit(0)))
+    joined = top.join(quarterly, "email", "left")
+    return joined.select(
+        F.col("rank").alias("global_rank"),
+        "email",
+        F.coalesce("quarters_in_top", F.lit(0)).alias("quarters_in_top"),
+        "best_rank",
+        "median_rank",
+    )

@@ -109,16 +109,27 @@ def test_incremental_ingest_equals_batch(spark, sf_dir, tmp_path, parsed):
     assert found.exceptAll(parsed).count() == 0
 
 
-def test_cluster_needs_a_named_folder(spark, monkeypatch):
-    class Context:
+class Unnamed:
+    """A cluster session in which no checkpoint folder is set."""
+
+    class sparkContext:  # noqa: N801
         master = "yarn"
 
-        def getCheckpointDir(self):
+        @staticmethod
+        def getCheckpointDir():
             return None
 
-    class Session:
-        sparkContext = Context()
-        conf = spark.conf
+    conf = {}
+
 
+def test_cluster_needs_a_named_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+        shared_folder(Unnamed)
+
+
+def test_named_folder_is_used(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark)
+    assert spark.sparkContext.getCheckpointDir() is not None
+    if named:
+        assert folder == named
