@@ -5,7 +5,8 @@ and parts share one id space. ``edges`` derives the edge multiset straight from
 the tables, ``messages`` renders the same mails as raw text to be parsed back.
 
 A mail holds at most ``LINES_PER_MAIL`` lines; an order with more becomes
-several mails, so the text of a mail is bounded.
+several mails, so the text of a mail is bounded. Both tables grow with the
+data, so they are merged and neither is broadcast.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = (F.col("k") % 97 != 0) & F.year("sent").between(1998, 2002)
     return (
         lines.where(F.col("person") % 50 != 0)
-        .join(has_to.where("has_to"), ["k", "part"])
-        .join(_orders(spark, sf_dir).where(F.col("k") % 101 != 0), "k")
+        .join(has_to.where("has_to").hint("merge"), ["k", "part"])
+        .join(_orders(spark, sf_dir).where(F.col("k") % 101 != 0).hint("merge"), "k")
         .where(F.col("person") != F.col("sender"))
         .select(
             address(F.col("sender")).alias("src"),
@@ -105,7 +106,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('X-From: "Sales"\n\nOrder '), key,
         F.lit(' is "on its way".\n\n  To: whom it may concern, no header\nRegards\n'),
     )
-    return _orders(spark, sf_dir).join(mails, "k", "left").select(
+    return _orders(spark, sf_dir).join(mails.hint("merge"), "k", "left").select(
         F.concat(F.lit("mail/"), key, F.lit("/"), number, F.lit(".")).alias("file"),
         text.alias("message"),
     )
