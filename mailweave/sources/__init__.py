@@ -1,5 +1,6 @@
 """Readers and writers of the stage tables."""
 
+from mailweave.sources.split_csv import read_large_dump
 from mailweave.sources.tables import (
     count_short_lines,
     read_edges,
@@ -17,6 +18,7 @@ __all__ = [
     "count_short_lines",
     "read_edges",
     "read_features",
+    "read_large_dump",
     "read_messages",
     "read_ranking",
     "write_edges",

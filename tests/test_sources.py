@@ -1,5 +1,6 @@
 """Files written and read back, and the jobs end to end."""
 
+import random
 from pathlib import Path
 
 import pytest
@@ -24,6 +25,35 @@ def test_messages_keep_quotes_and_line_ends(spark, tmp_path):
     }
 
 
+def test_large_dump_is_split_inside_cells(spark, tmp_path):
+    """Splits much smaller than a mail give the records of the plain reader."""
+    rng = random.Random(11)
+    pieces = ["a", '""', "\n", "\r\n", ",", "To: x@y.z", " ", "\n\n", "\\", "\u00e9"]
+    for name, end in (("lf", "\n"), ("crlf", "\r\n")):
+        rows = ["file,message"]
+        for number in range(400):
+            text = "".join(rng.choices(pieces, k=rng.choice([0, 3, 30, 300])))
+            rows.append(f'"{name}/{number}","{text}"' if number % 7 else f"{name}/{number},plain")
+        (tmp_path / f"{name}.csv").write_bytes((end.join(rows) + end).encode())
+    expected = sources.read_messages(spark, str(tmp_path))
+    sizes = {"spark.sql.files.maxPartitionBytes": "900", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        found = sources.read_large_dump(spark, str(tmp_path))
+        rows = found.collect()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert len(rows) == 800
+    # The plain reader turns CRLF inside the cells of a CRLF dump into LF.
+    cells = sorted((row.file, row.message.replace("\r\n", "\n")) for row in rows if row.message)
+    plain = [(row.file, row.message) for row in expected.collect() if row.message]
+    assert cells == sorted((file, message.replace("\r\n", "\n")) for file, message in plain)
+    assert any("\r\n" in row.message for row in rows if row.message)
+
+
 EDGES = [
     ('"joe"@x.com', "a\\b@x.com", "to", "2001-05"),
     ("'q'@x.com", "b@x.com", "cc", "NA"),
