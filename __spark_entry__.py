@@ -242,6 +242,15 @@ def _members(k: int) -> Query:
     return lambda spark, sf_dir: op.kmeans(_features(spark, sf_dir), FEATURES, k).assignments
 
 
+def _kmeans_embeddings(spark, sf_dir):
+    dims = [f"e{i}" for i in range(64)]
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", *[F.col("embedding")[i].alias(name) for i, name in enumerate(dims)]
+    )
+    fit = op.kmeans(vectors, dims, k=4, iterations=5, tol=0.0, id_col="vec_id")
+    return fit.assignments
+
+
 def _cluster_sizes(spark, sf_dir):
     return op.cluster_sizes(_members(4)(spark, sf_dir))
 
@@ -329,6 +338,7 @@ def queries() -> dict[str, Query]:
         "kmeans": _kmeans,
         "kmeans_k3": _members(3),
         "kmeans_k4": _members(4),
+        "kmeans_embeddings": _kmeans_embeddings,
         "cluster_sizes": _cluster_sizes,
         "cluster_centers": _cluster_centers,
         "cluster_profile": _cluster_profile,

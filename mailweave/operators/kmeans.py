@@ -80,22 +80,21 @@ def collect_centroids(points: DataFrame, cols: Sequence[str]) -> Centroids:
 
 
 def nearest(cols: Sequence[str], centroids: Centroids) -> Column:
-    """Number of the centre at least squared distance, the lowest on a tie."""
-    distances = [
-        sum(
-            (
-                (F.col(c) - F.lit(x)) * (F.col(c) - F.lit(x))
-                for c, x in zip(cols, centre, strict=True)
-            ),
-            start=F.lit(0.0),
-        )
-        for centre in centroids
-    ]
+    """Number of the centre at least squared distance, the lowest on a tie.
+
+    The centres are constants of the expression. It is written as SQL text:
+    K times the number of columns is many terms to build one by one.
+    """
+
+    def distance(centre: list[float]) -> str:
+        moves = [f"(`{c}` - ({x!r}D))" for c, x in zip(cols, centre, strict=True)]
+        return " + ".join(f"{move} * {move}" for move in moves)
+
     numbered = [
-        F.struct(distance.alias("distance"), F.lit(number).alias("cluster"))
-        for number, distance in enumerate(distances)
+        f"named_struct('distance', {distance(centre)}, 'cluster', {number})"
+        for number, centre in enumerate(centroids)
     ]
-    return F.array_min(F.array(*numbered))["cluster"]
+    return F.expr(f"array_min(array({', '.join(numbered)})).cluster")
 
 
 def assign(df: DataFrame, cols: Sequence[str], centroids: Centroids) -> DataFrame:

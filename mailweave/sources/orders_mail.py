@@ -23,6 +23,11 @@ def address(number: Column) -> Column:
     return F.concat(F.lit("p"), number.cast("string"), F.lit("@en.example.com"))
 
 
+def _clock(instant: str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a timestamp without zone, whatever the session's zone."""
+    return F.col(instant).cast("string")
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``k, part, line, person, cc`` of every line."""
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -61,7 +66,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             address(F.col("sender")).alias("src"),
             address(F.col("person")).alias("dst"),
             F.when(F.col("cc"), "cc").otherwise("to").alias("type"),
-            F.when(known, F.date_format("sent", "yyyy-MM")).otherwise(NO_MONTH).alias("ym"),
+            F.when(known, F.substring(_clock("sent"), 1, 7)).otherwise(NO_MONTH).alias("ym"),
         )
     )
 
@@ -93,20 +98,25 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokens = F.array_join(F.transform(kept, lambda line: line["token"]), ",\n\t")
         return F.when(F.size(kept) > 0, F.concat(F.lit(f"{name}: "), tokens, F.lit("\n"))).otherwise("")
 
-    year = F.when(F.col("k") % 97 == 0, "0001").otherwise(F.date_format("sent", "yyyy"))
+    day = F.date_format(F.to_date("sent"), "EEE, d MMM ")
+    year = F.when(F.col("k") % 97 == 0, "0001").otherwise(F.substring(_clock("sent"), 1, 4))
+    time = F.substring(_clock("sent"), 11, 9)
     sender = F.when(F.col("k") % 101 == 0, "system").otherwise(address(F.col("sender")))
     key, number = F.col("k").cast("string"), F.coalesce("part", F.lit(0)).cast("string")
     text = F.concat(
         F.lit("Message-ID: <"), key, F.lit("."), number, F.lit("@en.example.com>\nDate: "),
-        F.date_format("sent", "EEE, d MMM "), year, F.date_format("sent", " HH:mm:ss"),
-        F.lit(" +0000 (UTC)\nFrom: "), sender, F.lit("\n"),
+        day, year, time, F.lit(" +0000 (UTC)\nFrom: "), sender, F.lit("\n"),
         F.coalesce(field("To", False), F.lit("")),
         F.lit("Subject: order "), key, F.lit("\n"),
         F.coalesce(field("Cc", True), F.lit("")),
         F.lit('X-From: "Sales"\n\nOrder '), key,
         F.lit(' is "on its way".\n\n  To: whom it may concern, no header\nRegards\n'),
     )
-    return _orders(spark, sf_dir).join(mails.hint("merge"), "k", "left").select(
+    # Inner, so that an order with very many mails can be spread over tasks.
+    orders = _orders(spark, sf_dir)
+    with_lines = mails.join(orders.hint("merge"), "k")
+    without_lines = orders.join(mails.select("k").distinct().hint("merge"), "k", "left_anti")
+    return with_lines.unionByName(without_lines, allowMissingColumns=True).select(
         F.concat(F.lit("mail/"), key, F.lit("/"), number, F.lit(".")).alias("file"),
         text.alias("message"),
     )

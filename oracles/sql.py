@@ -165,73 +165,71 @@ SERIES = _with(MAIL, pagerank(SIMPLE), top(), pagerank(SIMPLE_QUARTERLY, "q_"),
 
 # ---- K-Means ----------------------------------------------------------------
 
-DIMS = [f"f{i}" for i in range(len(FEATURES))]
-
-
 def _std(column: str) -> str:
-    return f"CASE WHEN var_pop({column}) > 1e-9 THEN sqrt(var_pop({column})) ELSE 1.0 END"
+    return f"CASE WHEN var_pop({column}) > 1e-9 THEN sqrt(var_pop({column})) ELSE 1.0::DOUBLE END"
 
 
-STATS = (
-    "\nstats AS MATERIALIZED (SELECT "
-    + ", ".join(
-        f'avg("{c}"::DOUBLE) AS m{i}, ({_std(f"{chr(34)}{c}{chr(34)}::DOUBLE")})::DOUBLE AS s{i}'
-        for i, c in enumerate(FEATURES)
+def scaled(table: str, values: list[str], id_col: str = "email") -> str:
+    """CTEs ``stats(m0, s0, ...)`` and ``z(id, f0, f1, ...)`` of the value expressions."""
+    values = [f"({value})::DOUBLE" for value in values]
+    stats = ", ".join(
+        f"avg({value}) AS m{i}, {_std(value)} AS s{i}" for i, value in enumerate(values)
     )
-    + " FROM feature)"
-)
-SCALED = (
-    "\nz AS MATERIALIZED (SELECT email, "
-    + ", ".join(f'("{c}"::DOUBLE - m{i}) / s{i} AS f{i}' for i, c in enumerate(FEATURES))
-    + " FROM feature, stats)"
-)
+    scores = ", ".join(f"({value} - m{i}) / s{i} AS f{i}" for i, value in enumerate(values))
+    return f"""
+stats AS MATERIALIZED (SELECT {stats} FROM {table}),
+z AS MATERIALIZED (SELECT {id_col} AS id, {scores} FROM {table}, stats)"""
 
 
-def _nearest(centres: str) -> str:
-    distance = " + ".join(f"(z.{d} - c.{d}) * (z.{d} - c.{d})" for d in DIMS)
+def _nearest(centres: str, dims: int) -> str:
+    distance = " + ".join(f"(z.f{i} - c.f{i}) * (z.f{i} - c.f{i})" for i in range(dims))
     return (
         f"SELECT z.*, c.cluster FROM z CROSS JOIN {centres} c "
-        f"QUALIFY row_number() OVER (PARTITION BY email ORDER BY {distance}, c.cluster) = 1"
+        f"QUALIFY row_number() OVER (PARTITION BY id ORDER BY {distance}, c.cluster) = 1"
     )
 
 
-def kmeans(k: int, iterations: int = 20, prefix: str = "", tol: float = 1e-6) -> str:
+def kmeans(
+    k: int, iterations: int = 20, prefix: str = "", tol: float = 1e-6, dims: int = len(FEATURES)
+) -> str:
     """CTEs ending in ``{prefix}centre`` and ``{prefix}member``; ``done`` marks the
     iteration after which centres stay."""
-    p = prefix
+    p, cols = prefix, [f"f{i}" for i in range(dims)]
     ctes = [
         f"""
 {p}c0 AS MATERIALIZED (
-  SELECT CAST(row_number() OVER (ORDER BY md5('42:' || email), email) - 1 AS INTEGER) AS cluster,
-         {", ".join(DIMS)}, false AS done
-  FROM z ORDER BY md5('42:' || email), email LIMIT {k})"""
+  SELECT CAST(row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS INTEGER) AS cluster,
+         {", ".join(cols)}, false AS done
+  FROM z ORDER BY md5('42:' || id), id LIMIT {k})"""
     ]
     for i in range(1, iterations + 1):
-        means = ", ".join(f"avg({d}) AS {d}" for d in DIMS)
+        means = ", ".join(f"avg({c}) AS {c}" for c in cols)
         kept = ", ".join(
-            f"CASE WHEN c.done THEN c.{d} ELSE coalesce(m.{d}, c.{d}) END AS {d}" for d in DIMS
+            f"CASE WHEN c.done THEN c.{d} ELSE coalesce(m.{d}, c.{d}) END AS {d}" for d in cols
         )
         move = " + ".join(
-            f"(coalesce(m.{d}, c.{d}) - c.{d}) * (coalesce(m.{d}, c.{d}) - c.{d})" for d in DIMS
+            f"(coalesce(m.{d}, c.{d}) - c.{d}) * (coalesce(m.{d}, c.{d}) - c.{d})" for d in cols
         )
         ctes.append(
             f"""
 {p}c{i} AS MATERIALIZED (
   SELECT c.cluster, {kept}, c.done OR sum({move}) OVER () < {tol} AS done
   FROM {p}c{i - 1} c
-  LEFT JOIN (SELECT cluster, {means} FROM ({_nearest(f"{p}c{i - 1}")}) GROUP BY cluster) m
+  LEFT JOIN (SELECT cluster, {means} FROM ({_nearest(f"{p}c{i - 1}", dims)}) GROUP BY cluster) m
        ON m.cluster = c.cluster)"""
         )
     ctes.append(f"\n{p}centre AS (SELECT * FROM {p}c{iterations})")
-    ctes.append(f"\n{p}member AS MATERIALIZED ({_nearest(f'{p}centre')})")
+    ctes.append(f"\n{p}member AS MATERIALIZED ({_nearest(f'{p}centre', dims)})")
     return ",".join(ctes)
 
 
-POINTS = _with(MAIL, FEATURE, STATS, SCALED)
+QUOTED_FEATURES = [f'"{c}"' for c in FEATURES]
+VECTOR_DIMS = 64
+POINTS = _with(MAIL, FEATURE, scaled("feature", QUOTED_FEATURES))
 
 
 def _round_features(table: str, digits: int) -> str:
-    return ", ".join(f'round({table}.{d}, {digits}) AS "{c}"' for d, c in zip(DIMS, FEATURES))
+    return ", ".join(f'round({table}.f{i}, {digits}) AS "{c}"' for i, c in enumerate(FEATURES))
 
 
 def _clustered(*fits: str) -> str:
@@ -375,21 +373,26 @@ SELECT *, basic_rank - log_rank AS log_move, basic_rank - freq_rank AS freq_move
         "active_months": features + 'SELECT email, "activeMonths" FROM feature',
         "person_features": features + "SELECT * FROM feature",
         "features_roundtrip": features + "SELECT * FROM feature",
-        "feature_stats": _with(MAIL, FEATURE, STATS)
+        "feature_stats": POINTS
         + " UNION ALL ".join(
             f"SELECT '{c}' AS feature, round(m{i}, 8) AS mean, round(s{i}, 8) AS std FROM stats"
             for i, c in enumerate(FEATURES)
         ),
-        "zscores": POINTS + f"SELECT email, {_round_features('z', 8)} FROM z",
+        "zscores": POINTS + f"SELECT id AS email, {_round_features('z', 8)} FROM z",
         "init_centroids": _clustered(kmeans(4, 1))
         + f"SELECT cluster, {_round_features('c0', 8)} FROM c0",
-        "kmeans_assign": _clustered(kmeans(3, 0)) + "SELECT email, cluster FROM member",
+        "kmeans_assign": _clustered(kmeans(3, 0)) + "SELECT id AS email, cluster FROM member",
         "kmeans_step": _clustered(kmeans(3, 1))
         + f"SELECT cluster, {_round_features('centre', 6)} FROM centre",
         "kmeans": _clustered(kmeans(3, 5))
         + f"SELECT cluster, {_round_features('centre', 6)} FROM centre",
-        "kmeans_k3": _clustered(kmeans(3)) + "SELECT email, cluster FROM member",
-        "kmeans_k4": _clustered(kmeans(4)) + "SELECT email, cluster FROM member",
+        "kmeans_k3": _clustered(kmeans(3)) + "SELECT id AS email, cluster FROM member",
+        "kmeans_k4": _clustered(kmeans(4)) + "SELECT id AS email, cluster FROM member",
+        "kmeans_embeddings": _with(
+            scaled("embeddings", [f"embedding[{i + 1}]" for i in range(VECTOR_DIMS)], "vec_id"),
+            kmeans(4, 5, tol=0.0, dims=VECTOR_DIMS),
+        )
+        + "SELECT id AS vec_id, cluster FROM member",
         "cluster_sizes": _clustered(kmeans(4))
         + "SELECT cluster, count(*) AS people FROM member GROUP BY cluster",
         "cluster_centers": _clustered(kmeans(4))
@@ -401,8 +404,8 @@ SELECT *, basic_rank - log_rank AS log_move, basic_rank - freq_rank AS freq_move
         "cluster_profile": _clustered(kmeans(4))
         + "SELECT 4 AS k, cluster, 'group_' || cluster AS label, count(*) AS people, "
         + ", ".join(f'round(avg("{c}"::DOUBLE), 6) AS "{c}"' for c in FEATURES)
-        + " FROM member JOIN feature USING (email) GROUP BY cluster",
+        + " FROM member JOIN feature ON id = email GROUP BY cluster",
         "cluster_crosstab": _clustered(kmeans(3, prefix="a_"), kmeans(4, prefix="b_"))
         + """SELECT a_member.cluster AS left_cluster, b_member.cluster AS right_cluster,
-  count(*) AS people FROM a_member JOIN b_member USING (email) GROUP BY ALL""",
+  count(*) AS people FROM a_member JOIN b_member USING (id) GROUP BY ALL""",
     }
