@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 from mailweave.operators.graph import node_strength
 from mailweave.session import shared_folder
 
-# Stands for "the whole graph" where no slice columns are given.
-WHOLE = "_whole"
-
 # A source is never cut for fewer edges than this.
 MIN_PART_EDGES = 1_000_000
 
+# With fewer edges per shuffle partition than this, the edges are not placed:
+# adaptive execution then merges the small shuffles into few tasks.
+MIN_TASK_EDGES = 5_000
+
 # Up to this many slices or large sources are broadcast (about 100 bytes each).
 MAX_BROADCAST_ROWS = 100_000
 
@@ -50,7 +51,7 @@ class RankState(NamedTuple):
     edges: DataFrame  # slice…, src, part, dst, w
     nodes: DataFrame  # slice…, id, out_weight, parts
     ranks: DataFrame  # the nodes with their rank
-    keys: list[str]  # the slice columns
+    keys: list[str]  # the slice columns, none for one graph
     slices: int
 
     def release(self) -> None:
@@ -59,16 +60,15 @@ class RankState(NamedTuple):
         self.nodes.unpersist()
 
 
-def _placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hash-partitioned and sorted on the keys, and cached that way.
+def _cached(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """Cache ``df``, hash-partitioned and sorted on the keys if a number is given.
 
-    The number of partitions is the one joins and aggregations use, so that
-    neither has to move the rows again.
+    With the number of partitions that joins and aggregations use, neither has
+    to move the rows again.
     """
-    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        df.repartition(count, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    if partitions:
+        df = df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def start_ranks(
@@ -84,21 +84,22 @@ def start_ranks(
     """
     spark = graph.sparkSession
     shared_folder(spark)
-    keys = list(by) or [WHOLE]
-    slice_columns = [F.col(c) for c in by] or [F.lit(0).alias(WHOLE)]
+    keys = list(by)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    edges = graph.select(*slice_columns, "src", "dst", w.alias("w")).checkpoint()
+    edges = graph.select(*keys, "src", "dst", w.alias("w")).checkpoint()
 
-    strength = _placed(node_strength(edges, keys, "w"), [*keys, "id"])
+    strength = node_strength(edges, keys, "w").checkpoint()
     sizes = strength.groupBy(*keys).agg(
         F.count("*").alias("n"), F.sum("out_degree").alias("edges")
     )
     slices, total = sizes.agg(F.count("*"), F.coalesce(F.sum("edges"), F.lit(0))).first()
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = count if total // count >= MIN_TASK_EDGES else None
     if part_edges is None:
         part_edges = max(total // count, MIN_PART_EDGES)
     parts = F.greatest(F.ceil(F.col("out_degree") / part_edges), F.lit(1)).cast("int")
-    nodes = strength.withColumn("parts", parts).drop("out_degree")
+    nodes = strength.select(*keys, "id", "out_weight", parts.alias("parts"))
+    nodes = _cached(nodes, [*keys, "id"], partitions)
 
     # Each large source holds more than part_edges of the total, so there are
     # fewer than total / part_edges of them: by default at most one per task.
@@ -111,24 +112,29 @@ def start_ranks(
         .join(large, [*keys, "src"], "left")
         .select(*keys, "src", part.alias("part"), "dst", "w")
     )
-    ranks = _with_slice(nodes, sizes, keys, slices)
-    ranks = ranks.select(*nodes.columns, (1.0 / F.col("n")).alias("rank"))
-    return RankState(_placed(split, [*keys, "src", "part"]), nodes, ranks, keys, slices)
+    start = sizes.select(*keys, (1.0 / F.col("n")).alias("rank"))
+    ranks = _with_slice(nodes, start, keys, slices)
+    split = _cached(split, [*keys, "src", "part"], partitions)
+    return RankState(split, nodes, ranks, keys, slices)
 
 
 def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int) -> DataFrame:
-    """Join per-slice totals to the nodes of ``df``.
+    """Add the last column of ``totals``, one value per slice, to the nodes of ``df``.
 
-    Few slices are broadcast. With more, both sides are shuffled on the slice,
-    spread over parts so that one very large slice does not end in one task.
+    One graph takes it as a scalar subquery, few slices as a broadcast. With
+    more, both sides are shuffled on the slice, spread over parts so that one
+    very large slice does not end in one task.
     """
+    if not keys:
+        return df.withColumn(totals.columns[-1], totals.scalar())
     if slices <= MAX_BROADCAST_ROWS:
         return df.join(F.broadcast(totals), keys)
     spread = F.pmod(F.xxhash64("id"), F.lit(SLICE_PARTS))
-    copies = totals.withColumn("_spread", F.explode(F.sequence(F.lit(0), F.lit(SLICE_PARTS - 1))))
-    return (
-        df.withColumn("_spread", spread.cast("int")).join(copies, [*keys, "_spread"]).drop("_spread")
+    copies = totals.select(
+        F.explode(F.sequence(F.lit(0), F.lit(SLICE_PARTS - 1))).alias("_spread"), "*"
     )
+    spread_nodes = df.withColumn("_spread", spread.cast("int"))
+    return spread_nodes.join(copies, [*keys, "_spread"]).drop("_spread")
 
 
 def pagerank_step(state: RankState, damping: float = 0.85) -> RankState:
@@ -162,8 +168,7 @@ def pagerank_step(state: RankState, damping: float = 0.85) -> RankState:
 
 def rank_vector(state: RankState) -> DataFrame:
     """``(by…, id, rank)`` of a state."""
-    keys = [key for key in state.keys if key != WHOLE]
-    return state.ranks.select(*keys, "id", "rank")
+    return state.ranks.select(*state.keys, "id", "rank")
 
 
 def pagerank(

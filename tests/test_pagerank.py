@@ -118,8 +118,18 @@ def test_one_source_with_a_third_of_all_edges(spark):
     assert found == pytest.approx(brute_force(pairs), abs=1e-13)
 
 
-def test_plan_moves_edges_once(spark):
-    """The cached edges are not exchanged again inside an iteration."""
+@pytest.mark.parametrize("seed", [1])
+def test_placed_edges_give_the_same_ranks(spark, monkeypatch, seed):
+    monkeypatch.setattr(module, "MIN_TASK_EDGES", 0)
+    pairs = random_weights(seed)
+    ranks = pagerank(weighted_df(spark, pairs), weight="w", part_edges=3)
+    found = {key[0]: value for key, value in as_dict(ranks).items()}
+    assert found == pytest.approx(brute_force(pairs), abs=1e-13)
+
+
+def test_placed_edges_are_not_moved_again(spark, monkeypatch):
+    """The cached edges are not exchanged inside an iteration."""
+    monkeypatch.setattr(module, "MIN_TASK_EDGES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         state = module.start_ranks(golden_edges(spark).drop("quarter").distinct())
