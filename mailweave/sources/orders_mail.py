@@ -87,16 +87,16 @@ def _token(line: Column, person: Column) -> Column:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw message table ``file, message``."""
     token = _token(F.col("line"), F.col("person"))
+    lines = F.collect_list(F.struct("line", "cc", token.alias("token")))
     mails = (
-        _lines(spark, sf_dir)
-        .groupBy("k", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("line", "cc", token.alias("token")))).alias("all"))
+        _lines(spark, sf_dir).groupBy("k", "part").agg(F.array_sort(lines).alias("all"))
     )
 
     def field(name: str, cc: bool) -> Column:
         kept = F.filter("all", lambda line: line["cc"] == F.lit(cc))
         tokens = F.array_join(F.transform(kept, lambda line: line["token"]), ",\n\t")
-        return F.when(F.size(kept) > 0, F.concat(F.lit(f"{name}: "), tokens, F.lit("\n"))).otherwise("")
+        value = F.concat(F.lit(f"{name}: "), tokens, F.lit("\n"))
+        return F.when(F.size(kept) > 0, value).otherwise("")
 
     day = F.date_format(F.to_date("sent"), "EEE, d MMM ")
     year = F.when(F.col("k") % 97 == 0, "0001").otherwise(F.substring(_clock("sent"), 1, 4))

@@ -80,10 +80,9 @@ def _split_offsets(lines: DataFrame) -> DataFrame:
     earlier = (
         Window.partitionBy("dump").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = counted.withColumn(
-        "offset", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
-    ).withColumn("number", F.when(F.col("offset") == 0, F.col("if_closed")).otherwise(F.col("if_open")))
+    number = F.when(F.col("offset") == 0, F.col("if_closed")).otherwise(F.col("if_open"))
+    offsets = counted.withColumn("offset", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
     last = F.when(F.col("number") > 0, F.struct("split", "number"))
-    return placed.select(
+    return offsets.withColumn("number", number).select(
         *SPLIT, "offset", F.last(last, ignorenulls=True).over(earlier).alias("carried")
     )

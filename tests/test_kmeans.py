@@ -22,7 +22,8 @@ from mailweave.operators import (
 
 
 def points(spark, rows):
-    return spark.createDataFrame([(f"e{i}", *row) for i, row in enumerate(rows)], "email string, x double, y double")
+    named = [(f"e{i}", *row) for i, row in enumerate(rows)]
+    return spark.createDataFrame(named, "email string, x double, y double")
 
 
 def test_constant_column_has_std_one(spark):
