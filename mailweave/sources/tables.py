@@ -7,12 +7,14 @@ cannot be pruned or split as well.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweave.functions import trim_blanks
 from mailweave.operators.features import FEATURES
+from mailweave.operators.messages import EDGE_COLUMNS
 
 MESSAGE_SCHEMA = "file string, message string"
 EDGE_SCHEMA = "src string, dst string, type string, ym string"
@@ -62,7 +64,7 @@ def write_edges(
     edges: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
     """Write ``src, dst, type, ym``, duplicates kept; ``fmt`` parquet or tsv."""
-    writer = edges.select("src", "dst", "type", "ym").write.mode("overwrite")
+    writer = edges.select(*EDGE_COLUMNS).write.mode("overwrite")
     if fmt == "tsv":
         writer.options(**UNQUOTED, **KEEP_BLANKS).csv(path)
     else:
@@ -76,23 +78,24 @@ def _edge_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return reader.format(fmt).load(path)
 
 
-def _long_enough(fields: int):
-    return F.forall(
-        F.array(*["src", "dst", "type", "ym"][:fields]), lambda value: value.isNotNull()
-    )
+def _long_enough(fields: int) -> Column:
+    kept = [F.col(name).isNotNull() for name in EDGE_COLUMNS[:fields]]
+    return reduce(Column.__and__, kept)
 
 
 def read_edges(
     spark: SparkSession, path: str, fmt: str = "parquet", fields: int = 4
 ) -> DataFrame:
-    """An edge list, trimmed; lines with fewer than ``fields`` (2 to 4) are left out.
+    """An edge list; lines with fewer than ``fields`` (2 to 4) are left out.
 
     Two fields are enough for the simple graph, three for weights, four for
-    quarters.
+    quarters. Text is trimmed; parquet is read as it was written, so filters
+    reach the scan.
     """
-    names = ["src", "dst", "type", "ym"]
     kept = _edge_lines(spark, path, fmt).where(_long_enough(fields))
-    return kept.select(*[trim_blanks(F.col(name)).alias(name) for name in names])
+    if fmt != "tsv":
+        return kept
+    return kept.select(*[trim_blanks(F.col(name)).alias(name) for name in EDGE_COLUMNS])
 
 
 def count_short_lines(
