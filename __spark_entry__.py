@@ -22,6 +22,7 @@ from mailweave.functions.addresses import SEPARATORS
 from mailweave.operators.features import FEATURES
 from mailweave.session import shared_folder, stage_path
 from mailweave.sources import orders_mail
+from mailweave.streaming import parse_new_files
 from oracles import oracle_sql as _oracle_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,25 @@ def _read_messages(spark, sf_dir):
     return sources.read_messages(spark, path)
 
 
+def _read_large_dump(spark, sf_dir):
+    path = stage_path(spark, "dump")
+    sources.write_messages(orders_mail.messages(spark, sf_dir), path, "csv")
+    return sources.read_large_dump(spark, path)
+
+
+def _incremental_edges(spark, sf_dir):
+    dump, folder = stage_path(spark, "dump"), stage_path(spark, "ingest")
+    sources.write_messages(orders_mail.messages(spark, sf_dir), dump, "csv")
+    parse_new_files(spark, dump, folder)
+    return op.build_edges(spark.read.parquet(f"{folder}/parsed"))
+
+
+def _persons_roundtrip(spark, sf_dir):
+    path = stage_path(spark, "persons")
+    sources.write_persons(op.persons(_parsed(spark, sf_dir)), path, "text")
+    return spark.read.text(path).select(F.col("value").alias("email"))
+
+
 def _header_fields(spark, sf_dir):
     return op.header_fields(orders_mail.messages(spark, sf_dir))
 
@@ -284,11 +304,14 @@ def queries() -> dict[str, Query]:
     return {
         # sources and message parsing
         "read_messages": _read_messages,
+        "read_large_dump": _read_large_dump,
+        "incremental_edges": _incremental_edges,
         "header_fields": _header_fields,
         "clean_address": _clean_address,
         "valid_address": _valid_address,
         "recipients": _recipients,
         "persons": _on_parsed(op.persons),
+        "persons_roundtrip": _persons_roundtrip,
         "skip_reasons": _on_parsed(op.skip_reasons),
         "sent_month": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "ym"),
         "sent_hour": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "hour"),

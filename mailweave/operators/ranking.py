@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Up to this k, Spark limits a ranking per group in the tasks before the shuffle.
+GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+# Parts of a slice where k is larger.
+SLICE_PARTS = 64
+
 # Scores equal to this many digits tie; ties go to the smaller address.
 TIE_DIGITS = 12
 
@@ -15,18 +21,26 @@ def _best_first():
     return [F.round("rank", TIE_DIGITS).desc(), F.col("id").asc()]
 
 
+def _first(ranks: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
+    """The k best of each group, numbered in ``place``."""
+    window = Window.partitionBy(*by).orderBy(*_best_first())
+    return ranks.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
+
+
 def top_k(ranks: DataFrame, k: int = 20, by: Sequence[str] = ()) -> DataFrame:
     """The k best per slice as ``(by…, rank, email, pagerank)``, numbered from 1.
 
     Without slices each task keeps its own k best and only those are merged.
     With slices, Spark limits each task to its k best per slice before the
-    shuffle, so a large slice arrives as k rows per task.
+    shuffle, so a large slice arrives as k rows per task. It does so up to a
+    certain k; beyond, the slice is first cut into parts, each with its k best.
     """
     if by:
-        window = Window.partitionBy(*by).orderBy(*_best_first())
-        numbered = ranks.withColumn("place", F.row_number().over(window)).where(
-            F.col("place") <= k
-        )
+        limit = ranks.sparkSession.conf.get(GROUP_LIMIT_SETTING, "1000")
+        if k > int(limit):
+            part = F.pmod(F.xxhash64("id"), F.lit(SLICE_PARTS))
+            ranks = _first(ranks.withColumn("_part", part), k, [*by, "_part"])
+        numbered = _first(ranks, k, by)
     else:
         best = ranks.orderBy(*_best_first()).limit(k)
         numbered = best.withColumn("place", F.row_number().over(Window.orderBy(*_best_first())))

@@ -229,7 +229,9 @@ POINTS = _with(MAIL, FEATURE, scaled("feature", QUOTED_FEATURES))
 
 
 def _round_features(table: str, digits: int) -> str:
-    return ", ".join(f'round({table}.f{i}, {digits}) AS "{c}"' for i, c in enumerate(FEATURES))
+    return ", ".join(
+        f'round({table}.f{i}, {digits}) + 0.0 AS "{c}"' for i, c in enumerate(FEATURES)
+    )
 
 
 def _clustered(*fits: str) -> str:
@@ -240,8 +242,8 @@ def oracle_sql() -> dict[str, str]:
     mail, fields = _with(MAIL), _with(MAIL, FIELDS)
     tokens = _with(MAIL, TOKEN)
     features = _with(MAIL, FEATURE)
-    return {
-        "read_messages": fields
+    messages = (
+        fields
         + r"""SELECT msg_id AS file,
   'Message-ID: <' || k || '.' || part || '@en.example.com>' || chr(10) || 'Date: ' || date_text
   || chr(10) || 'From: ' || from_text || chr(10)
@@ -251,17 +253,24 @@ def oracle_sql() -> dict[str, str]:
   || 'X-From: "Sales"' || chr(10) || chr(10) || 'Order ' || k || ' is "on its way".'
   || chr(10) || chr(10) || '  To: whom it may concern, no header' || chr(10) || 'Regards'
   || chr(10) AS message
-FROM field""",
-        "edges_roundtrip": mail + "SELECT src, dst, type, ym FROM edge",
-        "edges": mail + "SELECT src, dst, type, ym FROM edge",
+FROM field"""
+    )
+    edges = mail + "SELECT src, dst, type, ym FROM edge"
+    directory = mail + """SELECT src AS email FROM mail WHERE skip_reason IS NULL
+UNION SELECT dst FROM edge"""
+    return {
+        "read_messages": messages,
+        "read_large_dump": messages,
+        "incremental_edges": edges,
+        "edges_roundtrip": edges,
+        "edges": edges,
         "tracked_seed": BASIC
         + "SELECT place AS rank, email, round(score, 10) AS pagerank FROM top WHERE place <= 5",
         "header_fields": fields
         + """SELECT msg_id AS file, false AS is_blank, from_text, coalesce(to_list, '') AS to_text,
   coalesce(cc_list, '') AS cc_text, date_text FROM field""",
-        "persons": mail
-        + """SELECT src AS email FROM mail WHERE skip_reason IS NULL
-UNION SELECT dst FROM edge""",
+        "persons": directory,
+        "persons_roundtrip": directory,
         "clean_address": tokens
         + """SELECT token, CASE WHEN person % 50 <> 0 AND line % 3 = 2 THEN plain ELSE token END
   AS address, count(*) AS times FROM token JOIN mail USING (k, part) GROUP BY ALL""",
@@ -398,7 +407,7 @@ SELECT *, basic_rank - log_rank AS log_move, basic_rank - freq_rank AS freq_move
         "cluster_centers": _clustered(kmeans(4))
         + "SELECT cluster, "
         + ", ".join(
-            f'round(f{i} * s{i} + m{i}, 6) AS "{c}"' for i, c in enumerate(FEATURES)
+            f'round(f{i} * s{i} + m{i}, 6) + 0.0 AS "{c}"' for i, c in enumerate(FEATURES)
         )
         + " FROM centre, stats",
         "cluster_profile": _clustered(kmeans(4))

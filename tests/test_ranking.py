@@ -35,6 +35,18 @@ def test_large_slice_is_limited_before_the_shuffle(quarterly):
     assert "row_number(), 2, Partial" in plan
 
 
+def test_large_k_is_taken_in_parts(spark):
+    ranks = spark.range(6000).selectExpr(
+        "concat('1998-Q', id % 1) quarter", "concat('p', id) id", "(id * 7919 % 6000) / 1e7 rank"
+    )
+    top = top_k(ranks, 1500, ["quarter"])
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(quarter" in plan and "_part" in plan
+    rows = sorted(top.collect(), key=lambda row: row["rank"])
+    assert [row["rank"] for row in rows] == list(range(1, 1501))
+    assert [row.pagerank for row in rows] == [(5999 - i) / 1e7 for i in range(1500)]
+
+
 def test_track_is_zero_filled(quarterly):
     series = track(quarterly, ["a@x.y", "nobody@x.y"])
     assert sorted(map(tuple, series.collect())) == [
