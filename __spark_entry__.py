@@ -6,6 +6,7 @@ feature and clustering queries start from the rendered raw mails.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -300,7 +301,30 @@ def entry(spark: SparkSession) -> DataFrame:
     return _top20(spark, "/root/testdata/sf0.001")
 
 
+def _added() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and oracles of the training-data operators, where they are installed."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    if importlib.util.find_spec("mailweave.llm") is None or not os.path.exists(
+        os.path.join(here, "mailweave", "llm", "queries.py")
+    ):
+        return {}, {}
+    from mailweave.llm import queries as added
+
+    functions, texts = dict(added.queries()), dict(added.oracle_sql())
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        functions["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            texts["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return functions, texts
+
+
 def queries() -> dict[str, Query]:
+    return _mail_queries() | _added()[0]
+
+
+def _mail_queries() -> dict[str, Query]:
     return {
         # sources and message parsing
         "read_messages": _read_messages,
@@ -370,4 +394,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    return _oracle_sql() | _added()[1]

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from oracles import oracle_sql
 from tests.oracle import differences, tables
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = entry_module._mail_queries()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
