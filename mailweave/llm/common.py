@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,6 +21,23 @@ SLICE_BYTES = 1 << 22
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, as ``--py-files`` would; once per session."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="mailweave-code-")
+    copy = os.path.join(folder, "copy", os.path.basename(package))
+    shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    archive = os.path.join(folder, os.path.basename(package))
+    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(copy)))
+    _shipped.add(context.applicationId)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table of the shared folder; its shuffle files go at once.
 

@@ -2,17 +2,73 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import bpe_matrix
+from mailweave.llm import bpe_matrix, packing, separator_scan
+from mailweave.llm.common import ship
+from mailweave.session import stage_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The end id of the flat files, and the ids of the 15-bit digits before each document.
+END_OF_DOCUMENT = 50256
+DIGITS = 5
+
+
+def _with_digits(doc_id, ids):
+    """``doc_id`` as five ids below 32768 (the last one 1 more by 16 for null), then the ids.
+
+    A flat file says nothing about its documents but their order, so the query writes the
+    number of each document into the document.
+    """
+    number = F.coalesce(doc_id, F.lit(0).cast("long"))
+    digits = [F.shiftrightunsigned(number, 15 * i).bitwiseAND(F.lit(0x7FFF)) for i in range(4)]
+    top = F.shiftrightunsigned(number, 60).bitwiseAND(F.lit(0xF))
+    digits.append(top + F.when(doc_id.isNull(), F.lit(16)).otherwise(F.lit(0)))
+    # two hexadecimal bytes of each digit, the low one first
+    byte = lambda x: F.lpad(F.hex(x), 2, "0")
+    text = [c for d in digits for c in (byte(d.bitwiseAND(F.lit(255))), byte(F.shiftright(d, 8)))]
+    return F.concat(F.unhex(F.concat(*text)), ids)
+
+
+def _number(head):
+    """The ``doc_id`` in the digits at the head of a document."""
+    value = lambda i: F.conv(
+        F.hex(F.concat(F.substring(head, 2 * i + 2, F.lit(1)), F.substring(head, 2 * i + 1, F.lit(1)))), 16, 10
+    ).cast("long")
+    top = value(4)
+    number = F.shiftleft(top.bitwiseAND(F.lit(0xF)), 60)
+    for i in range(4):
+        number = number.bitwiseOR(F.shiftleft(value(i), 15 * i))
+    return F.when(top < 16, number)
+
+
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as flat token files, then count the tokens of each by scanning."""
+    ids = separator_scan.document_ids(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+    folder = stage_path(spark, "flat")
+    numbered = ids.select(_with_digits(F.col("doc_id"), F.col("ids_bytes")).alias("ids_bytes"))
+    separator_scan.write_flat(numbered, folder, END_OF_DOCUMENT)
+    counted = separator_scan.count_tokens(spark, folder, END_OF_DOCUMENT, head=DIGITS)
+    return counted.select(
+        _number(F.col("head")).alias("doc_id"),
+        (F.col("n_tokens") - DIGITS).alias("n_tokens"),
+        "document",
+        "start",
+    )
+
+
 def op6_bpe_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids, and digest both."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,10 +84,35 @@ def op6_bpe_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
-def queries() -> dict:
-    return {
+def op9_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of 1024 tokens."""
+    return packing.pack(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        end_id=2,
+        capacity=1024,
+    )
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _with_code(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    found = {
+        "op5_separator_scan": op5_separator_scan,
         "op6_bpe_matrix": op6_bpe_matrix,
+        "op9_linear_grouping": op9_linear_grouping,
     }
+    return {name: _with_code(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
