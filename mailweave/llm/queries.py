@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import bpe_matrix, packing, separator_scan
+from mailweave.llm import arc_warc, bpe_matrix, packing, separator_scan
 from mailweave.llm.common import ship
 from mailweave.session import stage_path
 
@@ -95,6 +95,43 @@ def op9_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the pages as ARC archives, convert them to WARC, and read those back."""
+    arc, warc = stage_path(spark, "arc"), stage_path(spark, "warc")
+    arc_warc.write_arc(_table(spark, sf_dir, "pages"), arc)
+    arc_warc.convert(spark, arc, warc, revisit_from=0)
+    records = arc_warc.read_warc(spark, warc).where(F.col("type").isin("response", "revisit"))
+    return records.select(
+        arc_warc.header_number(F.col("head"), arc_warc.PAGE_HEADER).alias("page_id"),
+        arc_warc.header_number(F.col("head"), "Content-Length").alias("payload_bytes"),
+        F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers_to_page").cast("long").alias("refers_to"),
+    )
+
+
+# base32 of a SHA-1: each five hexadecimal digits are four letters
+_BASE32 = """
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4)::INT)) & 31),
+        1)), '')
+"""
+
+OP10_SQL = f"""
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+        sha1(coalesce(html, '')) AS hex
+    FROM pages
+), w AS (
+    SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS winner FROM p
+)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> winner THEN winner END AS refers_to
+FROM w
+"""
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -111,9 +148,12 @@ def queries() -> dict[str, Query]:
         "op5_separator_scan": op5_separator_scan,
         "op6_bpe_matrix": op6_bpe_matrix,
         "op9_linear_grouping": op9_linear_grouping,
+        "op10_arc_to_warc": op10_arc_to_warc,
     }
     return {name: _with_code(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op10_arc_to_warc": OP10_SQL,
+    }
