@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bpe_matrix, packing, separator_scan
+from mailweave.llm import arc_warc, bpe_matrix, packing, quality_lines, separator_scan
 from mailweave.llm.common import ship
 from mailweave.session import stage_path
 
@@ -17,6 +17,68 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of line-first cleaning for every document."""
+    judged = quality_lines.clean_lines(_table(spark, sf_dir, "documents"))
+    return judged.withColumn("cleaned_sha256", F.sha2("cleaned", 256)).drop("cleaned")
+
+
+_WORD = "'[^\\x20\\x09-\\x0D]+'"
+
+OP3_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+    SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM d
+), w AS (
+    SELECT r, line, pos, regexp_extract_all(line, {_WORD}) AS words FROM lines
+), judged AS (
+    SELECT r, line, pos, words, len(words) AS n,
+        list_sum(list_transform(words, lambda x: length(x))) AS chars,
+        len(list_filter(words, lambda x: regexp_matches(x, '{quality_lines.NOISY_END}'))) AS noisy,
+        len(list_filter(words, lambda x: regexp_matches(x, '{quality_lines.SEPARATOR}'))) AS seps,
+        len(list_filter(words, lambda x: regexp_matches(x, '^(?i:{quality_lines.MENU})$'))) AS menu,
+        regexp_matches(line, '(?i:{quality_lines.BOILERPLATE})') AS boiler,
+        len(words) > 0 AND row_number() OVER (PARTITION BY r, line ORDER BY pos) > 1 AS dup
+    FROM w
+), failed AS (
+    SELECT *, n > 0 AND (4 * noisy > n OR (seps >= 2 AND 5 * seps >= n)
+        OR (n <= 4 AND menu = n) OR boiler) AS fails
+    FROM judged
+), by_doc AS (
+    SELECT r, sum(n)::BIGINT AS n_words, coalesce(sum(chars), 0)::BIGINT AS word_chars,
+        sum(dup::INT)::BIGINT AS n_dup_lines, sum(fails::INT)::BIGINT AS n_lines_removed,
+        coalesce(sum(chars) FILTER (fails), 0)::BIGINT AS lost_chars,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT fails), '') AS cleaned
+    FROM failed GROUP BY r
+), all_words AS (
+    SELECT r, unnest(regexp_extract_all(text, {_WORD})) AS word,
+        generate_subscripts(regexp_extract_all(text, {_WORD}), 1) AS i
+    FROM d
+), windows AS (
+    SELECT r, i, word, lead(word) OVER o AS b, lead(word, 2) OVER o AS c
+    FROM all_words WINDOW o AS (PARTITION BY r ORDER BY i)
+), often AS (
+    SELECT r, i, c IS NOT NULL AND count(*) OVER (PARTITION BY r, word, b, c) >= 2 AS often FROM windows
+), covered AS (
+    SELECT r, i, often OR coalesce(lag(often) OVER o, false) OR coalesce(lag(often, 2) OVER o, false) AS covered
+    FROM often WINDOW o AS (PARTITION BY r ORDER BY i)
+), repeats AS (
+    SELECT r, sum(covered::INT)::BIGINT AS n_repeat_words FROM covered GROUP BY r
+), counted AS (
+    SELECT doc_id, n_words, word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines_removed, lost_chars,
+        sha256(cleaned) AS cleaned_sha256
+    FROM d JOIN by_doc USING (r) LEFT JOIN repeats USING (r)
+), based AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT *, NOT base_failed AND NOT (100 * lost_chars > 30 * word_chars) AS kept FROM based
+"""
+
+
 #: The end id of the flat files, and the ids of the 15-bit digits before each document.
 END_OF_DOCUMENT = 50256
 DIGITS = 5
@@ -145,6 +207,7 @@ def _with_code(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {
+        "op3_line_rules": op3_line_rules,
         "op5_separator_scan": op5_separator_scan,
         "op6_bpe_matrix": op6_bpe_matrix,
         "op9_linear_grouping": op9_linear_grouping,
@@ -155,5 +218,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_line_rules": OP3_SQL,
         "op10_arc_to_warc": OP10_SQL,
     }
