@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bpe_matrix, packing, quality_lines, separator_scan
-from mailweave.llm.common import ship
+from mailweave.llm import arc_warc, bpe_matrix, packing, quality_lines, separator_scan, simhash
+from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
 
 
@@ -146,6 +146,18 @@ def op6_bpe_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts; for every 50th id also the
+    number of other documents within 3 bits (null for the rest)."""
+    prints = written(simhash.compare_in_order(_table(spark, sf_dir, "documents")), "prints")
+    asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
+    near = written(simhash.near_counts(prints, prints.where(asked)), "near")
+    return prints.join(near, ["high", "low"], "left").select(
+        *(c for c in prints.columns if c not in ("high", "low")),
+        F.when(asked, F.col("n_near") - 1).alias("n_near"),
+    )
+
+
 def op9_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
     return packing.pack(
@@ -210,6 +222,7 @@ def queries() -> dict[str, Query]:
         "op3_line_rules": op3_line_rules,
         "op5_separator_scan": op5_separator_scan,
         "op6_bpe_matrix": op6_bpe_matrix,
+        "op7_simhash": op7_simhash,
         "op9_linear_grouping": op9_linear_grouping,
         "op10_arc_to_warc": op10_arc_to_warc,
     }
