@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bpe_matrix, packing, quality_lines, separator_scan, simhash
+from mailweave.llm import arc_warc, bpe_matrix, langid, packing, quality_lines, separator_scan, simhash
 from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
 
@@ -79,6 +79,15 @@ SELECT *, NOT base_failed AND NOT (100 * lost_chars > 30 * word_chars) AS kept F
 """
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from labelled documents that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    documents = documents.select("doc_id", "text", "lang", held_out.alias("held_out"))
+    learned = documents.where(~F.col("held_out") & F.col("doc_id").isNotNull())
+    return langid.identify(documents, langid.fit(learned), keep=["doc_id", "held_out"])
+
+
 #: The end id of the flat files, and the ids of the 15-bit digits before each document.
 END_OF_DOCUMENT = 50256
 DIGITS = 5
@@ -220,6 +229,7 @@ def _with_code(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {
         "op3_line_rules": op3_line_rules,
+        "op4_kneser_ney": op4_kneser_ney,
         "op5_separator_scan": op5_separator_scan,
         "op6_bpe_matrix": op6_bpe_matrix,
         "op7_simhash": op7_simhash,
