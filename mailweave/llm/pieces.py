@@ -8,43 +8,73 @@ the ids of the cuts it has met.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import regex
 
-#: Cuts a worker remembers, about 150 bytes each.
-REMEMBERED = 400_000
+#: Cuts a worker remembers, about 150 bytes each: the first ones met, which are the
+#: frequent ones, and none over `LONGEST` characters.
+REMEMBERED = 500_000
+LONGEST = 64
+
+# The usual pattern of byte-level tokenizers, and what it comes to in texts
+# of ASCII and Latin letters alone, where classes can be listed and need no Unicode tables.
+_USUAL = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+_LETTERS, _SPACES = "A-Za-zÀ-ÖØ-öø-ſ", "\t-\r "
+_OTHER = re.compile(f"[^{_SPACES}!-~À-ÖØ-öø-ſ]").search
+_LATIN = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_SPACES}0-9{_LETTERS}]+"
+    f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+).findall
+
+
+def cutter(pattern: str) -> Callable[[str], list[str]]:
+    """The function that cuts a text by ``pattern``."""
+    general = regex.compile(pattern).findall
+    if pattern != _USUAL:
+        return general
+    return lambda text: general(text) if _OTHER(text) else _LATIN(text)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Known(dict):
+    """Cut -> its ids as bytes; unknown cuts are encoded when they are looked up."""
+
+    def __init__(self, model):
+        super().__init__()
+        self._model, self._letters = model, _byte_letters()
+
+    def __missing__(self, cut: str) -> bytes:
+        text = cut.encode().decode("latin-1").translate(self._letters)
+        ids = np.array([token.id for token in self._model.tokenize(text)], "<u4").tobytes()
+        if len(self) < REMEMBERED and len(cut) <= LONGEST:
+            self[cut] = ids
+        return ids
 
 
 class CutIds:
-    """Encoder of one tokenizer file; special tokens in a text are ordinary text."""
+    """Encoder of one byte-level tokenizer file; special tokens in a text are ordinary text."""
 
     def __init__(self, content: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_str(content)
-        self._tokenizer.encode_special_tokens = True
-        self._cut = regex.compile(pattern).findall
-        self._known: dict[str, bytes] = {}
+        self._cut = cutter(pattern)
+        self._ids = _Known(Tokenizer.from_str(content).model).__getitem__
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cuts = [self._cut(text) for text in texts]
-        unknown = set().union(*cuts).difference(self._known)
-        if unknown:
-            if len(self._known) + len(unknown) > REMEMBERED:
-                self._known = {}
-                unknown = set().union(*cuts)
-            unknown = list(unknown)
-            for first in range(0, len(unknown), 20_000):
-                some = unknown[first : first + 20_000]
-                found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
-                for cut, encoding in zip(some, found):
-                    self._known[cut] = np.array(encoding.ids, "<u4").tobytes()
-        look = self._known.__getitem__
-        return [b"".join(map(look, row)) for row in cuts]
+        return [b"".join(map(self._ids, self._cut(text))) for text in texts]
 
 
 _encoders: dict[int, CutIds] = {}
