@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bpe_matrix, langid, packing, quality_lines, separator_scan, simhash
+from mailweave.llm import arc_warc, bagminhash, bpe_matrix, langid, packing, quality_lines, separator_scan, simhash
 from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
 
@@ -167,6 +167,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: windows of five words, overlap of 0.8."""
+    found = bagminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
 def op9_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
     return packing.pack(
@@ -233,6 +239,7 @@ def queries() -> dict[str, Query]:
         "op5_separator_scan": op5_separator_scan,
         "op6_bpe_matrix": op6_bpe_matrix,
         "op7_simhash": op7_simhash,
+        "op8_bagminhash": op8_bagminhash,
         "op9_linear_grouping": op9_linear_grouping,
         "op10_arc_to_warc": op10_arc_to_warc,
     }
