@@ -12,10 +12,12 @@ one or two points.
 
 Candidates. Texts of equal words are one node from here on. Nodes meet in the buckets of 16
 bands of 4 slots. A bucket of up to `SMALL` nodes pairs them all. In a larger one every node is
-paired with the leader alone, the node that has most company over all its bands, which in a family
-of copies is the text they were made from; and the bucket is split by further bands, until
-its parts are small. So pairs grow with the nodes and not with their square, while copies
-that resemble each other more than the leader still meet in a part of their own.
+paired with `LEADERS` leaders alone, the nodes that have most company over all their bands and
+then the fewest windows, which in a family of copies are the text they were made from and those
+closest to it; and the bucket is split by further bands, until its parts are small. So pairs grow with the nodes and not with their square, while copies
+that resemble each other more than the leader still meet in a part of their own. They also
+meet in the slots in which they differ from the leader but not from each other, since what
+links two copies without linking either to the leader is what both have changed.
 
 Candidates whose signatures agree too little for the threshold are dropped (`SLACK` standard
 deviations), the others are verified on the whole texts. Classes are the connected
@@ -34,7 +36,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +46,11 @@ from mailweave.llm.components import components
 SLOTS, ROWS = 64, 4
 BANDS = SLOTS // ROWS
 #: Nodes of a bucket that are paired with one another.
-SMALL = 8
+SMALL = 40
+#: Leaders of a larger bucket.
+LEADERS = 4
 #: The further bands by which a large bucket is split, counted from its own, per round.
-SPLITS = ((1, 6), (3, 9), (5, 12))
+SPLITS = ((1, 6), (3, 9))
 #: Standard deviations below the threshold at which the slots' estimate drops a pair.
 SLACK = 4.0
 REMEMBERED = 400_000
@@ -135,11 +139,18 @@ def _signed(window: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             rows = [_words(text or "") for text in part.column(1).to_pylist()]
-            found = signatures(*bags(rows, window), len(rows))
+            owner, hashes, counts = bags(rows, window)
+            windows = np.bincount(owner, counts, minlength=len(rows)).astype(np.int64)
+            found = signatures(owner, hashes, counts, len(rows))
             signed = [sig.tobytes() if row else None for row, sig in zip(rows, found)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(map(_key, rows), pa.string()), pa.array(signed, pa.binary())],
-                names=["id", "key", "signature"],
+                [
+                    part.column(0),
+                    pa.array(map(_key, rows), pa.string()),
+                    pa.array(signed, pa.binary()),
+                    pa.array(windows),
+                ],
+                names=["id", "key", "signature", "windows"],
             )
 
     return run
@@ -176,35 +187,70 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return small.withColumnRenamed("key", "a").join(other, "value").where("a < b").select("a", "b")
 
 
-def _leader_pairs(members: DataFrame, company: DataFrame) -> DataFrame:
+def _led(members: DataFrame, company: DataFrame, leaders: int = 1) -> DataFrame:
+    """(leader, key) of the large buckets."""
     large = written(members.where(F.col("n") > SMALL).select("value", "key").join(company, "key"), "large")
-    leaders = large.groupBy("value").agg(F.max(F.struct("company", "key")).alias("leader"))
-    pairs = large.join(written(leaders, "leaders"), "value").select(
-        F.least("key", "leader.key").alias("a"), F.greatest("key", "leader.key").alias("b")
-    )
-    return pairs.where("a < b")
+    # a task keeps its own first ranks before the shuffle, so a large bucket is no large group
+    first = Window.partitionBy("value").orderBy(F.desc("company"), "windows", "key")
+    ranked = large.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= leaders)
+    ranked = written(ranked.select("value", F.col("key").alias("leader")), "leaders")
+    led = large.select("value", "key").join(ranked, "value")
+    return led.select("leader", "key").where("leader <> key").distinct()
+
+
+def _ordered(led: DataFrame) -> DataFrame:
+    return led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b"))
+
+
+def _by_chance(members: DataFrame) -> DataFrame:
+    """Leaders by hash instead of company, where buckets should differ in their leaders."""
+    found = members.select("key").distinct().withColumn("company", F.xxhash64("key"))
+    return written(found.withColumn("windows", F.lit(0)), "company")
+
+
+def _differences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, key): a row for each slot in which a node differs from its leader."""
+    for part in batches:
+        if part.num_rows:
+            lead, own = (
+                np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint32).reshape(-1, SLOTS)
+                for i in (2, 3)
+            )
+            row, slot = np.nonzero(lead != own)
+            names = np.array([xxhash.xxh3_64_intdigest(x) for x in part.column(0).to_pylist()], np.uint64)
+            value = _mixed(names[row] + _STEP * slot.astype(np.uint64)) ^ own[row, slot].astype(np.uint64)
+            keys = part.column(1).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_mixed(value).view(np.int64)), keys], names=["value", "key"]
+            )
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of keys that meet in a bucket, from nodes (key, signature)."""
+    """Distinct pairs (a < b) of keys that meet in a bucket, from nodes (key, signature, windows)."""
     bands = F.array(
         *(F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * ROWS * i, 4 * ROWS)) for i in range(BANDS))
     )
     banded = nodes.select("key", bands.alias("bands"))
     members = _sized(banded.select("key", F.posexplode("bands").alias("band", "value")))
-    company = written(members.groupBy("key").agg(F.sum("n").alias("company")), "company")
-    pairs = [written(_all_pairs(members).union(_leader_pairs(members, company)).distinct(), "pairs")]
+    company = members.groupBy("key").agg(F.sum("n").alias("company"))
+    company = written(company.join(nodes.select("key", "windows"), "key"), "company")
+    led = written(_led(members, company, LEADERS), "led")
+    pairs = [written(_all_pairs(members).union(_ordered(led)).distinct(), "pairs")]
+
+    pointed = led.withColumnsRenamed({"leader": "a", "key": "b"})
+    unlike = _with_both(pointed, nodes, "signature").mapInArrow(_differences, "value long, key string")
+    sharing = _sized(written(unlike.distinct(), "differences"))
+    found = _all_pairs(sharing).union(_ordered(_led(sharing, _by_chance(sharing))))
+    pairs.append(written(found.distinct(), "pairs"))
+
     for further in SPLITS:
         large = members.where(F.col("n") > SMALL).select("value", "band", "key")
         step = F.explode(F.array(*map(F.lit, further)))
         wider = large.join(banded, "key").withColumn("step", step)
         value = F.xxhash64("value", F.col("bands")[(F.col("band") + F.col("step")) % BANDS])
         members = _sized(wider.select("key", "band", value.alias("value")))
-        # by now buckets differ in their leaders, so one by hash will do
-        chance = members.select("key").distinct().withColumn("company", F.xxhash64("key"))
-        company = written(chance, "company")
-        found = _all_pairs(members).union(_leader_pairs(members, company)).distinct()
-        pairs.append(written(found, "pairs"))
+        found = _all_pairs(members).union(_ordered(_led(members, _by_chance(members))))
+        pairs.append(written(found.distinct(), "pairs"))
     union = pairs[0]
     for more in pairs[1:]:
         union = union.union(more)
@@ -261,12 +307,16 @@ def near_duplicates(
     key the same for texts of equal words (null for texts without a word)."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     signed_schema = T.StructType([T.StructField("id", df.schema[id_col].dataType)])
-    signed_schema = signed_schema.add("key", "string").add("signature", "binary")
+    signed_schema = signed_schema.add("key", "string").add("signature", "binary").add("windows", "long")
     signed = written(rows.mapInArrow(_signed(window), signed_schema), "signed")
     nodes = written(
         signed.where("key IS NOT NULL")
         .groupBy("key")
-        .agg(F.min("id").alias("id"), F.any_value("signature").alias("signature")),
+        .agg(
+            F.min("id").alias("id"),
+            F.any_value("signature").alias("signature"),
+            F.any_value("windows").alias("windows"),
+        ),
         "nodes",
     )
     pairs = written(candidates(nodes), "candidates")
