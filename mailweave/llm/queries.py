@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bagminhash, bpe_matrix, langid, packing, quality_lines, separator_scan, simhash
+from mailweave.llm import arc_warc, bagminhash, bpe_matrix, langid, packing, quality_lines, separator_scan, simhash, suffix_family
 from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
 
@@ -17,6 +17,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that lie in a 200-byte string that occurs elsewhere."""
+    found = suffix_family.without_repeats(_table(spark, sf_dir, "documents"), length=200)
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", digest)
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict of line-first cleaning for every document."""
     judged = quality_lines.clean_lines(_table(spark, sf_dir, "documents"))
@@ -234,6 +241,7 @@ def _with_code(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {
+        "op2_suffix_family": op2_suffix_family,
         "op3_line_rules": op3_line_rules,
         "op4_kneser_ney": op4_kneser_ney,
         "op5_separator_scan": op5_separator_scan,
