@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bagminhash, bpe_matrix, langid, packing, quality_lines, separator_scan, simhash, suffix_family
+from mailweave.llm import arc_warc, bagminhash, bpe_matrix, langid, packing, pii, quality_lines, separator_scan, simhash, suffix_family
 from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
 
@@ -17,6 +17,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, and those the span classifier adds."""
+    candidates = pii.with_candidates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = written(candidates.drop("text"), "candidates")
+    chances = pii.classify(pii.cell_counts(found))
+    of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    every = pii.accepted(chances)
+    return found.select(
+        "doc_id",
+        *(of(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(every).alias("spans"),
+        (F.size(every) - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 def op2_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes that lie in a 200-byte string that occurs elsewhere."""
     found = suffix_family.without_repeats(_table(spark, sf_dir, "documents"), length=200)
@@ -241,6 +257,7 @@ def _with_code(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {
+        "op1_weak_supervision": op1_weak_supervision,
         "op2_suffix_family": op2_suffix_family,
         "op3_line_rules": op3_line_rules,
         "op4_kneser_ney": op4_kneser_ney,
