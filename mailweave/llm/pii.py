@@ -160,7 +160,7 @@ def _votes(kind: str, sort: str, m: Column, before: Column, after: Column) -> li
 
 
 def _spans(df: DataFrame, text: str, kind: str, sort: str) -> DataFrame:
-    """Adds a column kind_sort: the matches that pass, as (start, end, order, kind, cell)."""
+    """Adds a column kind_sort: the matches that pass, as (start, order, end, kind, cell)."""
     pattern, name = F.lit(PATTERNS[kind, sort]), f"__{kind}_{sort}"
     needs = _NEEDS.get((kind, sort), lambda t: t.rlike("[0-9]"))(F.col(text))
     none = F.array().cast("array<string>")
@@ -186,13 +186,13 @@ def _spans(df: DataFrame, text: str, kind: str, sort: str) -> DataFrame:
         cell = F.concat_ws(",", F.lit(kind), F.lit(sort), *(v.cast("string") for v in votes), size.cast("string"))
         return F.struct(
             s[i].alias("start"),
-            (s[i] + F.length(match)).alias("end"),
             F.lit(KINDS.index(kind)).alias("order"),
+            (s[i] + F.length(match)).alias("end"),
             F.lit(kind).alias("kind"),
             F.when(_passes(kind, match) if sort == "base" else F.lit(True), cell).alias("cell"),
         )
 
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,order:int,kind:string,cell:string>>")
+    empty = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string,cell:string>>")
     passed = F.filter(F.transform(m, span), lambda x: x["cell"].isNotNull())
     df = df.withColumn(name, F.when(some, passed).otherwise(empty))
     return df.drop(*(f"{name}_{x}" for x in "mpds"))
