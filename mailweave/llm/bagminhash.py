@@ -14,10 +14,10 @@ Candidates. Texts of equal words are one node from here on. Nodes meet in the bu
 bands of 4 slots. A bucket of up to `SMALL` nodes pairs them all. In a larger one every node is
 paired with `LEADERS` leaders alone, the nodes that have most company over all their bands and
 then the fewest windows, which in a family of copies are the text they were made from and those
-closest to it; and the bucket is split by further bands, until its parts are small. So pairs grow with the nodes and not with their square, while copies
-that resemble each other more than the leader still meet in a part of their own. They also
-meet in the slots in which they differ from the leader but not from each other, since what
-links two copies without linking either to the leader is what both have changed.
+closest to it. So pairs grow with the nodes and not with their square. Copies that resemble each
+other more than the leader also meet in the slots in which they differ from the leader but not
+from each other, since what links them without linking either to the leader is what both have
+changed.
 
 Candidates whose signatures agree too little for the threshold are dropped (`SLACK` standard
 deviations), the others are verified on the whole texts. Classes are the connected
@@ -49,11 +49,11 @@ BANDS = SLOTS // ROWS
 SMALL = 40
 #: Leaders of a larger bucket.
 LEADERS = 4
-#: The further bands by which a large bucket is split, counted from its own, per round.
-SPLITS = ((1, 6), (3, 9))
 #: Standard deviations below the threshold at which the slots' estimate drops a pair.
 SLACK = 4.0
 REMEMBERED = 400_000
+#: Bits of a key in the bitmap that spares most texts which are not needed the shuffle.
+BITMAP = 24
 
 _words = re.compile(r"[^ \t-\r]+").findall
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -156,20 +156,41 @@ def _signed(window: int):
     return run
 
 
-def _keyed_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text), each key once per task."""
-    seen: set[str] = set()
-    for part in slices(batches, 0):
-        keys, texts = [], []
-        for text in part.column(0).to_pylist():
-            key = _key(_words(text or ""))
-            if key is not None and key not in seen:
-                seen.add(key)
-                keys.append(key)
-                texts.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(texts, pa.string())], names=["key", "text"]
-        )
+def _key_bits(needed: DataFrame) -> bytes:
+    """A bitmap of the first `BITMAP` bits of all keys; 2 MB on the driver, whatever the input."""
+    place = F.conv(F.substring("key", 1, BITMAP // 4), 16, 10).cast("long") + 1
+    parts = needed.groupBy(F.call_function("bitmap_bucket_number", place).alias("bucket")).agg(
+        F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", place)).alias("bits")
+    )
+    size = (1 << 15) // 8
+    bits = bytearray((1 << BITMAP) // 8)
+    for part in parts.collect():
+        first = (part.bucket - 1) * size
+        bits[first : first + len(part.bits)] = part.bits
+    return bytes(bits)
+
+
+def _keyed_texts(bits: bytes):
+    """(key, text) of texts whose key may be needed, each key once per task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for part in slices(batches, 0):
+            keys, texts = [], []
+            for text in part.column(0).to_pylist():
+                key = _key(_words(text or ""))
+                if key is None or key in seen:
+                    continue
+                place = int(key[: BITMAP // 4], 16)
+                if bits[place >> 3] >> (place & 7) & 1:
+                    seen.add(key)
+                    keys.append(key)
+                    texts.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(texts, pa.string())], names=["key", "text"]
+            )
+
+    return run
 
 
 # ---- candidates -------------------------------------------------------------
@@ -188,14 +209,14 @@ def _all_pairs(members: DataFrame) -> DataFrame:
 
 
 def _led(members: DataFrame, company: DataFrame, leaders: int = 1) -> DataFrame:
-    """(leader, key) of the large buckets."""
+    """(leader, key, first: whether the leader is the first of a bucket) of the large buckets."""
     large = written(members.where(F.col("n") > SMALL).select("value", "key").join(company, "key"), "large")
     # a task keeps its own first ranks before the shuffle, so a large bucket is no large group
     first = Window.partitionBy("value").orderBy(F.desc("company"), "windows", "key")
     ranked = large.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= leaders)
-    ranked = written(ranked.select("value", F.col("key").alias("leader")), "leaders")
-    led = large.select("value", "key").join(ranked, "value")
-    return led.select("leader", "key").where("leader <> key").distinct()
+    ranked = written(ranked.select("value", F.col("key").alias("leader"), "rank"), "leaders")
+    led = large.select("value", "key").join(ranked, "value").where("leader <> key")
+    return led.groupBy("leader", "key").agg((F.min("rank") == 1).alias("first"))
 
 
 def _ordered(led: DataFrame) -> DataFrame:
@@ -231,30 +252,19 @@ def candidates(nodes: DataFrame) -> DataFrame:
         *(F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * ROWS * i, 4 * ROWS)) for i in range(BANDS))
     )
     banded = nodes.select("key", bands.alias("bands"))
-    members = _sized(banded.select("key", F.posexplode("bands").alias("band", "value")))
+    members = _sized(banded.select("key", F.explode("bands").alias("value")))
     company = members.groupBy("key").agg(F.sum("n").alias("company"))
     company = written(company.join(nodes.select("key", "windows"), "key"), "company")
     led = written(_led(members, company, LEADERS), "led")
     pairs = [written(_all_pairs(members).union(_ordered(led)).distinct(), "pairs")]
 
-    pointed = led.withColumnsRenamed({"leader": "a", "key": "b"})
+    pointed = led.where("first").select(F.col("leader").alias("a"), F.col("key").alias("b"))
     unlike = _with_both(pointed, nodes, "signature").mapInArrow(_differences, "value long, key string")
     sharing = _sized(written(unlike.distinct(), "differences"))
     found = _all_pairs(sharing).union(_ordered(_led(sharing, _by_chance(sharing))))
     pairs.append(written(found.distinct(), "pairs"))
 
-    for further in SPLITS:
-        large = members.where(F.col("n") > SMALL).select("value", "band", "key")
-        step = F.explode(F.array(*map(F.lit, further)))
-        wider = large.join(banded, "key").withColumn("step", step)
-        value = F.xxhash64("value", F.col("bands")[(F.col("band") + F.col("step")) % BANDS])
-        members = _sized(wider.select("key", "band", value.alias("value")))
-        found = _all_pairs(members).union(_ordered(_led(members, _by_chance(members))))
-        pairs.append(written(found.distinct(), "pairs"))
-    union = pairs[0]
-    for more in pairs[1:]:
-        union = union.union(more)
-    return union.distinct()
+    return written(pairs[0].union(pairs[1]).distinct(), "candidates")
 
 
 def _alike(least: float):
@@ -319,14 +329,15 @@ def near_duplicates(
         ),
         "nodes",
     )
-    pairs = written(candidates(nodes), "candidates")
+    pairs = candidates(nodes)
     least = threshold - SLACK * (threshold * (1 - threshold) / SLOTS) ** 0.5
     alike = _with_both(pairs, nodes, "signature").mapInArrow(_alike(least), "a string, b string")
     alike = written(alike, "alike")
     needed = written(
         alike.select(F.col("a").alias("key")).union(alike.select("b")).distinct(), "needed"
     )
-    texts = rows.select("text").mapInArrow(_keyed_texts, "key string, text string")
+    # texts that pass the bitmap by chance are dropped by the join
+    texts = rows.select("text").mapInArrow(_keyed_texts(_key_bits(needed)), "key string, text string")
     texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text"))
     texts = written(texts, "texts")
     both = _with_both(alike, texts, "text")
