@@ -313,8 +313,9 @@ def near_duplicates(
     window: int = 5,
     threshold: float = 0.8,
 ) -> DataFrame:
-    """(id, class_id, key): one row per input row; class_id is the least id of its class and
-    key the same for texts of equal words (null for texts without a word)."""
+    """(id, class_id, key, label): one row per input row; class_id is the least id of its class,
+    key the same for texts of equal words, label the same within a class (both null for texts
+    without a word)."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     signed_schema = T.StructType([T.StructField("id", df.schema[id_col].dataType)])
     signed_schema = signed_schema.add("key", "string").add("signature", "binary").add("windows", "long")
@@ -347,8 +348,57 @@ def near_duplicates(
     named = named.withColumn("label", F.coalesce("label", "key"))
     named = written(named, "named")
     classes = named.groupBy("label").agg(F.min("id").alias("class_id"))
-    classes = written(named.join(written(classes, "classes"), "label").select("key", "class_id"), "keys")
+    classes = written(named.join(written(classes, "classes"), "label").select("key", "label", "class_id"), "keys")
     removed(pairs, alike, needed, texts, links, nodes)
     return signed.select("id", "key").join(classes, "key", "left").select(
-        "id", F.coalesce("class_id", "id").alias("class_id"), "key"
+        "id", F.coalesce("class_id", "id").alias("class_id"), "key", "label"
     )
+
+
+def _keyed_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, id, key), rows of one id and key once per task."""
+    seen: set[tuple] = set()
+    for part in slices(batches, 2):
+        keys = [_key(_words(text or "")) for text in part.column(2).to_pylist()]
+        new = []
+        for own in zip(part.column(1).to_pylist(), keys):
+            new.append(own[1] is None or own not in seen)
+            if own[1] is not None:
+                seen.add(own)
+        found = [part.column(0), part.column(1), pa.array(keys, pa.string())]
+        yield pa.RecordBatch.from_arrays(found, names=["row", "id", "key"]).filter(pa.array(new, pa.bool_()))
+
+
+def one_of_each(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 5,
+    threshold: float = 0.8,
+) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each class the row of least id (then of
+    least key) stays, and one of several with that id and those words. Rows without a word
+    all stay. All columns stay."""
+    found = near_duplicates(df, id_col, text_col, window, threshold).where("key IS NOT NULL")
+    rows = found.groupBy("label", "id", "key").agg(F.count("*").alias("times"))
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "key", "times")
+    first = rows.groupBy("label").agg(F.min(order).alias("first"))
+    first = written(
+        first.select(*(F.col(f"first.{c}").alias(f"first_{c}") for c in ("id", "key", "times"))), "first"
+    )
+    keyed = df.select(
+        F.struct(*df.columns).alias("row"),
+        F.col(id_col).alias("id"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    schema = T.StructType([keyed.schema["row"], keyed.schema["id"]]).add("key", "string")
+    same = (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id"))
+    chosen = keyed.mapInArrow(_keyed_rows, schema).join(first, same, "left")
+    chosen = chosen.where("key IS NULL OR first_key IS NOT NULL")
+    if not first.where("first_times > 1").limit(1).count():
+        return chosen.select("row.*")
+    # several tasks may hold rows of the same id and words, each task one of them
+    chosen = written(chosen, "chosen")
+    once = chosen.where("first_times IS NULL OR first_times = 1").select("row")
+    often = chosen.where("first_times > 1").groupBy("id", "key").agg(F.first("row").alias("row"))
+    return once.union(often.select("row")).select("row.*")

@@ -37,7 +37,7 @@ def op2_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes that lie in a 200-byte string that occurs elsewhere."""
     found = suffix_family.without_repeats(_table(spark, sf_dir, "documents"), length=200)
     digest = F.sha2("kept", 256).alias("kept_sha256")
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", digest)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", digest)
 
 
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

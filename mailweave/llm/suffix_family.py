@@ -27,12 +27,13 @@ an empty table. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailweave.llm.common import removed, slices, written
 
@@ -346,12 +347,15 @@ def _contexts(length: int, windows: bool):
     return bring
 
 
-def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with a key (id, text_hash) that is the same for equal rows only."""
+def _rows(df: DataFrame, id_col: str, text_col: str, keep: Sequence[str]) -> DataFrame:
+    """Rows with a key (id, text_hash) that is the same for equal ids and texts only."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     return df.select(
-        own.alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("data")
+        own.alias("id"),
+        F.xxhash64(text).alias("text_hash"),
+        text.cast("binary").alias("data"),
+        F.struct(*keep).alias("row"),
     )
 
 
@@ -422,23 +426,27 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((len(text), gone, spans, b"".join(kept)))
         columns = [pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 3 + [pa.binary()])]
         yield pa.RecordBatch.from_arrays(
-            [part.column(0), *columns], names=["id", "n_bytes", "n_removed", "n_spans", "kept"]
+            [part.column(0), *columns], names=["row", "n_bytes", "n_removed", "n_spans", "kept"]
         )
 
 
 def without_repeats(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = 200,
+    keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept): one row per input row; kept are the bytes that
-    remain, n_spans the maximal removed runs."""
-    rows = _rows(df, id_col, text_col)
+    """(row, n_bytes, n_removed, n_spans, kept): one row per input row; row has the ``keep``
+    columns, kept the bytes that remain, and n_spans counts the maximal removed runs."""
+    rows = _rows(df, id_col, text_col, keep)
     cover = repeats(rows, length)
     lists = cover.groupBy("id", "text_hash").agg(
         F.collect_list("low").alias("low"), F.collect_list("high").alias("high")
     )
     lists = written(lists, "lists")
-    joined = rows.join(lists, ["id", "text_hash"], "left").select(
-        F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id")).alias("id"), "data", "low", "high"
-    )
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return joined.mapInArrow(_cut, schema)
+    joined = rows.join(lists, ["id", "text_hash"], "left").select("row", "data", "low", "high")
+    schema = T.StructType([joined.schema["row"]])
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(name, T.LongType())
+    return joined.mapInArrow(_cut, schema.add("kept", T.BinaryType()))
