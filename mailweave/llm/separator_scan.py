@@ -90,7 +90,7 @@ _BLOCKS = (
 def _scan(separator: bytes, head: int):
     """Task: the lines of its splits -> blocks with all hits of the separator."""
     width = len(separator)
-    edge = max(width - 1, head)
+    edge = width - 1 + head  # a document may begin within the separator of the block before
     wanted = np.frombuffer(separator, np.uint8)
 
     def block(key, number, size, data: bytes, context: bytes):
@@ -103,7 +103,7 @@ def _scan(separator: bytes, head: int):
         hits = np.flatnonzero(found) - len(context)
         hits = hits[hits + width > 0].tolist()
         heads = [data[h + width : h + width + head] for h in hits]
-        return (*key, number, size, len(data), data[:edge], data[-edge:], hits, heads)
+        return (*key, number, size, len(data), data[:edge], data[len(data) - min(edge, len(data)) :], hits, heads)
 
     def batch(rows):
         columns = list(zip(*rows))
