@@ -77,7 +77,7 @@ def _arc_header(version: int, url: str, date: str, mime: str, status: int, name:
 def _text_files(rows: DataFrame, path: str) -> None:
     value = F.col("record").cast("string").alias("value")
     writer = rows.select(value).write.option("lineSep", "\n").option("maxRecordsPerFile", 0)
-    writer.option("compression", "gzip").text(path)
+    writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_arc(
