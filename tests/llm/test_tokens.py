@@ -1,0 +1,181 @@
+"""Byte-level BPE, packing and the separator scan against the libraries and brute force."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import public_tokenizers
+from mailweave.llm import bpe_matrix, packing, pieces, separator_scan
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
+
+
+def _texts(n, seed=1):
+    rng = random.Random(seed)
+    ranges = [(32, 127), (0xA0, 0x500), (0x3000, 0xA000), (1, 0x20), (0x1F300, 0x1F700)]
+    out = ["", " ", "\n\n  x", "'s 're", "<|endoftext|>", "漢" * 400, "ab" * 3000, "²½_x\x1c\x85 y"]
+    for _ in range(n):
+        size = rng.choice([1, 3, 10, 60])
+        out.append("".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(size)))
+        out.append(" ".join(rng.choice(["th", "er", "é", "ß"]) * rng.randrange(90) for _ in range(5)))
+    return out
+
+
+def test_codec_equals_tiktoken():
+    with open(RANKS, "rb") as file:
+        codec = bpe_matrix.Codec(file.read(), PATTERN)
+    library = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=codec.rank, special_tokens={})
+    texts = _texts(300)
+    for text, ids in zip(texts, codec.encode(texts)):
+        assert np.frombuffer(ids, np.int32).tolist() == library.encode_ordinary(text)
+
+
+def test_encode_and_decode_tables(spark):
+    rows = [(1, "the thing", "x"), (1, "the thing", "x"), (None, None, "y"), (2, "", "z"), (3, "漢\x00é", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+    encoded = bpe_matrix.encode(df, RANKS, PATTERN)
+    back = bpe_matrix.decode(encoded, RANKS, PATTERN, keep=["doc_id", "ids"])
+    found = sorted((r.doc_id or 0, bytes(r.decoded).decode(), len(r.ids)) for r in back.collect())
+    assert [f[:2] for f in found] == [(0, ""), (1, "the thing"), (1, "the thing"), (2, ""), (3, "漢\x00é")]
+    assert found[0][2] == 0
+    assert bpe_matrix.encode(df.limit(0), RANKS, PATTERN).count() == 0
+    nothing = encoded.withColumn("ids", F.lit(None).cast("array<int>"))
+    assert {r.decoded for r in bpe_matrix.decode(nothing, RANKS, PATTERN).collect()} == {None}
+
+
+def test_cut_ids_equal_the_library():
+    content = pieces.file_content(TOKENIZER)
+    library = Tokenizer.from_str(content)
+    library.encode_special_tokens = True
+    texts = _texts(300, seed=2)
+    for text, ids in zip(texts, pieces.CutIds(content, PATTERN).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def _filled(histogram, capacity, **options):
+    rules, used = packing.plan(histogram, capacity, **options)
+    sequences = {}
+    for length, n in histogram.items():
+        own = sorted(r for r in rules if r.length == length)
+        for rule, after in zip(own, [*own[1:], None]):
+            for rank in range(rule.rank, after.rank if after else n):
+                step = rank - rule.rank
+                place = rule.offset + step % rule.each * length
+                sequences.setdefault(rule.sequence + step // rule.each, []).append((place, length))
+    for places in sequences.values():
+        at = 0
+        for place, length in sorted(places):
+            assert place == at
+            at += length
+        assert at <= capacity
+    assert sorted(sequences) == list(range(used))
+    return used
+
+
+def test_plans_are_gapless_and_complete():
+    rng = random.Random(3)
+    for _ in range(100):
+        capacity = rng.choice([8, 16, 100])
+        sizes = Counter(rng.randint(1, capacity) for _ in range(rng.randint(1, 200)))
+        _filled(sizes, capacity, groups=rng.choice([1, 3, 50]))
+    assert packing.plan({}, 1024) == ([], 0)
+
+
+def test_plan_is_close_to_the_bound():
+    lengths = np.minimum(np.random.default_rng(0).lognormal(6.3, 0.9, 20000).astype(int), 20000)
+    sizes = Counter(int(x) % 1024 + 1 for x in lengths)
+    assert _filled(sizes, 1024) <= 1.001 * sum(k * n for k, n in sizes.items()) / 1024
+
+
+def test_pack_table(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = {1: "one two three", 2: None, 3: "", 4: "word " * 50, 5: "a b c d e " * 9}
+    rows = [(i, t, 9) for i, t in texts.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, piece long").repartition(2)
+    found = packing.pack(df, TOKENIZER, PATTERN, end_id=2, capacity=16).collect()
+    spans = {}
+    for i, text in texts.items():
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        own = sorted((r for r in found if r.doc_id == i), key=lambda r: r.piece)
+        assert [r.length for r in own[1:]] == [16] * (len(own) - 1)
+        assert sum(r.length for r in own) == len(ids)
+        for r in own:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+            spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in spans.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 16
+    assert packing.pack(df.limit(0), TOKENIZER, PATTERN, end_id=2).count() == 0
+
+
+def test_pack_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "same text")] * 40, "doc_id long, text string")
+    found = packing.pack(df, TOKENIZER, PATTERN, end_id=2, capacity=9).collect()
+    assert len({(r.sequence_id, r.offset) for r in found}) == len(found) == 40
+
+
+@pytest.mark.parametrize("width, end_id", [(2, 50256), (2, 10), (4, 2), (4, 0x0A0A0A0A), (1, 0)])
+def test_scan_equals_brute_force(spark, tmp_path, width, end_id):
+    rng = np.random.default_rng(width + end_id)
+    end = end_id.to_bytes(width, "little")
+    expected, files = [], 3
+    for k in range(files):
+        parts = []
+        for i in range(300):
+            ids = rng.choice(end_id + np.array([1, 2, 255, 256]), rng.integers(0, 40)) % (1 << 8 * width)
+            noise = rng.integers(0, 256, rng.integers(0, 40) * width).astype(np.uint8).tobytes()
+            data = b"".join(int(x).to_bytes(width, "little") for x in ids) + noise
+            data = b"".join(
+                data[j : j + width] for j in range(0, len(data), width) if data[j : j + width] != end
+            )
+            if k == 1 and i == 0:
+                data = b"\xef\xbb\xbf\x01" + data if width != 1 else data
+                data = data[: len(data) // width * width]
+            parts.append(data)
+        whole = end.join(parts) + (b"" if k == 0 else end)
+        if k == 0 and not parts[-1]:
+            parts.pop()
+        (tmp_path / f"part-{k}").write_bytes(whole)
+        expected += [(len(p) // width, p[: 3 * width]) for p in parts]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        found = separator_scan.count_tokens(spark, str(tmp_path), end_id, width, head=3).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert Counter((r.n_tokens, bytes(r["head"])) for r in found) == Counter(expected)
+    for file in {r.file for r in found}:
+        own = sorted((r for r in found if r.file == file), key=lambda r: r.document)
+        assert [r.document for r in own] == list(range(len(own)))
+        at = 0
+        for r in own:
+            assert r.start == at
+            at += r.n_tokens + 1
+    assert sum(not r.complete for r in found) <= 1
+
+
+def test_write_flat_then_scan(spark, tmp_path):
+    texts = ["one two", None, "", "three " * 30, "one two"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    ids = separator_scan.document_ids(df, TOKENIZER, PATTERN)
+    separator_scan.write_flat(ids, str(tmp_path / "flat"), 50256)
+    library = Tokenizer.from_file(TOKENIZER)
+    wanted = Counter(len(library.encode(t or "").ids) for t in texts)
+    found = separator_scan.count_tokens(spark, str(tmp_path / "flat"), 50256).collect()
+    assert Counter(r.n_tokens for r in found) == wanted
+    separator_scan.write_flat(ids.limit(0), str(tmp_path / "none"), 50256)
+    assert separator_scan.count_tokens(spark, str(tmp_path / "none"), 50256).count() == 0
