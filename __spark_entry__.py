@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mailweave import operators as op
 from mailweave import sources
-from mailweave.functions import clean_address, is_valid_address
+from mailweave.functions import clean_address, is_valid_address, quarter_of
 from mailweave.functions.addresses import SEPARATORS
 from mailweave.operators.features import FEATURES
 from mailweave.session import shared_folder, stage_path
@@ -109,6 +109,36 @@ def _edges_roundtrip(spark, sf_dir):
     return sources.read_edges(spark, path, "tsv")
 
 
+def _edges_short_lines(spark, sf_dir):
+    """Lines kept and left out per number of required fields, from a list whose lines are
+    short or have empty fields, by the number in the recipient's address."""
+    number = F.regexp_extract("dst", "[0-9]+", 0).cast("long") % 5
+    line = (
+        F.when(number == 0, F.concat_ws("\t", "src", "dst"))
+        .when(number == 1, F.concat_ws("\t", "src", "dst", F.lit(""), "ym"))
+        .when(number == 2, F.concat_ws("\t", "src", "dst", F.lit("")))
+        .otherwise(F.concat_ws("\t", "src", "dst", "type", "ym"))
+    )
+    path = stage_path(spark, "short-lines")
+    _edges(spark, sf_dir).select(line.alias("value")).write.text(path)
+    rows = []
+    for fields in (2, 3, 4):
+        kept = sources.read_edges(spark, path, "tsv", fields)
+        weight = F.sum(F.when(F.col("type") == "cc", 0.5).otherwise(1.0))
+        measures = {
+            "kept": F.count("*").cast("double"),
+            "weight": weight,
+            "dated": F.count(quarter_of(F.col("ym"))).cast("double"),
+        }
+        named = [F.struct(F.lit(k).alias("measure"), F.col(k).alias("value")) for k in measures]
+        counted = kept.agg(*[v.alias(k) for k, v in measures.items()]).select(F.inline(F.array(*named)))
+        left_out = sources.count_short_lines(spark, path, "tsv", fields).select(
+            F.lit("left_out").alias("measure"), F.col("short_lines").cast("double").alias("value")
+        )
+        rows.append(counted.union(left_out).select(F.lit(fields).alias("fields"), "measure", "value"))
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 def _simple(spark, sf_dir):
     return op.simple_graph(_edges(spark, sf_dir))
 
@@ -268,8 +298,7 @@ def _kmeans_embeddings(spark, sf_dir):
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
         "vec_id", *[F.col("embedding")[i].alias(name) for i, name in enumerate(dims)]
     )
-    fit = op.kmeans(vectors, dims, k=4, iterations=5, tol=0.0, id_col="vec_id")
-    return fit.assignments
+    return op.kmeans(vectors, dims, k=4, id_col="vec_id").assignments
 
 
 def _cluster_sizes(spark, sf_dir):
@@ -341,6 +370,7 @@ def _mail_queries() -> dict[str, Query]:
         "sent_hour": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "hour"),
         "edges": _on_parsed(op.build_edges),
         "edges_roundtrip": _edges_roundtrip,
+        "edges_short_lines": _edges_short_lines,
         "ingest_metrics": _on_parsed(op.ingest_metrics),
         "scale_summary": _on_parsed(op.scale_summary),
         # graph

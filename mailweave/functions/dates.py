@@ -16,13 +16,17 @@ MONTHS = [
     "July", "August", "September", "October", "November", "December",
 ]
 
-# Zone names and their offset from UTC in minutes.
+# Zone names and their offset from UTC in minutes. Some names are used in
+# several places; here AST is Atlantic, BST British summer, CST and EST North American, IST
+# Indian and SST Samoan time.
 ZONE_MINUTES = {
-    "GMT": 0, "UTC": 0,
-    "EST": -300, "EDT": -240,
-    "CST": -360, "CDT": -300,
-    "MST": -420, "MDT": -360,
-    "PST": -480, "PDT": -420,
+    "GMT": 0, "UTC": 0, "UT": 0, "WET": 0, "WEST": 60, "BST": 60,
+    "CET": 60, "CEST": 120, "MET": 60, "MEST": 120, "EET": 120, "EEST": 180, "MSK": 180,
+    "NST": -210, "NDT": -150, "AST": -240, "ADT": -180, "BRT": -180, "ART": -180,
+    "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360,
+    "PST": -480, "PDT": -420, "AKST": -540, "AKDT": -480, "HST": -600, "SST": -660,
+    "SAST": 120, "IST": 330, "SGT": 480, "HKT": 480, "AWST": 480, "JST": 540, "KST": 540,
+    "ACST": 570, "ACDT": 630, "AEST": 600, "AEDT": 660, "NZST": 720, "NZDT": 780,
 }
 
 # Month value of a mail whose date cannot be read or is out of range.
@@ -37,11 +41,11 @@ def _names(words: list[str]) -> str:
 # Weekday, day, month, year, time and zone; anything after the zone is ignored.
 # The weekday must be there but is not checked against the date.
 _DATE = (
-    rf"(?is)^(?:{_names(WEEKDAYS)}), [ \t]*(\d{{1,4}}) [ \t]*({_names(MONTHS)})"
-    r" [ \t]*(\d{1,4}) [ \t]*(\d{1,4}):[ \t]*(\d{1,4}):[ \t]*(\d{1,4}) [ \t]*"
+    rf"(?is)^(?:{_names(WEEKDAYS)}), [ \t]*(\d++) [ \t]*({_names(MONTHS)})"
+    r" [ \t]*(\d++) [ \t]*(\d++):[ \t]*(\d++):[ \t]*(\d++) [ \t]*"
     r"([+-](?:[01]\d|2[0-3])[0-5]\d"
     r"|GMT[+-](?:[01]?\d|2[0-3]):[0-5]\d"
-    rf"|{'|'.join(ZONE_MINUTES)}).*$"
+    rf"|{'|'.join(sorted(ZONE_MINUTES, key=len, reverse=True))}).*$"
 )
 
 
@@ -61,10 +65,12 @@ def _zone_seconds(zone: Column) -> Column:
 def _instant(parts: Column) -> Column:
     """Instant from day, month name, year, hour, minute, second, zone at 1 to 7."""
 
-    def number(position: int) -> Column:
-        return parts[position].try_cast("int")
+    def number(position: int, most: int = 9_999_999) -> Column:
+        # what lies beyond these bounds is beyond the range of a timestamp
+        value = parts[position].try_cast("bigint")
+        return F.when(value <= most, value.cast("int"))
 
-    first = F.make_date(number(3), _month_number(parts[2]), F.lit(1))
+    first = F.make_date(number(3, 200_000), _month_number(parts[2]), F.lit(1))
     seconds = number(6) - _zone_seconds(parts[7])
     shift = F.make_dt_interval(number(1) - 1, number(4), number(5), seconds.cast("decimal(18,6)"))
     return first.cast("timestamp_ntz") + shift

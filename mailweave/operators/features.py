@@ -82,9 +82,33 @@ def person_counts(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFra
     )
 
 
+def _copies(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame:
+    """Copies sent, received and sent at night per person; one shuffle, on the person."""
+    hour, zero, one = F.col("hour"), F.lit(0), F.lit(1)
+    sent = F.size("to") + F.size("cc")
+    at_night = F.when((hour >= night[0]) & (hour < night[1]), sent).otherwise(0)
+
+    def share(email, sent, recv, night_copies):
+        return F.struct(
+            email.alias("email"),
+            sent.cast("bigint").alias("sent"),
+            recv.cast("bigint").alias("recv"),
+            night_copies.cast("bigint").alias("night"),
+        )
+
+    recipients = F.transform(F.concat("to", "cc"), lambda dst: share(dst, zero, one, zero))
+    shares = F.concat(F.array(share(F.col("src"), sent, zero, at_night)), recipients)
+    return (
+        parsed.where(F.col("skip_reason").isNull())
+        .select(F.inline(shares))
+        .groupBy("email")
+        .agg(*[F.sum(name).alias(name) for name in ("sent", "recv", "night")])
+    )
+
+
 def sent_recv(parsed: DataFrame) -> DataFrame:
     """Copies sent and received per person."""
-    return person_counts(parsed).select("email", "sent", "recv")
+    return _copies(parsed).select("email", "sent", "recv")
 
 
 def degrees(parsed: DataFrame) -> DataFrame:
@@ -94,14 +118,25 @@ def degrees(parsed: DataFrame) -> DataFrame:
 
 def night_ratio(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame:
     """Copies sent at night, and their share of the copies sent."""
-    return person_counts(parsed, night).select(
+    return _copies(parsed, night).select(
         "email", "night", ratio(F.col("night"), F.col("sent")).alias("nightRatio")
     )
 
 
 def active_months(parsed: DataFrame) -> DataFrame:
     """Number of known months in which a person sent a mail."""
-    return person_counts(parsed).select("email", F.col("active_months").alias("activeMonths"))
+    kept = F.col("skip_reason").isNull()
+    months = F.filter(F.array("ym"), lambda month: month != NO_MONTH)
+    people = F.concat(
+        F.array(F.struct(F.col("src").alias("email"), F.get(months, F.lit(0)).alias("ym"))),
+        F.transform(
+            F.concat("to", "cc"),
+            lambda dst: F.struct(dst.alias("email"), F.lit(None).cast("string").alias("ym")),
+        ),
+    )
+    # (person, month) once per task, then once; a month of NULL keeps the person
+    each = parsed.where(kept).select(F.inline(people)).distinct()
+    return each.groupBy("email").agg(F.count("ym").alias("activeMonths"))
 
 
 def person_features(parsed: DataFrame, night: tuple[int, int] = (0, 6)) -> DataFrame:

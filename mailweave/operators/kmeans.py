@@ -6,6 +6,7 @@ starting points and, per iteration, K rows of sums.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -82,19 +83,28 @@ def collect_centroids(points: DataFrame, cols: Sequence[str]) -> Centroids:
 def nearest(cols: Sequence[str], centroids: Centroids) -> Column:
     """Number of the centre at least squared distance, the lowest on a tie.
 
-    The centres are constants of the expression. It is written as SQL text:
-    K times the number of columns is many terms to build one by one.
+    The centres are one typed constant and the point is one array, so the expression has
+    the same size whatever K and the number of columns are.
     """
+    point = F.array(*[F.col(c) for c in cols])
+    centres = F.from_json(F.lit(json.dumps(centroids)), "array<array<double>>")
 
-    def distance(centre: list[float]) -> str:
-        moves = [f"(`{c}` - ({x!r}D))" for c, x in zip(cols, centre, strict=True)]
-        return " + ".join(f"{move} * {move}" for move in moves)
+    def distance(centre: Column) -> Column:
+        moves = F.zip_with(point, centre, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(moves, F.lit(0.0), lambda total, move: total + move)
+
+    numbered = F.transform(
+        centres, lambda centre, i: F.struct(distance(centre).alias("distance"), i.alias("cluster"))
+    )
+    return F.array_min(numbered)["cluster"]
 
-    numbered = [
-        f"named_struct('distance', {distance(centre)}, 'cluster', {number})"
-        for number, centre in enumerate(centroids)
-    ]
-    return F.expr(f"array_min(array({', '.join(numbered)})).cluster")
+
+def complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows in which every column is a finite number."""
+    for c in cols:
+        value = F.abs(F.col(c).cast("double"))
+        df = df.where(value < F.lit(float("inf")))  # neither NULL, NaN nor infinite
+    return df
 
 
 def assign(df: DataFrame, cols: Sequence[str], centroids: Centroids) -> DataFrame:
@@ -125,9 +135,14 @@ def kmeans(
     id_col: str = "email",
 ) -> KMeansResult:
     """Lloyd's algorithm on z-scores, until the centres move less than ``tol``
-    (sum of squared moves) or for at most ``iterations``."""
+    (sum of squared moves) or for at most ``iterations``.
+
+    Rows with a NULL, NaN or infinite value have no place among the points: they do not
+    enter the fit and get no cluster.
+    """
     shared_folder(df.sparkSession)
-    points = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]).checkpoint()
+    points = complete(df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]), cols)
+    points = points.checkpoint()
     means, stds = collect_stats(points, cols)
     scaled = standardize(points, cols, means, stds).persist(StorageLevel.MEMORY_AND_DISK)
     centroids = collect_centroids(init_centroids(scaled, k, seed, id_col), cols)

@@ -4,8 +4,7 @@ Every order is a mail from its customer to the parts of its lines; customers
 and parts share one id space. ``edges`` derives the edge multiset straight from
 the tables, ``messages`` renders the same mails as raw text to be parsed back.
 
-A mail holds at most ``LINES_PER_MAIL`` lines; an order with more becomes
-several mails, so the text of a mail is bounded. Both tables grow with the
+An order is one mail, whatever its number of lines. Both tables grow with the
 data, so they are merged and neither is broadcast.
 """
 
@@ -16,8 +15,6 @@ from pyspark.sql import functions as F
 
 from mailweave.functions.dates import NO_MONTH
 
-LINES_PER_MAIL = 50
-
 
 def address(number: Column) -> Column:
     return F.concat(F.lit("p"), number.cast("string"), F.lit("@en.example.com"))
@@ -29,10 +26,9 @@ def _clock(instant: str) -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``k, part, line, person, cc`` of every line."""
+    """``k, line, person, cc`` of every line."""
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_orderkey").alias("k"),
-        F.floor(F.col("l_linenumber") / LINES_PER_MAIL).alias("part"),
         F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("person"),
         (F.col("l_returnflag") == "R").alias("cc"),
@@ -53,14 +49,20 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``src, dst, type, ym`` by the rules of the mails, without any text."""
+    """``src, dst, type, ym`` by the rules of the mails, without any text.
+
+    Lines move once, to their order; before that only one row per order and task
+    tells whether the order has a To.
+    """
     lines = _lines(spark, sf_dir)
-    has_to = lines.groupBy("k", "part").agg(F.bool_or(~F.col("cc")).alias("has_to"))
+    has_to = lines.where(~F.col("cc")).select("k").distinct()
+    mails = _orders(spark, sf_dir).where(F.col("k") % 101 != 0).join(
+        has_to.hint("merge"), "k", "left_semi"
+    )
     known = (F.col("k") % 97 != 0) & F.year("sent").between(1998, 2002)
     return (
         lines.where(F.col("person") % 50 != 0)
-        .join(has_to.where("has_to").hint("merge"), ["k", "part"])
-        .join(_orders(spark, sf_dir).where(F.col("k") % 101 != 0).hint("merge"), "k")
+        .join(mails.hint("merge"), "k")
         .where(F.col("person") != F.col("sender"))
         .select(
             address(F.col("sender")).alias("src"),
@@ -88,9 +90,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw message table ``file, message``."""
     token = _token(F.col("line"), F.col("person"))
     lines = F.collect_list(F.struct("line", "cc", token.alias("token")))
-    mails = (
-        _lines(spark, sf_dir).groupBy("k", "part").agg(F.array_sort(lines).alias("all"))
-    )
+    mails = _lines(spark, sf_dir).groupBy("k").agg(F.array_sort(lines).alias("all"))
 
     def field(name: str, cc: bool) -> Column:
         kept = F.filter("all", lambda line: line["cc"] == F.lit(cc))
@@ -102,9 +102,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.when(F.col("k") % 97 == 0, "0001").otherwise(F.substring(_clock("sent"), 1, 4))
     time = F.substring(_clock("sent"), 11, 9)
     sender = F.when(F.col("k") % 101 == 0, "system").otherwise(address(F.col("sender")))
-    key, number = F.col("k").cast("string"), F.coalesce("part", F.lit(0)).cast("string")
+    key = F.col("k").cast("string")
     text = F.concat(
-        F.lit("Message-ID: <"), key, F.lit("."), number, F.lit("@en.example.com>\nDate: "),
+        F.lit("Message-ID: <"), key, F.lit("@en.example.com>\nDate: "),
         day, year, time, F.lit(" +0000 (UTC)\nFrom: "), sender, F.lit("\n"),
         F.coalesce(field("To", False), F.lit("")),
         F.lit("Subject: order "), key, F.lit("\n"),
@@ -112,11 +112,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('X-From: "Sales"\n\nOrder '), key,
         F.lit(' is "on its way".\n\n  To: whom it may concern, no header\nRegards\n'),
     )
-    # Inner, so that an order with very many mails can be spread over tasks.
-    orders = _orders(spark, sf_dir)
-    with_lines = mails.join(orders.hint("merge"), "k")
-    without_lines = orders.join(mails.select("k").distinct().hint("merge"), "k", "left_anti")
-    return with_lines.unionByName(without_lines, allowMissingColumns=True).select(
-        F.concat(F.lit("mail/"), key, F.lit("/"), number, F.lit(".")).alias("file"),
-        text.alias("message"),
+    orders = _orders(spark, sf_dir).hint("merge").join(mails.hint("merge"), "k", "left")
+    return orders.select(
+        F.concat(F.lit("mail/"), key, F.lit(".")).alias("file"), text.alias("message")
     )

@@ -1,4 +1,4 @@
-"""Read one very large message dump with many tasks.
+"""Read one very large message dump with many tasks: a one-off converter to parquet.
 
 Spark cannot split a CSV whose cells hold line ends: it does not know, in the
 middle of the file, whether a line end is inside quotes. Here the file is read
@@ -20,7 +20,8 @@ SPLIT = ["dump", "split"]
 def read_large_dump(spark: SparkSession, path: str) -> DataFrame:
     """``file, message`` of a CSV dump, as ``read_messages`` but splittable.
 
-    Cells that hold a quote must be quoted themselves, as CSV writers do. The
+    Cells that hold a quote must be quoted themselves, as CSV writers do; a file with an
+    odd number of quotes is an error. The
     text is shuffled twice, by split and by record; for a dump in many files
     ``read_messages`` is cheaper.
     """
@@ -83,6 +84,9 @@ def _split_offsets(lines: DataFrame) -> DataFrame:
     number = F.when(F.col("offset") == 0, F.col("if_closed")).otherwise(F.col("if_open"))
     offsets = counted.withColumn("offset", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
     last = F.when(F.col("number") > 0, F.struct("split", "number"))
+    quotes = F.sum("odd").over(Window.partitionBy("dump")) % 2
+    stray = F.raise_error(F.concat(F.lit("odd number of quotes in "), F.col("dump")))
+    offsets = offsets.withColumn("offset", F.when(quotes == 0, F.col("offset")).otherwise(stray.cast("bigint")))
     return offsets.withColumn("number", number).select(
         *SPLIT, "offset", F.last(last, ignorenulls=True).over(earlier).alias("carried")
     )

@@ -72,10 +72,12 @@ def write_edges(
 
 
 def _edge_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    reader = spark.read.schema(EDGE_SCHEMA)
-    if fmt == "tsv":
-        return reader.options(**UNQUOTED).csv(path)
-    return reader.format(fmt).load(path)
+    if fmt != "tsv":
+        return spark.read.schema(EDGE_SCHEMA).format(fmt).load(path)
+    # Split here and not by the CSV reader, which takes an empty field for a missing one.
+    parts = F.split("value", "\t")
+    fields = [F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(EDGE_COLUMNS)]
+    return spark.read.text(path).where(trim_blanks(F.col("value")) != "").select(*fields)
 
 
 def _long_enough(fields: int) -> Column:
@@ -89,7 +91,7 @@ def read_edges(
     """An edge list; lines with fewer than ``fields`` (2 to 4) are left out.
 
     Two fields are enough for the simple graph, three for weights, four for
-    quarters. Text is trimmed; parquet is read as it was written, so filters
+    quarters. A field may be empty; blank lines are no lines. Text is trimmed; parquet is read as it was written, so filters
     reach the scan.
     """
     kept = _edge_lines(spark, path, fmt).where(_long_enough(fields))

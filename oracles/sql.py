@@ -13,18 +13,18 @@ FEATURES = [
 
 MAIL = """
 line AS (
-  SELECT l_orderkey AS k, l_linenumber // 50 AS part, l_linenumber AS line,
+  SELECT l_orderkey AS k, l_linenumber AS line,
          l_partkey AS person, l_returnflag = 'R' AS cc
   FROM lineitem),
-gate AS (SELECT k, part, bool_or(NOT cc) AS has_to FROM line GROUP BY k, part),
+gate AS (SELECT k, bool_or(NOT cc) AS has_to FROM line GROUP BY k),
 dated AS (
-  SELECT o_orderkey AS k, coalesce(part, 0) AS part, o_custkey AS cust,
+  SELECT o_orderkey AS k, o_custkey AS cust,
          o_orderdate + (o_orderkey % 24) * INTERVAL 1 HOUR AS sent,
          coalesce(has_to, false) AS has_to
   FROM orders LEFT JOIN gate ON gate.k = o_orderkey),
 mail AS MATERIALIZED (
-  SELECT k, part, cust, sent, 'p' || cust || '@en.example.com' AS src,
-         'mail/' || k || '/' || part || '.' AS msg_id,
+  SELECT k, cust, sent, 'p' || cust || '@en.example.com' AS src,
+         'mail/' || k || '.' AS msg_id,
          CASE WHEN k % 97 <> 0 AND year(sent) BETWEEN 1998 AND 2002
               THEN strftime(sent, '%Y-%m') ELSE 'NA' END AS ym,
          CAST(k % 24 AS INTEGER) AS hour,
@@ -34,12 +34,12 @@ mail AS MATERIALIZED (
 edge AS MATERIALIZED (
   SELECT msg_id, src, 'p' || person || '@en.example.com' AS dst,
          CASE WHEN cc THEN 'cc' ELSE 'to' END AS type, ym, hour
-  FROM mail JOIN line USING (k, part)
+  FROM mail JOIN line USING (k)
   WHERE skip_reason IS NULL AND person % 50 <> 0 AND person <> cust)"""
 
 TOKEN = """
 token AS (
-  SELECT k, part, line, cc, person, 'p' || person || '@en.example.com' AS plain,
+  SELECT k, line, cc, person, 'p' || person || '@en.example.com' AS plain,
          CASE WHEN person % 50 = 0 THEN 'department: part ' || person
               WHEN line % 3 = 1 THEN upper('p' || person || '@en.example.com')
               WHEN line % 3 = 2
@@ -51,17 +51,17 @@ FIELDS = (
     TOKEN
     + """,
 joined AS (
-  SELECT k, part,
+  SELECT k,
          string_agg(token, ', ' ORDER BY line, token) FILTER (NOT cc) AS to_list,
          string_agg(token, ', ' ORDER BY line, token) FILTER (cc) AS cc_list
-  FROM token GROUP BY k, part),
+  FROM token GROUP BY k),
 field AS (
   SELECT mail.*, to_list, cc_list,
          CASE WHEN k % 101 = 0 THEN 'system' ELSE src END AS from_text,
          strftime(sent, '%a, %-d %b ')
            || CASE WHEN k % 97 = 0 THEN '0001' ELSE strftime(sent, '%Y') END
            || strftime(sent, ' %H:%M:%S +0000 (UTC)') AS date_text
-  FROM mail LEFT JOIN joined USING (k, part))"""
+  FROM mail LEFT JOIN joined USING (k))"""
 )
 
 QUARTER = "substr(ym, 1, 4) || '-Q' || ((CAST(substr(ym, 6, 2) AS INTEGER) + 2) // 3)"
@@ -245,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
     messages = (
         fields
         + r"""SELECT msg_id AS file,
-  'Message-ID: <' || k || '.' || part || '@en.example.com>' || chr(10) || 'Date: ' || date_text
+  'Message-ID: <' || k || '@en.example.com>' || chr(10) || 'Date: ' || date_text
   || chr(10) || 'From: ' || from_text || chr(10)
   || coalesce('To: ' || replace(to_list, ', ', ',' || chr(10) || chr(9)) || chr(10), '')
   || 'Subject: order ' || k || chr(10)
@@ -273,10 +273,10 @@ UNION SELECT dst FROM edge"""
         "persons_roundtrip": directory,
         "clean_address": tokens
         + """SELECT token, CASE WHEN person % 50 <> 0 AND line % 3 = 2 THEN plain ELSE token END
-  AS address, count(*) AS times FROM token JOIN mail USING (k, part) GROUP BY ALL""",
+  AS address, count(*) AS times FROM token JOIN mail USING (k) GROUP BY ALL""",
         "valid_address": tokens
         + """SELECT person % 50 <> 0 AS is_valid, count(*) AS tokens FROM token
-JOIN mail USING (k, part) GROUP BY ALL""",
+JOIN mail USING (k) GROUP BY ALL""",
         "recipients": mail + "SELECT msg_id, src, dst, type, ym, hour FROM edge",
         "skip_reasons": mail
         + """SELECT coalesce(skip_reason, 'valid') AS skip_reason, count(*) AS mails
@@ -319,6 +319,24 @@ FROM edge""",
         "pagerank_log": _with(MAIL, pagerank(LOG)) + "SELECT id, round(rank, 10) AS rank FROM rank",
         "pagerank_quarterly": QUARTERLY
         + "SELECT grp AS quarter, id, round(rank, 10) AS rank FROM rank",
+        "edges_short_lines": _with(
+            MAIL,
+            """
+numbered AS (
+  SELECT *, CAST(regexp_extract(dst, '[0-9]+') AS BIGINT) % 5 AS number FROM edge),
+listed AS (
+  SELECT CASE WHEN number = 0 THEN 2 WHEN number = 2 THEN 3 ELSE 4 END AS size,
+         CASE WHEN number >= 3 AND type = 'cc' THEN 0.5 ELSE 1.0 END::DOUBLE AS weight,
+         CASE WHEN number NOT IN (0, 2) AND ym <> 'NA' THEN 1 END AS dated
+  FROM numbered)""",
+        )
+        + """, counted AS (
+  SELECT CAST(f AS INTEGER) AS fields, (count(*) FILTER (size >= f))::DOUBLE AS kept,
+         sum(weight) FILTER (size >= f) AS weight,
+         (count(dated) FILTER (size >= f))::DOUBLE AS dated,
+         (count(*) FILTER (size < f))::DOUBLE AS left_out
+  FROM listed, range(2, 5) AS needed(f) GROUP BY f)
+UNPIVOT counted ON kept, weight, dated, left_out INTO NAME measure VALUE value""",
         "pagerank_step": _with(MAIL, pagerank(SIMPLE, iterations=1))
         + "SELECT id, round(rank, 10) AS rank FROM rank",
         "rank_mass": QUARTERLY
@@ -399,7 +417,7 @@ SELECT *, basic_rank - log_rank AS log_move, basic_rank - freq_rank AS freq_move
         "kmeans_k4": _clustered(kmeans(4)) + "SELECT id AS email, cluster FROM member",
         "kmeans_embeddings": _with(
             scaled("embeddings", [f"embedding[{i + 1}]" for i in range(VECTOR_DIMS)], "vec_id"),
-            kmeans(4, 5, tol=0.0, dims=VECTOR_DIMS),
+            kmeans(4, dims=VECTOR_DIMS),
         )
         + "SELECT id AS vec_id, cluster FROM member",
         "cluster_sizes": _clustered(kmeans(4))
