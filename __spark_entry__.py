@@ -154,17 +154,36 @@ def _weights_log(spark, sf_dir):
 # ---- centrality -------------------------------------------------------------
 
 
+def _kept_edges(spark, sf_dir):
+    """The edges as a table, for queries that rank them more than once."""
+    path = stage_path(spark, "edges")
+    sources.write_edges(_edges(spark, sf_dir), path)
+    return sources.read_edges(spark, path, fields=2)
+
+
+def _rank_basic(edges):
+    return op.pagerank(op.simple_graph(edges))
+
+
+def _rank_weighted(edges, mode):
+    return op.pagerank(op.edge_weights(edges, mode), weight="w")
+
+
+def _rank_quarterly(edges):
+    dated = op.with_quarter(edges)
+    return op.pagerank(op.simple_graph(dated, by=["quarter"]), by=["quarter"])
+
+
 def _basic(spark, sf_dir):
-    return op.pagerank(_simple(spark, sf_dir))
+    return _rank_basic(_edges(spark, sf_dir))
 
 
 def _weighted(mode: str) -> Query:
-    return lambda spark, sf_dir: op.pagerank(_weights(mode)(spark, sf_dir), weight="w")
+    return lambda spark, sf_dir: _rank_weighted(_edges(spark, sf_dir), mode)
 
 
 def _quarterly(spark, sf_dir):
-    edges = op.with_quarter(_edges(spark, sf_dir))
-    return op.pagerank(op.simple_graph(edges, by=["quarter"]), by=["quarter"])
+    return _rank_quarterly(_edges(spark, sf_dir))
 
 
 def _ranked(ranks: Query) -> Query:
@@ -198,8 +217,9 @@ def _tracked_seed(spark, sf_dir):
 
 
 def _tracked(spark, sf_dir):
-    seeds = op.seed_emails(_top20(spark, sf_dir), 5)
-    return op.track(_quarterly(spark, sf_dir), seeds), seeds
+    edges = _kept_edges(spark, sf_dir)
+    seeds = op.seed_emails(op.top_k(_rank_basic(edges)), 5)
+    return op.track(_rank_quarterly(edges), seeds), seeds
 
 
 def _tracked_series(spark, sf_dir):
@@ -220,12 +240,15 @@ def _peak_quarter(spark, sf_dir):
 
 
 def _rank_compare(spark, sf_dir):
-    log, freq = (op.top_k(_weighted(mode)(spark, sf_dir)) for mode in ("log", "freq"))
-    return op.rank_compare(_top20(spark, sf_dir), log, freq)
+    edges = _kept_edges(spark, sf_dir)
+    log, freq = (op.top_k(_rank_weighted(edges, mode)) for mode in ("log", "freq"))
+    return op.rank_compare(op.top_k(_rank_basic(edges)), log, freq)
 
 
 def _global_vs_quarterly(spark, sf_dir):
-    return op.global_vs_quarterly(_top20(spark, sf_dir), _top20_quarterly(spark, sf_dir))
+    edges = _kept_edges(spark, sf_dir)
+    quarters = op.top_k(_rank_quarterly(edges), by=["quarter"])
+    return op.global_vs_quarterly(op.top_k(_rank_basic(edges)), quarters)
 
 
 # ---- features and clusters --------------------------------------------------
@@ -311,15 +334,17 @@ def _cluster_centers(spark, sf_dir):
 
 
 def _cluster_profile(spark, sf_dir):
+    shared_folder(spark)
+    features = _features(spark, sf_dir).checkpoint()
     labels = {number: f"group_{number}" for number in range(4)}
-    profile = op.cluster_profile(
-        _members(4)(spark, sf_dir), _features(spark, sf_dir), FEATURES, 4, labels
-    )
+    members = op.kmeans(features, FEATURES, 4).assignments
+    profile = op.cluster_profile(members, features, FEATURES, 4, labels)
     return _rounded(profile, 6, *FEATURES)
 
 
 def _cluster_crosstab(spark, sf_dir):
-    return op.cluster_crosstab(_members(3)(spark, sf_dir), _members(4)(spark, sf_dir))
+    fits = op.kmeans_many(_features(spark, sf_dir), FEATURES, [3, 4])
+    return op.cluster_crosstab(fits[3].assignments, fits[4].assignments)
 
 
 # ---- contract ---------------------------------------------------------------

@@ -31,6 +31,7 @@ from mailweave.operators.kmeans import (
     column_stats,
     init_centroids,
     kmeans,
+    kmeans_many,
     standardize,
     update_centroids,
 )
@@ -88,6 +89,7 @@ __all__ = [
     "ingest_metrics",
     "init_centroids",
     "kmeans",
+    "kmeans_many",
     "night_ratio",
     "node_strength",
     "nodes",

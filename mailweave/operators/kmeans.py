@@ -140,11 +140,34 @@ def kmeans(
     Rows with a NULL, NaN or infinite value have no place among the points: they do not
     enter the fit and get no cluster.
     """
+    return kmeans_many(df, cols, [k], iterations, tol, seed, id_col)[k]
+
+
+def kmeans_many(
+    df: DataFrame,
+    cols: Sequence[str],
+    ks: Sequence[int],
+    iterations: int = 20,
+    tol: float = 1e-6,
+    seed: int = 42,
+    id_col: str = "email",
+) -> dict[int, KMeansResult]:
+    """`kmeans` for several k, on points that are checkpointed, scaled and cached once."""
     shared_folder(df.sparkSession)
     points = complete(df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]), cols)
     points = points.checkpoint()
     means, stds = collect_stats(points, cols)
     scaled = standardize(points, cols, means, stds).persist(StorageLevel.MEMORY_AND_DISK)
+    fits = {}
+    for k in ks:
+        centroids, history = _fit(scaled, cols, k, iterations, tol, seed, id_col)
+        final = assign(standardize(points, cols, means, stds), cols, centroids)
+        fits[k] = KMeansResult(final.select(id_col, "cluster"), centroids, means, stds, history)
+    scaled.unpersist()
+    return fits
+
+
+def _fit(scaled, cols, k, iterations, tol, seed, id_col) -> tuple[Centroids, list[float]]:
     centroids = collect_centroids(init_centroids(scaled, k, seed, id_col), cols)
     if len(centroids) < k:
         raise ValueError(f"k={k} but there are only {len(centroids)} points")
@@ -161,9 +184,7 @@ def kmeans(
         centroids = updated
         if history[-1] < tol:
             break
-    scaled.unpersist()
-    final = assign(standardize(points, cols, means, stds), cols, centroids)
-    return KMeansResult(final.select(id_col, "cluster"), centroids, means, stds, history)
+    return centroids, history
 
 
 def cluster_sizes(assignments: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@
     rank_quarters edges, top/basic   -> ranks/quarterly, top/quarterly, tracked
     cluster_people parsed            -> features, clusters/k=<k>, profiles/k=<k>
 
-The message text is read once, by ``ingest``; the other jobs read only the
+The ranking jobs also take any edge list, and the clustering job any feature table, by
+its path and format (parquet or tsv). The message text is read once, by ``ingest``; the other jobs read only the
 parquet columns they need and can be repeated or run side by side.
 """
 
@@ -41,14 +42,24 @@ def ingest(spark: SparkSession, messages: DataFrame, folder: str, **parse_option
 
 
 def rank_people(
-    spark: SparkSession, folder: str, mode: str = "basic", iterations: int = 10, k: int = 20
+    spark: SparkSession,
+    folder: str,
+    mode: str = "basic",
+    iterations: int = 10,
+    k: int = 20,
+    edges: str | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
-    """PageRank of the whole graph; ``mode`` is basic, freq or log. Returns the top k."""
+    """PageRank of the whole graph; ``mode`` is basic, freq or log. Returns the top k.
+
+    ``edges`` is the path of an edge list in ``fmt``; the default is the ingested one.
+    """
+    path = edges or f"{folder}/edges"
     if mode == "basic":
-        graph = op.simple_graph(read_edges(spark, f"{folder}/edges", fields=2))
+        graph = op.simple_graph(read_edges(spark, path, fmt, fields=2))
         ranks = op.pagerank(graph, iterations=iterations)
     else:
-        graph = op.edge_weights(read_edges(spark, f"{folder}/edges", fields=3), mode)
+        graph = op.edge_weights(read_edges(spark, path, fmt, fields=3), mode)
         ranks = op.pagerank(graph, weight="w", iterations=iterations)
     op.check_mass(ranks)
     ranks.write.mode("overwrite").parquet(f"{folder}/ranks/{mode}")
@@ -58,14 +69,20 @@ def rank_people(
 
 
 def rank_quarters(
-    spark: SparkSession, folder: str, iterations: int = 10, k: int = 20, seeds: int = 5
+    spark: SparkSession,
+    folder: str,
+    iterations: int = 10,
+    k: int = 20,
+    seeds: int = 5,
+    edges: str | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """PageRank of every quarter in one job; the series of the basic job's first
     ``seeds`` places is written and returned."""
     emails = op.seed_emails(read_ranking(spark, f"{folder}/top/basic", seeds), seeds)
-    edges = op.with_quarter(read_edges(spark, f"{folder}/edges"))
+    dated = op.with_quarter(read_edges(spark, edges or f"{folder}/edges", fmt))
     ranks = op.pagerank(
-        op.simple_graph(edges, by=["quarter"]), by=["quarter"], iterations=iterations
+        op.simple_graph(dated, by=["quarter"]), by=["quarter"], iterations=iterations
     )
     op.check_mass(ranks, ["quarter"])
     ranks.write.mode("overwrite").parquet(f"{folder}/ranks/quarterly")
@@ -82,14 +99,20 @@ def cluster_people(
     ks: Sequence[int] = (3, 4),
     iterations: int = 20,
     labels: dict[int, dict[int, str]] | None = None,
+    features_path: str | None = None,
+    fmt: str = "parquet",
 ) -> dict[int, op.KMeansResult]:
-    """Features and one K-Means per k, with assignments and profiles written."""
-    features_path = f"{folder}/features"
-    write_features(op.person_features(spark.read.parquet(f"{folder}/parsed")), features_path)
-    features = read_features(spark, features_path)
-    fits = {}
+    """Features and one K-Means per k, with assignments and profiles written.
+
+    ``features_path`` is the path of a feature table in ``fmt``; the default is to derive it
+    from the parsed mails.
+    """
+    if features_path is None:
+        features_path, fmt = f"{folder}/features", "parquet"
+        write_features(op.person_features(spark.read.parquet(f"{folder}/parsed")), features_path)
+    features = read_features(spark, features_path, fmt)
+    fits = op.kmeans_many(features, FEATURES, ks, iterations)
     for k in ks:
-        fits[k] = op.kmeans(features, FEATURES, k, iterations)
         members = fits[k].assignments
         write_result(members, f"{folder}/clusters/k={k}")
         names = (labels or {}).get(k)

@@ -117,3 +117,21 @@ def test_a_stray_quote_is_an_error(spark, tmp_path):
     (tmp_path / "dump.csv").write_text('"file","message"\n"1","a"b"\n"2","c"\n')
     with pytest.raises(Exception, match="odd number of quotes"):
         sources.read_large_dump(spark, str(tmp_path)).collect()
+
+
+def test_jobs_on_a_given_edge_list_and_feature_table(spark, tmp_path):
+    from mailweave.plans import cluster_people, rank_people, rank_quarters
+
+    lines = [f"p{i % 9}\tp{i * 5 % 11}\t{'cc' if i % 3 else 'to'}\t2001-{1 + i % 12:02}" for i in range(200)]
+    (tmp_path / "edges.tsv").write_text("\n".join(lines) + "\n")
+    edges, folder = str(tmp_path / "edges.tsv"), str(tmp_path / "out")
+    top = rank_people(spark, folder, edges=edges, fmt="tsv", k=5).collect()
+    assert [r["rank"] for r in top] == [1, 2, 3, 4, 5]
+    assert rank_people(spark, folder, "log", edges=edges, fmt="tsv", k=5).count() == 5
+    series = rank_quarters(spark, folder, edges=edges, fmt="tsv", seeds=2)
+    assert {r.quarter for r in series.collect()} == {f"2001-Q{q}" for q in (1, 2, 3, 4)}
+    names = ["email", *features.FEATURES]
+    rows = ["\t".join(names)] + [f"p{i}\t{i}\t{i % 4}\t1\t0.5\t0.{i % 9}\t{i % 3}\t1.5" for i in range(40)]
+    (tmp_path / "features.tsv").write_text("\n".join(rows) + "\n")
+    fits = cluster_people(spark, folder, [2, 3], features_path=str(tmp_path / "features.tsv"), fmt="tsv")
+    assert {k: fit.assignments.count() for k, fit in fits.items()} == {2: 40, 3: 40}
