@@ -69,6 +69,17 @@ def _parsed(spark, sf_dir):
     return op.parse_messages(orders_mail.messages(spark, sf_dir))
 
 
+def _sent_local(spark, sf_dir):
+    """Month and hour in another zone than the mails'."""
+    parsed = op.parse_messages(orders_mail.messages(spark, sf_dir), tz="America/Chicago")
+    return parsed.select("msg_id", "ym", "hour")
+
+
+def _edges_headers_only(spark, sf_dir):
+    messages = orders_mail.messages(spark, sf_dir)
+    return op.build_edges(op.parse_messages(messages, headers_only=True))
+
+
 def _tokens(spark, sf_dir):
     fields = F.array("to_text", "cc_text")
     field = _header_fields(spark, sf_dir).select(F.explode(fields).alias("field"))
@@ -393,7 +404,9 @@ def _mail_queries() -> dict[str, Query]:
         "skip_reasons": _on_parsed(op.skip_reasons),
         "sent_month": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "ym"),
         "sent_hour": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "hour"),
+        "sent_local": _sent_local,
         "edges": _on_parsed(op.build_edges),
+        "edges_headers_only": _edges_headers_only,
         "edges_roundtrip": _edges_roundtrip,
         "edges_short_lines": _edges_short_lines,
         "ingest_metrics": _on_parsed(op.ingest_metrics),

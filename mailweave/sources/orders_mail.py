@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 
 from mailweave.functions.dates import NO_MONTH
 
+# Zones that the Date headers of the mails use by turns, with their offset in minutes.
+ZONES = [
+    ("+0000 (UTC)", 0), ("-0700 (PDT)", -420), ("+0530", 330), ("CET", 60),
+    ("GMT-05:00", -300), ("EST", -300), ("+0200 (CEST)", 120),
+]
+
 
 def address(number: Column) -> Column:
     return F.concat(F.lit("p"), number.cast("string"), F.lit("@en.example.com"))
@@ -94,18 +100,25 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def field(name: str, cc: bool) -> Column:
         kept = F.filter("all", lambda line: line["cc"] == F.lit(cc))
-        tokens = F.array_join(F.transform(kept, lambda line: line["token"]), ",\n\t")
+        mark = F.when(F.col("k") % 5 == 2, ";\n\t").otherwise(",\n\t")
+        tokens = F.array_join(F.transform(kept, lambda line: line["token"]), "\x01")
+        tokens = F.replace(tokens, F.lit("\x01"), mark)
         value = F.concat(F.lit(f"{name}: "), tokens, F.lit("\n"))
         return F.when(F.size(kept) > 0, value).otherwise("")
 
-    day = F.date_format(F.to_date("sent"), "EEE, d MMM ")
-    year = F.when(F.col("k") % 97 == 0, "0001").otherwise(F.substring(_clock("sent"), 1, 4))
-    time = F.substring(_clock("sent"), 11, 9)
+    turn = (F.col("k") % len(ZONES)).cast("int")
+    zone = F.array(*(F.lit(name) for name, _ in ZONES))[turn]
+    offset = F.array(*(F.lit(minutes) for _, minutes in ZONES))[turn]
+    local = F.col("sent") + F.make_dt_interval(mins=offset)
+    clock = local.cast("string")
+    day = F.date_format(local.cast("date"), "EEE, d MMM ")
+    year = F.when(F.col("k") % 97 == 0, "0001").otherwise(F.substring(clock, 1, 4))
+    time = F.substring(clock, 11, 9)
     sender = F.when(F.col("k") % 101 == 0, "system").otherwise(address(F.col("sender")))
     key = F.col("k").cast("string")
     text = F.concat(
         F.lit("Message-ID: <"), key, F.lit("@en.example.com>\nDate: "),
-        day, year, time, F.lit(" +0000 (UTC)\nFrom: "), sender, F.lit("\n"),
+        day, year, time, F.lit(" "), zone, F.lit("\nFrom: "), sender, F.lit("\n"),
         F.coalesce(field("To", False), F.lit("")),
         F.lit("Subject: order "), key, F.lit("\n"),
         F.coalesce(field("Cc", True), F.lit("")),

@@ -51,17 +51,24 @@ FIELDS = (
     TOKEN
     + """,
 joined AS (
-  SELECT k,
-         string_agg(token, ', ' ORDER BY line, token) FILTER (NOT cc) AS to_list,
-         string_agg(token, ', ' ORDER BY line, token) FILTER (cc) AS cc_list
+  SELECT k, CASE WHEN k % 5 = 2 THEN '; ' ELSE ', ' END AS mark,
+         replace(string_agg(token, chr(1) ORDER BY line, token) FILTER (NOT cc), chr(1), mark)
+           AS to_list,
+         replace(string_agg(token, chr(1) ORDER BY line, token) FILTER (cc), chr(1), mark)
+           AS cc_list
   FROM token GROUP BY k),
+zoned AS (
+  SELECT *, sent + [0, -420, 330, 60, -300, -300, 120][k % 7 + 1] * INTERVAL 1 MINUTE AS there,
+         ['+0000 (UTC)', '-0700 (PDT)', '+0530', 'CET', 'GMT-05:00', 'EST', '+0200 (CEST)']
+           [k % 7 + 1] AS zone
+  FROM mail),
 field AS (
-  SELECT mail.*, to_list, cc_list,
+  SELECT zoned.*, to_list, cc_list, mark,
          CASE WHEN k % 101 = 0 THEN 'system' ELSE src END AS from_text,
-         strftime(sent, '%a, %-d %b ')
-           || CASE WHEN k % 97 = 0 THEN '0001' ELSE strftime(sent, '%Y') END
-           || strftime(sent, ' %H:%M:%S +0000 (UTC)') AS date_text
-  FROM mail LEFT JOIN joined USING (k))"""
+         strftime(there, '%a, %-d %b ')
+           || CASE WHEN k % 97 = 0 THEN '0001' ELSE strftime(there, '%Y') END
+           || strftime(there, ' %H:%M:%S ') || zone AS date_text
+  FROM zoned LEFT JOIN joined USING (k))"""
 )
 
 QUARTER = "substr(ym, 1, 4) || '-Q' || ((CAST(substr(ym, 6, 2) AS INTEGER) + 2) // 3)"
@@ -247,9 +254,9 @@ def oracle_sql() -> dict[str, str]:
         + r"""SELECT msg_id AS file,
   'Message-ID: <' || k || '@en.example.com>' || chr(10) || 'Date: ' || date_text
   || chr(10) || 'From: ' || from_text || chr(10)
-  || coalesce('To: ' || replace(to_list, ', ', ',' || chr(10) || chr(9)) || chr(10), '')
+  || coalesce('To: ' || replace(to_list, mark, rtrim(mark) || chr(10) || chr(9)) || chr(10), '')
   || 'Subject: order ' || k || chr(10)
-  || coalesce('Cc: ' || replace(cc_list, ', ', ',' || chr(10) || chr(9)) || chr(10), '')
+  || coalesce('Cc: ' || replace(cc_list, mark, rtrim(mark) || chr(10) || chr(9)) || chr(10), '')
   || 'X-From: "Sales"' || chr(10) || chr(10) || 'Order ' || k || ' is "on its way".'
   || chr(10) || chr(10) || '  To: whom it may concern, no header' || chr(10) || 'Regards'
   || chr(10) AS message
@@ -282,6 +289,15 @@ JOIN mail USING (k) GROUP BY ALL""",
         + """SELECT coalesce(skip_reason, 'valid') AS skip_reason, count(*) AS mails
 FROM mail GROUP BY ALL""",
         "sent_month": mail + "SELECT msg_id, ym FROM mail",
+        "sent_local": mail
+        + """, local AS (
+  SELECT *, (sent AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS there FROM mail)
+SELECT msg_id, CASE WHEN k % 97 <> 0 AND year(there) BETWEEN 1998 AND 2002
+         THEN strftime(there, '%Y-%m') ELSE 'NA' END AS ym,
+       -- in the year 1 the city's own mean time was 5:50:36 behind
+       CAST(CASE WHEN k % 97 = 0 THEN (k + 18) % 24 ELSE hour(there) END AS INTEGER) AS hour
+FROM local""",
+        "edges_headers_only": edges,
         "sent_hour": mail + "SELECT msg_id, hour FROM mail",
         "ingest_metrics": mail
         + """SELECT 'mails' AS metric, count(*) AS value FROM mail
