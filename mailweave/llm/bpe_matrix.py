@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailweave.llm.common import slices
+from mailweave.llm.common import claim, slices
 
 LONG = 256
 #: Cuts a worker remembers, about 150 bytes each.
@@ -222,6 +222,7 @@ _codecs: dict[int, Codec] = {}
 
 def codec(rank_file: bytes, pattern: str) -> Codec:
     """The codec of this worker; it is built once."""
+    claim("bpe_matrix", _codecs.clear)
     key = hash((rank_file, pattern))
     if key not in _codecs:
         _codecs.clear()

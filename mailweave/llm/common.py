@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_remembered: dict[str, Callable[[], object]] = {}
+
+
+def claim(operator: str, forget: Callable[[], object]) -> None:
+    """Called by a task of ``operator`` that remembers things in its Python worker, with the
+    function that forgets them. Workers outlive stages, so what the operators of earlier
+    stages remember is forgotten here."""
+    for other in [name for name in _remembered if name != operator]:
+        _remembered.pop(other)()
+        pa.default_memory_pool().release_unused()
+    _remembered[operator] = forget
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table of the shared folder; its shuffle files go at once.
 
@@ -71,6 +84,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_slices(work, kind: pa.DataType, limit: int = 1 << 20):
+    """An Arrow function of a struct of columns from ``work``, which gets a batch of bounded
+    size (by its first column) and returns an array of ``kind``."""
+
+    def run(*columns: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays(list(columns), names=[str(i) for i in range(len(columns))])
+        parts = [work(part) for part in slices([batch], 0, limit)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    return run
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: int = 1, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -31,9 +31,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from mailweave.llm.common import slices
+from mailweave.llm.common import by_slices, claim, slices
 
 ORDER = 5
 UNKNOWN = "und"
@@ -147,6 +146,8 @@ class Identifier:
         self._place: dict[str, int] = {}
         self._scores = np.zeros((0, len(self.models)))
 
+    forget = __post_init__
+
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("_place", "_scores")}
 
@@ -285,17 +286,26 @@ def identify(
 ) -> DataFrame:
     """The ``keep`` columns, lang_pred, score, bits (per character) and rejected."""
     shared = df.sparkSession.sparkContext.broadcast(identifier)
-    n = len(keep)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, n):
-            found = list(zip(*shared.value.predict(part.column(n).to_pylist())))
-            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
-            arrays = [pa.array(c, kind) for c, kind in zip(found, kinds)]
-            yield pa.RecordBatch.from_arrays([*part.columns[:n], *arrays], names=schema.names)
-
-    schema = T.StructType([df.schema[c] for c in keep])
-    for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits", "double")):
-        schema = schema.add(name, kind)
-    schema = schema.add("rejected", "boolean")
-    return df.select(*keep, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+
+    def work(part: pa.RecordBatch) -> pa.Array:
+        claim("langid", shared.value.forget)
+        found = zip(*shared.value.predict(part.column(0).to_pylist()))
+        return pa.StructArray.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(found, _FOUND)], fields=list(_FOUND)
+        )
+
+    run = by_slices(work, _FOUND)
+
+    # Only texts go to Python; a filter must not have them judged a second time.
+    @F.arrow_udf("lang_pred string, score double, bits double, rejected boolean")
+    def judge(texts: pa.Array) -> pa.Array:
+        return run(texts)
+
+    found = judge.asNondeterministic()(F.col(text_col).cast("string"))
+    named = df.select(*keep, found.alias("__found"))
+    return named.select(*keep, "__found.*")
+
+
+_FOUND = pa.struct(
+    [("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("rejected", pa.bool_())]
+)

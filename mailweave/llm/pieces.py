@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import regex
 
+from mailweave.llm.common import claim
+
 #: Cuts a worker remembers, about 150 bytes each: the first ones met, which are the
 #: frequent ones, and none over `LONGEST` characters.
 REMEMBERED = 500_000
@@ -82,6 +84,7 @@ _encoders: dict[int, CutIds] = {}
 
 def encoder(content: str, pattern: str) -> CutIds:
     """The encoder of this worker; it is built once."""
+    claim("pieces", _encoders.clear)
     key = hash((content, pattern))
     if key not in _encoders:
         _encoders.clear()

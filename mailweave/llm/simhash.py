@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailweave.llm.common import shuffle_partitions, slices, written
+from mailweave.llm.common import claim, shuffle_partitions, slices, written
 
 BITS = 128
 #: Words a worker remembers the hash of, about 130 bytes each.
@@ -44,6 +44,7 @@ _hash_of: dict[str, int] = {}
 
 
 def _hashes(words: list[str]) -> np.ndarray:
+    claim("simhash", _hash_of.clear)
     unknown = set(words).difference(_hash_of)
     if unknown:
         if len(_hash_of) + len(unknown) > REMEMBERED:

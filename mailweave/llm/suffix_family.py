@@ -33,9 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from mailweave.llm.common import removed, slices, written
+from mailweave.llm.common import by_slices, claim, removed, slices, written
 
 GRAM = 50
 #: Bytes hashed at once; longer texts are taken in pieces that share ``length - 1`` bytes.
@@ -67,6 +66,7 @@ def _power(base: int, n: int) -> np.ndarray:
 
 def _prefix(data: np.ndarray) -> np.ndarray:
     """Sums of which differences are polynomial hashes modulo 2^64."""
+    claim("suffix_family", _powers.clear)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
     return sums
@@ -406,28 +406,31 @@ def repeats(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, 1):
-        ids, data, lows, highs = (column.to_pylist() for column in part.columns)
-        out = []
-        for text, low, high in zip(data, lows, highs):
-            end, kept, spans, gone = 0, [], 0, 0
-            last = None
-            for a, b in sorted(zip(low or (), high or ())):
-                if last is None or a > last:
-                    kept.append(text[end:a])
-                    spans += 1
-                    gone += b - a
-                    end = last = b
-                elif b > last:
-                    gone += b - last
-                    end = last = b
-            kept.append(text[end:])
-            out.append((len(text), gone, spans, b"".join(kept)))
-        columns = [pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 3 + [pa.binary()])]
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0), *columns], names=["row", "n_bytes", "n_removed", "n_spans", "kept"]
-        )
+_KEPT = pa.struct(
+    [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
+)
+
+
+def _cut(part: pa.RecordBatch) -> pa.Array:
+    """What remains of each text (first column) without the ranges low to high."""
+    out = []
+    for text, low, high in zip(*(column.to_pylist() for column in part.columns)):
+        end, kept, spans, gone = 0, [], 0, 0
+        last = None
+        for a, b in sorted(zip(low or (), high or ())):
+            if last is None or a > last:
+                kept.append(text[end:a])
+                spans += 1
+                gone += b - a
+                end = last = b
+            elif b > last:
+                gone += b - last
+                end = last = b
+        kept.append(text[end:])
+        out.append((len(text), gone, spans, b"".join(kept)))
+    return pa.StructArray.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*out), _KEPT)], fields=list(_KEPT)
+    )
 
 
 def without_repeats(
@@ -445,8 +448,13 @@ def without_repeats(
         F.collect_list("low").alias("low"), F.collect_list("high").alias("high")
     )
     lists = written(lists, "lists")
-    joined = rows.join(lists, ["id", "text_hash"], "left").select("row", "data", "low", "high")
-    schema = T.StructType([joined.schema["row"]])
-    for name in ("n_bytes", "n_removed", "n_spans"):
-        schema = schema.add(name, T.LongType())
-    return joined.mapInArrow(_cut, schema.add("kept", T.BinaryType()))
+    run = by_slices(_cut, _KEPT)
+
+    # Only the bytes and ranges go to Python, not the rows.
+    @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+    def cut(data: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:
+        return run(data, low, high)
+
+    joined = rows.join(lists, ["id", "text_hash"], "left")
+    found = joined.select("row", cut.asNondeterministic()("data", "low", "high").alias("found"))
+    return found.select("row", "found.*")
