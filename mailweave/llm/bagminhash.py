@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailweave.llm.common import by_slices, claim, removed, slices, written
+from mailweave.llm.common import by_slices, claim, release, removed, slices, written
 from mailweave.llm.components import components
 
 SLOTS, ROWS = 64, 4
@@ -51,7 +51,7 @@ SMALL = 40
 LEADERS = 4
 #: Standard deviations below the threshold at which the slots' estimate drops a pair.
 SLACK = 4.0
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Bytes of text whose points are drawn at once; drawing takes about 60 times as many.
 SIGNED_BYTES = 1 << 20
 #: Bits of a key in the bitmap that spares most texts which are not needed the shuffle.
@@ -155,6 +155,7 @@ def _signed(window: int):
                 ],
                 names=["id", "key", "signature", "windows"],
             )
+        release()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -21,12 +22,20 @@ SLICE_BYTES = 1 << 22
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Bytes of an Arrow batch between the JVM and Python, unless the session sets its own: the
+#: default number of rows would be tens of MB of text for each of a task's buffers.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, as ``--py-files`` would; once per session."""
+    """Give the executors this package's code, as ``--py-files`` would, once per session, and
+    bound the bytes of Arrow batches."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     if context.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -47,10 +56,18 @@ def claim(operator: str, forget: Callable[[], object]) -> None:
     stages remember is forgotten here."""
     for other in [name for name in _remembered if name != operator]:
         _remembered.pop(other)()
-        pa.default_memory_pool().release_unused()
+        release()
     _remembered[operator] = forget
 
 
+def release() -> None:
+    """Return this worker's free memory to the system, which else stays with the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table of the shared folder; its shuffle files go at once.
 

@@ -42,7 +42,7 @@ FLOOR = 2.0**-16
 #: odd words stay below; other scripts and random letters lie far above.
 MARGIN = 3.0
 #: Words a worker remembers the scores of, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _START, _END = 2, 3
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailweave.llm.common import by_slices, claim, removed, slices, written
+from mailweave.llm.common import by_slices, claim, release, removed, slices, written
 
 GRAM = 50
 #: Bytes hashed at once; longer texts are taken in pieces that share ``length - 1`` bytes.
@@ -158,6 +158,8 @@ def _find_runs(length: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in columns], names=[c.split()[0] for c in _RUNS.split(", ")]
                 )
+        _powers.clear()
+        release()
 
     return find
 
@@ -308,6 +310,8 @@ def _search(length: int):
             [pa.array(c) for c in (anchors[row], run[row], low, high)],
             names=["anchor", "run", "low", "high"],
         )
+        del family, kept
+        release()
 
     return search
 
