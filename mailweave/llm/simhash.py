@@ -29,7 +29,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mailweave.llm.common import claim, shuffle_partitions, slices, written
 
