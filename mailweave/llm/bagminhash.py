@@ -17,7 +17,10 @@ then the fewest windows, which in a family of copies are the text they were made
 closest to it. So pairs grow with the nodes and not with their square. Copies that resemble each
 other more than the leader also meet in the slots in which they differ from the leader but not
 from each other, since what links them without linking either to the leader is what both have
-changed.
+changed. What the leaders leave apart is compared in full: of every large bucket, the nodes
+outside its largest class with all its nodes of other classes, by signatures and then by texts,
+in pairs of blocks. So every pair of a bucket is either compared or already of one class, and
+the pairs grow with the nodes that are left apart and not with the bucket's square.
 
 Candidates whose signatures agree too little for the threshold are dropped (`SLACK` standard
 deviations), the others are verified on the whole texts. Classes are the connected
@@ -49,6 +52,8 @@ BANDS = SLOTS // ROWS
 SMALL = 40
 #: Leaders of a larger bucket.
 LEADERS = 4
+#: Nodes, and bytes of text, of a block of a large bucket whose classes are compared.
+BLOCK, BLOCK_BYTES = 512, 1 << 19
 #: Standard deviations below the threshold at which the slots' estimate drops a pair.
 SLACK = 4.0
 REMEMBERED = 150_000
@@ -250,13 +255,14 @@ def _differences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of keys that meet in a bucket, from nodes (key, signature, windows)."""
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of keys that meet in a bucket, from nodes (key, signature, windows),
+    and the members (value, key, band, n) of the buckets, of which the large ones are not paired
+    in full."""
     bands = F.array(
         *(F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * ROWS * i, 4 * ROWS)) for i in range(BANDS))
     )
-    banded = nodes.select("key", bands.alias("bands"))
-    members = _sized(banded.select("key", F.explode("bands").alias("value")))
+    members = _sized(nodes.select("key", F.posexplode(bands).alias("band", "value")))
     company = members.groupBy("key").agg(F.sum("n").alias("company"))
     company = written(company.join(nodes.select("key", "windows"), "key"), "company")
     led = written(_led(members, company, LEADERS), "led")
@@ -268,7 +274,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     found = _all_pairs(sharing).union(_ordered(_led(sharing, _by_chance(sharing))))
     pairs.append(written(found.distinct(), "pairs"))
 
-    return written(pairs[0].union(pairs[1]).distinct(), "candidates")
+    return written(pairs[0].union(pairs[1]).distinct(), "candidates"), members
 
 
 def _alike(least: float):
@@ -284,20 +290,29 @@ def _alike(least: float):
     return run
 
 
+def _bags_of(texts: Iterable[str], window: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    rows = [_words(text) for text in texts]
+    owner, hashes, counts = bags(rows, window)
+    edges = np.searchsorted(owner, np.arange(len(rows) + 1))
+    return [(hashes[i:j], counts[i:j]) for i, j in zip(edges, edges[1:])]
+
+
+def _near(one: tuple, other: tuple, threshold: float) -> bool:
+    (h, m), (g, n) = one, other
+    _, x, y = np.intersect1d(h, g, assume_unique=True, return_indices=True)
+    common = int(np.minimum(m[x], n[y]).sum())
+    return common >= threshold * (int(m.sum()) + int(n.sum()) - common)
+
+
 def _verified(window: int, threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 3, SIGNED_BYTES):
             texts = part.column(2).to_pylist() + part.column(3).to_pylist()
             place = {text: i for i, text in enumerate(dict.fromkeys(texts))}
-            owner, hashes, counts = bags([_words(text) for text in place], window)
-            edges = np.searchsorted(owner, np.arange(len(place) + 1))
-            bag = [(hashes[i:j], counts[i:j]) for i, j in zip(edges, edges[1:])]
+            bag = _bags_of(place, window)
             half, good = part.num_rows, []
             for k in range(half):
-                (h, m), (g, n) = bag[place[texts[k]]], bag[place[texts[half + k]]]
-                _, x, y = np.intersect1d(h, g, assume_unique=True, return_indices=True)
-                common = int(np.minimum(m[x], n[y]).sum())
-                good.append(common >= threshold * (int(m.sum()) + int(n.sum()) - common))
+                good.append(_near(bag[place[texts[k]]], bag[place[texts[half + k]]], threshold))
             yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return run
@@ -310,6 +325,147 @@ def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "of_a", "of_b")
 
 
+# ---- what leaders leave apart -----------------------------------------------
+
+
+def _mixed_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(value, band, key, label, outside) of the large buckets with nodes of several classes;
+    outside is false for those of the bucket's largest class."""
+    large = members.where(F.col("n") > SMALL).select("value", "band", "key")
+    large = written(large.join(labels, "key"), "labelled")
+    classes = large.groupBy("value", "label").agg(F.count("*").alias("n"))
+    mixed = classes.groupBy("value").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("classes")
+    )
+    mixed = written(mixed.where("classes > 1").select("value", "main"), "mixed")
+    return large.join(mixed, "value").withColumn("outside", F.col("label") != F.col("main")).drop("main")
+
+
+def _block_pairs(members: DataFrame, size, limit: int) -> DataFrame:
+    """(band, first, second): every block of a bucket's outside nodes with every block of all its
+    nodes. Blocks hold about ``limit`` of ``size``; each pair of blocks is placed by itself."""
+    members = written(members, "apart")
+    count = lambda of: F.greatest(F.lit(1), F.ceil(of / limit)).cast("int")
+    sizes = members.groupBy("value").agg(
+        count(F.sum(F.when(F.col("outside"), size))).alias("firsts"), count(F.sum(size)).alias("seconds")
+    )
+    sized = written(members.join(written(sizes, "sizes"), "value"), "blocked")
+    rows = F.collect_list(F.struct(*(c for c in members.columns if c not in ("value", "band"))))
+    place = lambda of: F.pmod(F.xxhash64("key", F.lit(2)), F.col(of)).cast("int")
+    firsts = sized.where("outside").groupBy("value", "band", "seconds", place("firsts").alias("i")).agg(rows.alias("first"))
+    firsts = firsts.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("seconds") - 1)))
+    seconds = sized.groupBy("value", place("seconds").alias("j")).agg(rows.alias("second"))
+    firsts = written(firsts.select("value", "j", "band", "first"), "firsts")
+    pairs = firsts.join(written(seconds, "seconds"), ["value", "j"])
+    return pairs.select("band", "first", "second")
+
+
+def _open_pairs(band: int, first: dict, second: dict, least: float) -> list[tuple[int, int]]:
+    """Places of nodes of different classes that are alike enough, most alike first; pairs that
+    meet in an earlier band too, and the second of a pair's two orders, are left out."""
+    a, b = (np.frombuffer(b"".join(x["signature"]), np.uint32).reshape(-1, SLOTS) for x in (first, second))
+    agree = np.zeros((len(a), len(b)), np.uint8)
+    earlier = np.zeros((len(a), len(b)), bool)
+    here = earlier
+    for i in range(BANDS):
+        same = [a[:, None, k] == b[None, :, k] for k in range(ROWS * i, ROWS * (i + 1))]
+        for x in same:
+            agree += x
+        if i < band:
+            earlier |= np.logical_and.reduce(same)
+        elif i == band:
+            here = np.logical_and.reduce(same)
+    labels, others = np.array(first["label"], object), np.array(second["label"], object)
+    keys, names = np.array(first["key"], object), np.array(second["key"], object)
+    found = here & ~earlier & (agree >= least * SLOTS)
+    i, j = np.nonzero(found)
+    once = ~np.array(second["outside"], bool)[j] | (keys[i] < names[j]).astype(bool)
+    kept = once & (labels[i] != others[j]).astype(bool)
+    i, j = i[kept], j[kept]
+    order = np.argsort(-agree[i, j].astype(np.int64), kind="stable")
+    return list(zip(i[order].tolist(), j[order].tolist()))
+
+
+def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, dict, dict]]:
+    for part in batches:
+        for k in range(part.num_rows):
+            first, second = (
+                dict(zip((f.name for f in column.type.value_type), (x.to_pylist() for x in column[k].values.flatten())))
+                for column in (part.column(1), part.column(2))
+            )
+            yield part.column(0)[k].as_py(), first, second
+
+
+def _open_keys(least: float):
+    """The keys of nodes that have an open pair in their blocks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for band, first, second in _block_rows(batches):
+            pairs = _open_pairs(band, first, second, least)
+            keys = {first["key"][i] for i, _ in pairs} | {second["key"][j] for _, j in pairs}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(keys), pa.string())], names=["key"])
+
+    return run
+
+
+def _open_links(window: int, threshold: float, least: float):
+    """Pairs (a, b) of classes that a pair of their nodes links, as many as join them all."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for band, first, second in _block_rows(batches):
+            pairs = _open_pairs(band, first, second, least)
+            places = ({i for i, _ in pairs}, {j for _, j in pairs})
+            texts = dict.fromkeys(x["text"][i] for x, at in zip((first, second), places) for i in at)
+            bag = dict(zip(texts, _bags_of(texts, window)))
+            above: dict[str, str] = {}
+            links = []
+            for i, j in pairs:
+                ends = []
+                for label in (first["label"][i], second["label"][j]):
+                    while label in above:
+                        label = above[label]
+                    ends.append(label)
+                if ends[0] != ends[1] and _near(bag[first["text"][i]], bag[second["text"][j]], threshold):
+                    above[ends[0]] = ends[1]
+                    links.append((first["label"][i], second["label"][j]))
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+
+    return run
+
+
+def _rejoined(
+    rows: DataFrame, nodes: DataFrame, members: DataFrame, labels: DataFrame, window: int, threshold: float, least: float
+) -> DataFrame:
+    """``labels`` (key, label) with those classes as one that a pair of a large bucket links."""
+    apart = _mixed_members(members, labels)
+    apart = apart.join(nodes.select("key", "signature"), "key").select(
+        "value", "band", "key", "label", "outside", "signature"
+    )
+    blocks = _block_pairs(apart, F.lit(1), BLOCK)
+    needed = written(blocks.mapInArrow(_open_keys(least), "key string").distinct(), "needed")
+    if not needed.limit(1).count():
+        return labels
+    texts = _texts(rows, needed)
+    apart = _mixed_members(members.join(needed, "key", "left_semi"), labels)
+    apart = apart.join(nodes.select("key", "signature"), "key").join(texts, "key").select(
+        "value", "band", "key", "label", "outside", "signature", "text"
+    )
+    blocks = _block_pairs(apart, F.length("text"), BLOCK_BYTES)
+    links = written(blocks.mapInArrow(_open_links(window, threshold, least), "a string, b string"), "rejoining")
+    joined = components(links).select(F.col("node").alias("label"), F.col("label").alias("joined"))
+    labels = labels.join(joined, "label", "left")
+    return written(labels.select("key", F.coalesce("joined", "label").alias("label")), "labels")
+
+
+def _texts(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """(key, text) of the needed keys."""
+    # texts that pass the bitmap by chance are dropped by the join
+    texts = rows.select("text").mapInArrow(_keyed_texts(_key_bits(needed)), "key string, text string")
+    texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text"))
+    return written(texts, "texts")
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -334,26 +490,24 @@ def near_duplicates(
         ),
         "nodes",
     )
-    pairs = candidates(nodes)
+    pairs, members = candidates(nodes)
     least = threshold - SLACK * (threshold * (1 - threshold) / SLOTS) ** 0.5
     alike = _with_both(pairs, nodes, "signature").mapInArrow(_alike(least), "a string, b string")
     alike = written(alike, "alike")
     needed = written(
         alike.select(F.col("a").alias("key")).union(alike.select("b")).distinct(), "needed"
     )
-    # texts that pass the bitmap by chance are dropped by the join
-    texts = rows.select("text").mapInArrow(_keyed_texts(_key_bits(needed)), "key string, text string")
-    texts = texts.join(needed, "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text"))
-    texts = written(texts, "texts")
+    texts = _texts(rows, needed)
     both = _with_both(alike, texts, "text")
     links = written(both.mapInArrow(_verified(window, threshold), "a string, b string"), "verified")
-    labels = components(links)
-    named = nodes.select("key", "id").join(labels.withColumnRenamed("node", "key"), "key", "left")
-    named = named.withColumn("label", F.coalesce("label", "key"))
-    named = written(named, "named")
+    labels = nodes.select("key").join(components(links).withColumnRenamed("node", "key"), "key", "left")
+    labels = written(labels.select("key", F.coalesce("label", "key").alias("label")), "labels")
+    removed(pairs, alike, needed, texts, links)
+    labels = _rejoined(rows, nodes, members, labels, window, threshold, least)
+    named = written(nodes.select("key", "id").join(labels, "key"), "named")
     classes = named.groupBy("label").agg(F.min("id").alias("class_id"))
     classes = written(named.join(written(classes, "classes"), "label").select("key", "label", "class_id"), "keys")
-    removed(pairs, alike, needed, texts, links, nodes)
+    removed(nodes, members)
     return signed.select("id", "key").join(classes, "key", "left").select(
         "id", F.coalesce("class_id", "id").alias("class_id"), "key", "label"
     )

@@ -108,6 +108,24 @@ def test_large_family_is_one_class(spark):
     assert sum(found[i] != c for i, c in exact.items()) <= 1
 
 
+def test_large_family_whose_shared_edits_are_common_equals_brute_force(spark):
+    rng = random.Random(5)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(150)]
+    edits = [(rng.randrange(150), f"e{rng.randrange(10**6)}") for _ in range(6)]
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        for place, word in rng.sample(edits, 3):
+            words[place] = word
+        for _ in range(2):
+            words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.id: r.class_id for r in bagminhash.near_duplicates(df).collect()}
+    assert found == _classes(rows)
+
+
 def test_repeated_ids_and_empty_table(spark):
     text = " ".join(f"w{i}" for i in range(200))
     near = text.replace("w50 ", "zz ")
