@@ -180,10 +180,10 @@ def op6_bpe_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts; for every 50th id also the
-    number of other documents within 3 bits (null for the rest)."""
+    number of other documents within 9 bits, a likeness of 0.975 (null for the rest)."""
     prints = written(simhash.compare_in_order(_table(spark, sf_dir, "documents")), "prints")
     asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
-    near = written(simhash.near_counts(prints, prints.where(asked)), "near")
+    near = written(simhash.near_counts(prints, prints.where(asked), radius=9, blocks=5), "near")
     return prints.join(near, ["high", "low"], "left").select(
         *(c for c in prints.columns if c not in ("high", "low")),
         F.when(asked, F.col("n_near") - 1).alias("n_near"),

@@ -5,10 +5,11 @@ occurrence votes with its weight, the number of characters in it up to 32, for o
 each bit of the 128 by the sign of that bit in its hash. Votes are counted per byte value
 and turned into bits by one matrix product.
 
-Two fingerprints within ``radius`` bits agree in at least one of ``radius + 1`` blocks. The
-search keys every distinct fingerprint by each of its blocks, which is the same as one table
-per permutation that brings a block to the front, joins queries and table by block, verifies
-the distance and counts each pair at its first agreeing block only. Equal fingerprints are
+Two fingerprints within ``radius`` bits differ in at most ``radius // blocks`` bits of at
+least one of ``blocks`` blocks. The search keys every distinct fingerprint by each of its
+blocks, which is the same as one table per permutation that brings a block to the front, asks
+for each block of a query and, if one bit may differ, for the block with each bit flipped,
+verifies the distance and counts each pair at the first such block only. Equal fingerprints are
 one row of these tables, so a large group of copies costs nothing.
 
 Defined cases: a null or empty text, or one without words, has no terms and the fingerprint
@@ -201,32 +202,38 @@ def compare_in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 # ---- search -----------------------------------------------------------------
 
 
-def near_counts(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
+def near_counts(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
     """For each distinct (high, low) of ``queries``, how many rows of ``prints`` lie within
     ``radius`` bits (rows of the same fingerprint included)."""
-    blocks = radius + 1
-    if BITS % blocks or blocks > 16:
-        raise ValueError("radius + 1 must divide the number of bits and be at most 16")
-    width = BITS // blocks // 4  # hexadecimal digits of a block
-    digits = F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0"))
-    keys = F.array(*(F.substring(digits, 1 + i * width, width) for i in range(blocks)))
+    errors = radius // blocks
+    if not 3 <= blocks <= 16 or not 0 <= errors <= 1:
+        raise ValueError("radius must be less than twice the number of blocks, of which there are 3 to 16")
+    starts = [i * BITS // blocks for i in range(blocks + 1)]
+    widths = [b - a for a, b in zip(starts, starts[1:])]
+    digits = F.concat(F.lpad(F.bin("high"), 64, "0"), F.lpad(F.bin("low"), 64, "0"))
+    keys = [F.conv(F.substring(digits, 1 + a, n), 2, 10).cast("long") for a, n in zip(starts, widths)]
     table = prints.groupBy("high", "low").agg(F.count("*").alias("n"))
-    keyed = table.withColumn("keys", keys).select("*", F.posexplode("keys").alias("block", "key"))
-    asked = queries.select("high", "low").distinct().withColumn("keys", keys)
-    asked = asked.select(
-        F.col("high").alias("q_high"),
-        F.col("low").alias("q_low"),
-        F.col("keys").alias("q_keys"),
-        F.posexplode("keys").alias("block", "key"),
+    keyed = table.select("*", F.posexplode(F.array(*keys)).alias("block", "key"))
+    flips = lambda n: [0] + [1 << i for i in range(n)] * errors
+    probes = F.array(
+        *(F.array(*(key.bitwiseXOR(F.lit(x).cast("long")) for x in flips(n))) for key, n in zip(keys, widths))
     )
+    asked = queries.select(F.col("high").alias("q_high"), F.col("low").alias("q_low"), probes.alias("probes"))
+    asked = asked.distinct().select("q_high", "q_low", F.posexplode("probes").alias("block", "probes"))
+    asked = asked.select("q_high", "q_low", "block", F.explode("probes").alias("key"))
     pairs = written(keyed, "blocks").join(written(asked, "asked"), ["block", "key"])
-    distance = F.bit_count(F.col("high").bitwiseXOR(F.col("q_high"))) + F.bit_count(
-        F.col("low").bitwiseXOR(F.col("q_low"))
-    )
-    agree = F.array_position(F.zip_with("keys", "q_keys", lambda a, b: a == b), F.lit(True))
-    first = agree == F.col("block") + 1
+    unlike = [F.col(c).bitwiseXOR(F.col(f"q_{c}")) for c in ("high", "low")]
+    distance = F.bit_count(unlike[0]) + F.bit_count(unlike[1])
+    masks = [((1 << n) - 1) << (BITS - a - n) for a, n in zip(starts, widths)]
+    halves = [[_signed(mask >> 64), _signed(mask & (1 << 64) - 1)] for mask in masks]
+    inside = [sum(F.bit_count(x.bitwiseAND(F.lit(m).cast("long"))) for x, m in zip(unlike, half)) for half in halves]
+    first = F.array_position(F.array(*(x <= errors for x in inside)), F.lit(True)) == F.col("block") + 1
     return (
         pairs.where((distance <= radius) & first)
         .groupBy(F.col("q_high").alias("high"), F.col("q_low").alias("low"))
         .agg(F.sum("n").alias("n_near"))
     )
+
+
+def _signed(half: int) -> int:
+    return half - (1 << 64) if half >> 63 else half

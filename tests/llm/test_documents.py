@@ -230,6 +230,27 @@ def test_single_and_empty_tables(spark):
     assert simhash.compare_in_order(one.limit(0)).count() == 0
 
 
+def test_query_radius_finds_edited_texts(spark, tmp_path):
+    from mailweave.llm.queries import op7_simhash
+
+    rng = random.Random(7)
+    rows, copies = [], {}
+    for t in range(60):
+        words = [f"w{rng.randrange(10**5)}" for _ in range(300)]
+        copies[t * 50] = words
+        rows.append((t * 50, " ".join(words)))
+        changed = list(words)
+        changed[rng.randrange(300)] = f"x{t}"
+        rows.append((t * 50 + 1, " ".join(changed)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.n_near for r in op7_simhash(spark, str(tmp_path)).collect() if r.doc_id % 50 == 0}
+    prints = [int.from_bytes(x.tobytes()) for x in simhash.fingerprints([text for _, text in rows])]
+    for (i, _), own in zip(rows, prints):
+        if i % 50 == 0:
+            assert found[i] == sum((own ^ p).bit_count() <= 9 for p in prints) - 1
+    assert sum(n == 1 for n in found.values()) >= 0.8 * len(found)
+
+
 def test_near_counts_equal_brute_force(spark):
     rng = random.Random(3)
     prints = [rng.getrandbits(128) for _ in range(60)]
