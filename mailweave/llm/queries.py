@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from mailweave.llm import arc_warc, bagminhash, bpe_matrix, langid, packing, pii, quality_lines, separator_scan, simhash, suffix_family
+from mailweave.llm import (
+    arc_warc,
+    bagminhash,
+    bpe_matrix,
+    langid,
+    packing,
+    pii,
+    quality_lines,
+    separator_scan,
+    simhash,
+    spelling,
+    suffix_family,
+)
 from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
 
@@ -244,6 +256,66 @@ FROM w
 """
 
 
+def op12_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, form and root."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+_RUN = "'[A-Za-z\u00C0-\u00FF]+'"
+
+OP12_SQL = f"""
+WITH RECURSIVE step AS (
+    SELECT range AS i, list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, b:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, range) AS v
+    FROM range(256)
+), crc AS (SELECT list(v ORDER BY i) AS t FROM step
+), runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(coalesce(text, ''), {_RUN})) AS run
+    FROM documents
+), lowered AS (
+    SELECT doc, translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS run, count(*) AS times
+    FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT run, times, xor(4294967295, list_reduce(
+        list_transform(range(1, strlen(doc || ':' || run) + 1),
+            lambda i: ('0x' || substr(hex(encode(doc || ':' || run)), (2 * i - 1)::INT, 2))::BIGINT),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295::BIGINT)) AS h
+    FROM lowered, crc WHERE length(run) >= 6
+), damaged AS (
+    SELECT times, CASE WHEN h % 199 = 0
+        THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+    FROM hashed
+), words AS MATERIALIZED (
+    SELECT word, sum(times)::BIGINT AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), places AS (
+    SELECT word, n, substr(word, 1, i::INT - 1) AS head, substr(word, i::INT + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), swaps AS (
+    SELECT a.word, b.word AS other, b.n AS other_n
+    FROM places a JOIN places b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+), drops AS (
+    SELECT DISTINCT p.word AS long, p.n AS long_n, w.word AS short, w.n AS short_n
+    FROM places p JOIN words w ON p.head || p.tail = w.word
+), near AS (
+    SELECT * FROM swaps UNION ALL SELECT long, short, short_n FROM drops
+    UNION ALL SELECT short, long, long_n FROM drops
+), ranked AS (
+    SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+        row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place
+    FROM near
+), forms AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON r.word = w.word
+), walk AS (
+    SELECT word, word AS reached, 0 AS steps FROM forms
+    UNION ALL
+    SELECT walk.word, forms.form, steps + 1 FROM walk JOIN forms ON forms.word = walk.reached WHERE forms.form IS NOT NULL
+), roots AS (SELECT word, arg_max(reached, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -267,6 +339,7 @@ def queries() -> dict[str, Query]:
         "op8_bagminhash": op8_bagminhash,
         "op9_linear_grouping": op9_linear_grouping,
         "op10_arc_to_warc": op10_arc_to_warc,
+        "op12_partenum": op12_partenum,
     }
     return {name: _with_code(query) for name, query in found.items()}
 
@@ -275,4 +348,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_rules": OP3_SQL,
         "op10_arc_to_warc": OP10_SQL,
+        "op12_partenum": OP12_SQL,
     }
