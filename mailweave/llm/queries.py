@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from mailweave.llm import (
+    alignment,
     arc_warc,
     bagminhash,
     bpe_matrix,
@@ -316,6 +317,17 @@ SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """
 
 
+def op13_merge_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps and common groups of a byte-level and a piece tokenizer for every document."""
+    sources = alignment.Sources.of(
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    found = alignment.align(_table(spark, sf_dir, "documents"), sources, digest=True)
+    return found.withColumnsRenamed({"key": "doc_id", "groups": "groups_sha256"})
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -340,6 +352,7 @@ def queries() -> dict[str, Query]:
         "op9_linear_grouping": op9_linear_grouping,
         "op10_arc_to_warc": op10_arc_to_warc,
         "op12_partenum": op12_partenum,
+        "op13_merge_asof": op13_merge_asof,
     }
     return {name: _with_code(query) for name, query in found.items()}
 
