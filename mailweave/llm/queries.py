@@ -21,6 +21,7 @@ from mailweave.llm import (
     simhash,
     spelling,
     suffix_family,
+    url_filter,
 )
 from mailweave.llm.common import ship, written
 from mailweave.session import stage_path
@@ -257,6 +258,22 @@ FROM w
 """
 
 
+#: The rules of the URL filter.
+URL_RULES = [
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+]
+
+
+def op11_url_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict; trees decide where no rule does."""
+    judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op12_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, form and root."""
     return spelling.variants(_table(spark, sf_dir, "documents"))
@@ -351,6 +368,7 @@ def queries() -> dict[str, Query]:
         "op8_bagminhash": op8_bagminhash,
         "op9_linear_grouping": op9_linear_grouping,
         "op10_arc_to_warc": op10_arc_to_warc,
+        "op11_url_boosting": op11_url_boosting,
         "op12_partenum": op12_partenum,
         "op13_merge_asof": op13_merge_asof,
     }
