@@ -23,7 +23,7 @@ from mailweave.functions.addresses import SEPARATORS
 from mailweave.operators.features import FEATURES
 from mailweave.session import shared_folder, stage_path
 from mailweave.sources import orders_mail
-from mailweave.streaming import parse_new_files
+from mailweave.streaming import closed_weeks, count_new_files, late_copies, parse_new_files
 from oracles import oracle_sql as _oracle_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,92 @@ def _recipients(spark, sf_dir):
     return op.explode_recipients(_parsed(spark, sf_dir)).drop("sent_at")
 
 
+# ---- mails over time --------------------------------------------------------
+
+
+def _kept_parsed(spark, sf_dir):
+    """The parsed mails as a table, for queries that read them more than once."""
+    path = stage_path(spark, "parsed")
+    _parsed(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _clock(*cols):
+    """Times as text, which reads the same in every engine."""
+    return {c: F.col(c).cast("string") for c in cols}
+
+
+def _reply_latency(spark, sf_dir):
+    return op.reply_latency(_kept_parsed(spark, sf_dir)).withColumns(_clock("sent_at"))
+
+
+def _periods(spark, sf_dir):
+    """Periods of interest, one per event: the month of the events stretched over the years of
+    the mails, and as many hours as the event's value."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    since = F.col("ts").cast("timestamp_ntz") - F.lit("2024-01-01").cast("timestamp_ntz")
+    start = F.lit("1998-01-01").cast("timestamp_ntz") + since * 44
+    seconds = F.floor(F.col("value") * 3600).cast("decimal(18,6)")
+    return events.select(
+        F.col("event_id").alias("id"),
+        "event_type",
+        orders_mail.address(F.col("user_id")).alias("src"),
+        start.alias("start"),
+        (start + F.make_dt_interval(secs=seconds)).alias("end"),
+    )
+
+
+def _mails_in_intervals(spark, sf_dir):
+    errors = _periods(spark, sf_dir).where("event_type = 'error'").select("id", "start", "end")
+    return op.mails_in_intervals(_parsed(spark, sf_dir), errors).withColumns(_clock("first_at"))
+
+
+def _mails_in_own_intervals(spark, sf_dir):
+    """Every mail with the periods of its sender that it falls in."""
+    mails = _parsed(spark, sf_dir).where("skip_reason IS NULL").select("msg_id", "src", "sent_at")
+    pairs = op.interval_join(mails, _periods(spark, sf_dir), "sent_at", "start", "end", by=["src"])
+    return pairs.select("point.msg_id", "interval.id", "interval.event_type")
+
+
+def _conversation_sessions(spark, sf_dir):
+    bursts = op.conversation_sessions(_parsed(spark, sf_dir), gap=180 * 86400)
+    return bursts.withColumns(_clock("started", "ended"))
+
+
+def _rolling_activity(spark, sf_dir):
+    return op.rolling_activity(_parsed(spark, sf_dir)).withColumns(_clock("window_start"))
+
+
+def _in_two_arrivals(spark, sf_dir, first, delay):
+    """The folder of a stream that took the mails for which ``first`` holds in one run and the
+    others, which arrived later, in the next."""
+    dump, folder = stage_path(spark, "dump"), stage_path(spark, "weeks")
+    messages = orders_mail.messages(spark, sf_dir)
+    for arrival, mails in enumerate((messages.where(first), messages.where(~first))):
+        sources.write_messages(mails, f"{dump}/arrival={arrival}", "csv")
+        count_new_files(spark, f"{dump}/*", folder, delay, files_per_batch=100_000)
+    return folder
+
+
+def _edges_per_week_stream(spark, sf_dir):
+    """Closed weeks of mails that arrive year by year, so that none is late."""
+    year = F.regexp_extract("message", r"\nDate: [^\n]*? (\d{4}) ", 1)
+    folder = _in_two_arrivals(spark, sf_dir, year < "2000", "28 days")
+    return closed_weeks(spark, folder).withColumns(_clock("week_start"))
+
+
+def _late_copies_stream(spark, sf_dir):
+    """Every tenth mail arrives after all others: what is late then, and what is not."""
+    number = F.regexp_extract("file", "[0-9]+", 0).cast("long")
+    folder = _in_two_arrivals(spark, sf_dir, number % 10 != 3, "365 days")
+    weeks = closed_weeks(spark, folder).agg(F.count("*").alias("weeks"), F.sum("edges").alias("edges"))
+    runs = late_copies(spark, folder).agg(
+        F.count("*").alias("runs"), F.sum("late_copies").alias("late_copies"), F.sum("mails").alias("mails")
+    )
+    as_rows = lambda df: df.unpivot([], df.columns, "measure", "value")
+    return as_rows(weeks).union(as_rows(runs))
+
+
 # ---- graph ------------------------------------------------------------------
 
 
@@ -411,6 +497,15 @@ def _mail_queries() -> dict[str, Query]:
         "edges_short_lines": _edges_short_lines,
         "ingest_metrics": _on_parsed(op.ingest_metrics),
         "scale_summary": _on_parsed(op.scale_summary),
+        # mails over time
+        "reply_latency": _reply_latency,
+        "mails_in_intervals": _mails_in_intervals,
+        "mails_in_own_intervals": _mails_in_own_intervals,
+        "conversation_sessions": _conversation_sessions,
+        "rolling_activity": _rolling_activity,
+        "active_streaks": _on_parsed(op.active_streaks),
+        "edges_per_week_stream": _edges_per_week_stream,
+        "late_copies_stream": _late_copies_stream,
         # graph
         "simple_graph": _simple,
         "graph_nodes": lambda spark, sf_dir: op.nodes(_simple(spark, sf_dir)),

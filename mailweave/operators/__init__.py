@@ -64,11 +64,23 @@ from mailweave.operators.ranking import (
     track,
 )
 from mailweave.operators.summary import scale_summary
+from mailweave.operators.temporal import (
+    active_streaks,
+    asof_join,
+    conversation_sessions,
+    interval_join,
+    mails_in_intervals,
+    reply_latency,
+    rolling_activity,
+    sessions,
+)
 
 __all__ = [
     "FEATURES",
     "KMeansResult",
     "active_months",
+    "active_streaks",
+    "asof_join",
     "assign",
     "build_edges",
     "check_mass",
@@ -79,6 +91,7 @@ __all__ = [
     "collect_centroids",
     "collect_stats",
     "column_stats",
+    "conversation_sessions",
     "dangling_nodes",
     "degrees",
     "edge_weights",
@@ -88,8 +101,10 @@ __all__ = [
     "header_fields",
     "ingest_metrics",
     "init_centroids",
+    "interval_join",
     "kmeans",
     "kmeans_many",
+    "mails_in_intervals",
     "night_ratio",
     "node_strength",
     "nodes",
@@ -106,10 +121,13 @@ __all__ = [
     "rank_compare",
     "rank_mass",
     "rank_vector",
+    "reply_latency",
+    "rolling_activity",
     "scale_summary",
     "seed_emails",
     "sent_recv",
     "series_wide",
+    "sessions",
     "simple_graph",
     "skip_reasons",
     "standardize",

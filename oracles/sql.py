@@ -245,7 +245,112 @@ def _clustered(*fits: str) -> str:
     return POINTS.rstrip() + "," + ",".join(fits) + "\n"
 
 
+# ---- mails over time --------------------------------------------------------
+
+COPY = """
+copy AS MATERIALIZED (
+  SELECT DISTINCT msg_id, edge.src, dst, sent FROM edge JOIN mail USING (msg_id)
+  WHERE edge.ym <> 'NA')"""
+
+PERIOD = """
+period AS (
+  SELECT event_id AS id, event_type, 'p' || user_id || '@en.example.com' AS src,
+         make_timestamp((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) * 44
+                        + epoch_us(TIMESTAMP '1998-01-01')) AS starts, value
+  FROM events),
+span AS (
+  SELECT *, starts + to_seconds(floor(value * 3600)::BIGINT) AS ends FROM period)"""
+
+
+def _clock(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+
+
+# Seven days each from 1970-01-01 on; a week is closed, or a copy late, once the latest mail of
+# the arrivals before is so many days past the end of the week.
+WEEKLY = """
+timed AS MATERIALIZED (
+  SELECT k, edge.src, dst, sent,
+         DATE '1970-01-01' + CAST(date_diff('day', DATE '1970-01-01', sent::DATE) // 7 * 7 AS INTEGER)
+           AS week
+  FROM edge JOIN mail USING (msg_id) WHERE edge.ym <> 'NA')"""
+
+
+def _over_time() -> dict[str, str]:
+    return {
+        "edges_per_week_stream": _with(MAIL, WEEKLY)
+        + """SELECT CAST(week AS VARCHAR) AS week_start, count(DISTINCT (src, dst)) AS edges
+FROM timed WHERE week + 7 <= (SELECT max(sent) - INTERVAL 28 DAY FROM timed) GROUP BY week""",
+        "late_copies_stream": _with(MAIL, WEEKLY)
+        + """, marks AS (
+  SELECT max(sent) FILTER (k % 10 <> 3) - INTERVAL 365 DAY AS first,
+         max(sent) - INTERVAL 365 DAY AS last FROM timed),
+judged AS (SELECT *, k % 10 = 3 AND week + 7 <= first AS late FROM timed, marks),
+counted AS (
+  SELECT count(DISTINCT week) FILTER (NOT late AND week + 7 <= last) AS weeks,
+         count(DISTINCT (week, src, dst)) FILTER (NOT late AND week + 7 <= last) AS edges,
+         2::BIGINT AS runs, count(*) FILTER (late) AS late_copies,
+         (SELECT count(*) FROM orders) AS mails
+  FROM judged)
+UNPIVOT counted ON weeks, edges, runs, late_copies, mails INTO NAME measure VALUE value""",
+        "reply_latency": _with(MAIL, COPY)
+        + f""", asked AS (
+  SELECT dst AS src, src AS dst, sent, min(msg_id) AS reply_to FROM copy GROUP BY ALL)
+SELECT c.msg_id, c.src, c.dst, {_clock("c.sent")} AS sent_at, a.reply_to,
+       date_diff('second', a.sent, c.sent) AS latency
+FROM copy c ASOF LEFT JOIN asked a ON c.src = a.src AND c.dst = a.dst AND c.sent > a.sent""",
+        "mails_in_intervals": _with(MAIL, PERIOD)
+        + f"""SELECT id, count(*) AS mails, count(DISTINCT mail.src) AS senders,
+  {_clock("min(sent)")} AS first_at
+FROM span JOIN mail ON sent >= starts AND sent < ends
+WHERE event_type = 'error' AND skip_reason IS NULL AND ym <> 'NA' GROUP BY id""",
+        "mails_in_own_intervals": _with(MAIL, PERIOD)
+        + """SELECT msg_id, id, event_type
+FROM span JOIN mail ON mail.src = span.src AND sent >= starts AND sent < ends
+WHERE skip_reason IS NULL AND k % 97 <> 0""",
+        "conversation_sessions": _with(MAIL, COPY)
+        + f""", paired AS (
+  SELECT least(src, dst) AS a, greatest(src, dst) AS b, sent, src < dst AS from_a FROM copy),
+marked AS (
+  SELECT *, sent - lag(sent) OVER w > INTERVAL 180 DAY AS fresh FROM paired
+  WINDOW w AS (PARTITION BY a, b ORDER BY sent)),
+numbered AS (
+  SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END)
+            OVER (PARTITION BY a, b ORDER BY sent RANGE UNBOUNDED PRECEDING) AS run FROM marked)
+SELECT a, b, {_clock("min(sent)")} AS started, {_clock("max(sent)")} AS ended, count(*) AS mails,
+       count(*) FILTER (from_a) AS from_a
+FROM numbered GROUP BY a, b, run""",
+        "rolling_activity": _with(MAIL)
+        + """, size AS (SELECT msg_id, count(*) AS copies FROM edge GROUP BY msg_id),
+step AS (
+  SELECT src AS email, date_diff('day', DATE '1970-01-01', sent::DATE) // 7 AS n,
+         coalesce(copies, 0) AS copies
+  FROM mail LEFT JOIN size USING (msg_id) WHERE skip_reason IS NULL AND ym <> 'NA')
+SELECT email, CAST(DATE '1970-01-01' + CAST((n - back) * 7 AS INTEGER) AS VARCHAR) AS window_start,
+       count(*) AS mails, sum(copies)::BIGINT AS copies
+FROM step, range(4) AS windows(back) GROUP BY ALL""",
+        "active_streaks": _with(MAIL)
+        + """, month AS (
+  SELECT DISTINCT src AS email, ym, year(sent) * 12 + month(sent) AS n FROM mail
+  WHERE skip_reason IS NULL AND ym <> 'NA'),
+island AS (
+  SELECT *, n - row_number() OVER w AS start, n - lag(n) OVER w - 1 AS silence FROM month
+  WINDOW w AS (PARTITION BY email ORDER BY n)),
+run AS (
+  SELECT email, count(*) AS months, max(silence) AS silence, min(ym) AS a, max(ym) AS b
+  FROM island GROUP BY email, start)
+SELECT email, sum(months)::BIGINT AS months, max(months) AS longest_streak,
+       coalesce(max(silence), 0)::INTEGER AS longest_silence, min(a) AS first_month,
+       max(b) AS last_month
+FROM run GROUP BY email""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    return _mail_graph() | _over_time()
+
+
+def _mail_graph() -> dict[str, str]:
     mail, fields = _with(MAIL), _with(MAIL, FIELDS)
     tokens = _with(MAIL, TOKEN)
     features = _with(MAIL, FEATURE)
