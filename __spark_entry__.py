@@ -69,6 +69,23 @@ def _parsed(spark, sf_dir):
     return op.parse_messages(orders_mail.messages(spark, sf_dir))
 
 
+def _parsed_odd(spark, sf_dir, headers_only=False):
+    return op.parse_messages(orders_mail.odd_messages(spark, sf_dir), headers_only=headers_only)
+
+
+def _odd_mails(headers_only: bool) -> Query:
+    """Everything parsed from mails with missing, folded, forwarded or unreadable parts."""
+    listed = {c: F.array_join(c, ",") for c in ("to", "cc")}
+    return lambda spark, sf_dir: _parsed_odd(spark, sf_dir, headers_only).withColumns(
+        _clock("sent_at") | listed
+    )
+
+
+def _skip_reasons_all(spark, sf_dir):
+    """Mails per reason over both corpora; every reason there is occurs."""
+    return op.skip_reasons(_parsed(spark, sf_dir).union(_parsed_odd(spark, sf_dir)))
+
+
 def _sent_local(spark, sf_dir):
     """Month and hour in another zone than the mails'."""
     parsed = op.parse_messages(orders_mail.messages(spark, sf_dir), tz="America/Chicago")
@@ -488,6 +505,9 @@ def _mail_queries() -> dict[str, Query]:
         "persons": _on_parsed(op.persons),
         "persons_roundtrip": _persons_roundtrip,
         "skip_reasons": _on_parsed(op.skip_reasons),
+        "skip_reasons_all": _skip_reasons_all,
+        "odd_mails": _odd_mails(False),
+        "odd_mails_headers_only": _odd_mails(True),
         "sent_month": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "ym"),
         "sent_hour": lambda spark, sf_dir: _parsed(spark, sf_dir).select("msg_id", "hour"),
         "sent_local": _sent_local,

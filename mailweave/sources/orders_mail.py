@@ -129,3 +129,50 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         F.concat(F.lit("mail/"), key, F.lit(".")).alias("file"), text.alias("message")
     )
+
+
+def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second corpus ``file, message``, one mail per order, of what the first one never shows.
+
+    By the order's key modulo 12: blank mails, none at all, no From, no Date, CRLF line ends, a To
+    that stands in the body alone, a sender that is no address, no To, a time of millions of
+    seconds, zones by name, a header in lower case, and a list with an empty entry, the sender
+    and an address without a dot.
+    """
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        key.alias("k"),
+        address(cust).alias("s"),
+        address(cust + 1).alias("a"),
+        address(cust + 2).alias("b"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("sent"),
+    )
+    day = F.date_format(F.col("sent").cast("date"), "EEE, d MMM ")
+    date = F.concat(F.lit("Date: "), day, F.substring(_clock("sent"), 1, 4), F.lit(" 09:30:15 "))
+    zone = F.element_at(
+        F.array(*(F.lit(z) for z in ("PKT", "Pacific Standard Time", "Europe/Paris"))),
+        (F.floor(F.col("k") / 12) % 3 + 1).cast("int"),
+    )
+    forms = [
+        ["  \n\t \n"],
+        [F.lit(None).cast("string")],
+        [date, "+0000\nTo: ", F.col("a"), "\nSubject: none\n\nbody\n"],
+        ["From: ", F.col("s"), "\nTo: ", F.col("a"), ", ", F.col("b"), "\n\nno date\n"],
+        ["From: ", F.col("s"), "\r\nTo: ", F.col("a"), ",\r\n\t", F.col("b"), "\r\n", date, "+0000\r\n\r\nbody\r\n"],
+        ["From: ", F.col("s"), "\n", date, "+0000\nCc: ", F.col("b"), "\n\nForwarded:\nTo: ", F.col("a"), "\nbye\n"],
+        ["From: mailer daemon\nTo: ", F.col("a"), "\n", date, "+0000\n\nbody\n"],
+        ["From: ", F.col("s"), "\nCc: ", F.col("a"), "\n", date, "+0000\n\nbody\n"],
+        ["From: ", F.col("s"), "\nTo: ", F.col("a"), "\nDate: Mon, 1 Jan 2001 00:00:",
+         (F.col("k") + 10_000_000).cast("string"), " +0000\n\nbody\n"],
+        ["From: ", F.col("s"), "\nTo: ", F.col("a"), "\n", date, zone, "\n\nbody\n"],
+        ["from: ", F.col("s"), "\nTo: ", F.col("a"), "\n", date, "+0000\n\nbody\n"],
+        ["From: Some One <", F.col("s"), ">\nTo: Other <", F.col("a"), ">; ", F.col("a"), " ;, bad@host, ", F.col("s"),
+         "\n", date, "-0930 (somewhere)\n\nbody\n"],
+    ]
+    message = F.lit(None).cast("string")
+    for number, form in enumerate(forms):
+        text = F.concat(*(F.lit(x) if isinstance(x, str) else x for x in form))
+        message = F.when(F.col("k") % len(forms) == number, text).otherwise(message)
+    return orders.select(
+        F.concat(F.lit("odd/"), F.col("k").cast("string"), F.lit(".")).alias("file"), message.alias("message")
+    )

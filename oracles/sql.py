@@ -346,8 +346,54 @@ FROM run GROUP BY email""",
     }
 
 
+# ---- mails of the second corpus ---------------------------------------------
+
+
+def _odd(headers_only: bool) -> str:
+    """CTE ``odd``: what the rules give for each of the twelve forms of a mail."""
+    body_to = "'no_recipient_field'" if headers_only else "NULL"
+    return f"""
+form AS (
+  SELECT o_orderkey AS k, o_orderkey % 12 AS form, o_orderkey // 12 % 3 AS zone,
+         'p' || o_custkey || '@en.example.com' AS s,
+         'p' || (o_custkey + 1) || '@en.example.com' AS a,
+         'p' || (o_custkey + 2) || '@en.example.com' AS b,
+         o_orderdate + INTERVAL 34215 SECOND AS day
+  FROM orders),
+reason AS (
+  SELECT *, CASE WHEN form < 2 THEN 'blank_message' WHEN form IN (2, 10) THEN 'no_sender'
+                 WHEN form = 5 THEN {body_to} WHEN form = 7 THEN 'no_recipient_field'
+                 WHEN form = 6 THEN 'invalid_sender' END AS skip_reason,
+         CASE WHEN form IN (0, 1, 3) OR form = 9 AND zone = 2 THEN NULL
+              WHEN form = 8 THEN TIMESTAMP '2001-01-01' + to_seconds(k + 10000000)
+              WHEN form = 9 AND zone = 0 THEN day - INTERVAL 5 HOUR
+              WHEN form = 9 THEN day + INTERVAL 8 HOUR
+              WHEN form = 11 THEN day + INTERVAL 570 MINUTE ELSE day END AS sent
+  FROM form),
+odd AS MATERIALIZED (
+  SELECT 'odd/' || k || '.' AS msg_id,
+         CASE WHEN form IN (0, 1, 2, 10) THEN '' WHEN form = 6 THEN 'mailer daemon' ELSE s END AS src,
+         CASE WHEN skip_reason IS NOT NULL THEN '' WHEN form IN (3, 4) THEN a || ',' || b
+              WHEN form = 11 THEN a || ',' || a ELSE a END AS "to",
+         CASE WHEN skip_reason IS NULL AND form = 5 THEN b ELSE '' END AS cc,
+         strftime(sent, '%Y-%m-%d %H:%M:%S') AS sent_at,
+         CASE WHEN year(sent) BETWEEN 1998 AND 2002 THEN strftime(sent, '%Y-%m') ELSE 'NA' END AS ym,
+         CAST(hour(sent) AS INTEGER) AS hour, skip_reason
+  FROM reason)"""
+
+
+def _odd_mails() -> dict[str, str]:
+    return {
+        "odd_mails": _with(_odd(False)) + "SELECT * FROM odd",
+        "odd_mails_headers_only": _with(_odd(True)) + "SELECT * FROM odd",
+        "skip_reasons_all": _with(MAIL, _odd(False))
+        + """SELECT coalesce(skip_reason, 'valid') AS skip_reason, count(*) AS mails
+FROM (SELECT skip_reason FROM mail UNION ALL SELECT skip_reason FROM odd) GROUP BY ALL""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return _mail_graph() | _over_time()
+    return _mail_graph() | _over_time() | _odd_mails()
 
 
 def _mail_graph() -> dict[str, str]:

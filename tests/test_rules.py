@@ -26,6 +26,20 @@ from mailweave.sources import orders_mail
         ("Mon, 1 Jan 2001 05:00:00 XYZ", "NA", None),
         ("Mon, 1 Jan 999999999999 05:00:00 +0000", "NA", None),
         ("Mon, 99999999999999999999 Jan 2001 05:00:00 +0000", "NA", None),
+        ("Mon, 1 Jan 2001 00:00:10000000 +0000", "2001-04", 17),
+        ("Mon, 1 Jan 2001 00:525600:00 +0000", "2002-01", 0),
+        ("Mon, 1 Jan 2001 00:00:31536000 +0000", "2002-01", 0),
+        ("Mon, 1 Jan 1970 00:00:1000000000 +0000", "2001-09", 1),
+        ("Mon, 1 Jan 1970 00:16666667:00 -0500", "2001-09", 6),
+        ("Mon, 1 Jan 1970 277778:00:00 +0000", "2001-09", 2),
+        ("Mon, 10000000 Jan 1970 00:00:00 +0000", "NA", 0),
+        ("Mon, 1 Jan 1970 00:00:9200000000001 +0000", "NA", None),
+        ("Mon, 1 Jan 290001 00:00:00 +0000", "NA", None),
+        ("Mon, 1 Jan 2001 05:00:00 PKT", "2001-01", 0),
+        ("Mon, 1 Jan 2001 05:00:00 Pacific Standard Time", "2001-01", 13),
+        ("Mon, 1 Jul 2001 05:00:00 pacific daylight time (PDT)", "2001-07", 12),
+        ("Mon, 1 Jan 2001 05:00:00 Central European Summer Time", "2001-01", 3),
+        ("Mon, 1 Jan 2001 05:00:00 Europe/Paris", "NA", None),
     ],
 )
 def test_dates(spark, date, month, hour):
