@@ -14,7 +14,9 @@ The counts are summed over blocks, joined back to the blocks' pairs, and each bl
 then valued with the counts of its own pairs.
 
 Side A is a byte-level file of the ``tokenizers`` library and gets a space before the text, side
-B a model of ``sentencepiece``, which adds it. Special tokens in texts are ordinary text.
+B a model of ``sentencepiece``, which adds it. Special tokens in texts are ordinary text. Where
+no piece of B goes on over the start of a word, a text's pieces are those of its words, and a
+worker remembers the pieces of the words it has met; else texts are encoded whole.
 
 Defined cases: null and empty texts have no tokens, nor have texts whose joined token bytes on
 either side differ from the text with its space; all their numbers are 0 and the groups are
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -42,6 +45,10 @@ from mailweave.llm.pieces import CutIds, _byte_letters, file_content
 #: Bytes of text of a block; one step of a task works on a block.
 BLOCK_BYTES = 2 << 20
 
+#: Words a worker remembers, the first ones met, and none over `LONGEST` characters.
+REMEMBERED = 200_000
+LONGEST = 64
+
 _BLOCKS = (
     "block long, keys array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
     "n_links array<long>, groups array<string>, codes array<long>, docs array<long>, "
@@ -71,6 +78,26 @@ def _names(values: Sequence[int], *ends: str) -> np.ndarray:
     return np.array([[f"{v}{end}" for end in ends] for v in values], dtype=object)
 
 
+class _Words(dict):
+    """Spaces and a word -> the word's piece ids as bytes; None if their bytes are not the word's.
+
+    The model adds the first space itself, but not to an empty text: a lone space at the end of
+    a text gets what it gets after another word.
+    """
+
+    def __init__(self, model, pieces: list[bytes]):
+        super().__init__()
+        self._model, self._pieces = model, pieces
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self._model.encode(word[1:]) or self._model.encode("a" + word)[len(self._model.encode("a")) :]
+        same = b"".join(map(self._pieces.__getitem__, ids)) == word.encode()
+        found = np.array(ids, "<u4").tobytes() if same else None
+        if len(self) < REMEMBERED and len(word) <= LONGEST:
+            self[word] = found
+        return found
+
+
 class Tokenizers:
     """Both sides in one worker: ids of texts, and the bytes of every id."""
 
@@ -78,35 +105,44 @@ class Tokenizers:
         from sentencepiece import SentencePieceProcessor
 
         self._a = CutIds(sources.a, sources.pattern)
-        self._b = SentencePieceProcessor(model_proto=sources.b)
+        b = SentencePieceProcessor(model_proto=sources.b)
         letters = {letter: byte for byte, letter in _byte_letters().items()}
         content = json.loads(sources.a)
         vocabulary = content["model"]["vocab"] | {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for piece, number in vocabulary.items():
-            self.a_bytes[number] = bytes(letters[x] for x in piece)
-        b = self._b
-        self.b_bytes = [
-            bytes([int(b.id_to_piece(i)[1:-1], 16)])
-            if b.is_byte(i)
-            else b.id_to_piece(i).replace("▁", " ").encode()
-            for i in range(b.get_piece_size())
+            a_bytes[number] = bytes(letters[x] for x in piece)
+        if not set(letters) <= set(vocabulary):
+            raise ValueError("side A must have a token for every byte")
+        pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
+        b_bytes = [
+            bytes([int(piece[1:-1], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+            for i, piece in enumerate(pieces)
         ]
-        self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_names = _names(range(len(self.a_bytes)), ",", "|")
-        self.b_names = _names(range(len(self.b_bytes)), ",", ";")
-
-    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both sides; none if the bytes of either are not those of the text."""
+        self.a_sizes = np.array([len(x) for x in a_bytes], np.int64)
+        self.b_sizes = np.array([len(x) for x in b_bytes], np.int64)
+        self.a_names = _names(range(len(a_bytes)), ",", "|")
+        self.b_names = _names(range(len(b_bytes)), ",", ";")
+        self._words = _Words(b, b_bytes).__getitem__
+        # by words if pieces begin words only at their start, and texts are taken as they are
+        crossing = any("▁" in piece.lstrip("▁") for piece in pieces)
+        probe = "  a  \t①ﬁ  "
+        kept = b"".join(b_bytes[i] for i in b.encode(probe)) == f" {probe}".encode()
+        self._cut = re.compile(r"(?s).+" if crossing or not kept else r" +[^ ]*").findall
+
+    def encode(self, text: str | None) -> tuple[bytes, bytes]:
+        """Ids of both sides as unsigned 32-bit integers; none if the bytes of either are not
+        those of the text. A cut's ids on side A have its bytes, so none are missing if there
+        are as many as in the text."""
         if not text:
-            return [], []
+            return b"", b""
         spaced = " " + text
-        a = np.frombuffer(self._a.encode([spaced])[0], "<u4").tolist()
-        b = self._b.encode(text)
-        whole = spaced.encode()
-        same = b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
-        return (a, b) if same else ([], [])
+        b = list(map(self._words, self._cut(spaced)))
+        if None in b:
+            return b"", b""
+        a = self._a.encode([spaced])[0]
+        size = self.a_sizes[np.frombuffer(a, "<u4")].sum()
+        return (a, b"".join(b)) if size == len(spaced.encode()) else (b"", b"")
 
 
 _loaded: dict[int, Tokenizers] = {}
@@ -121,10 +157,10 @@ def _tokenizers(sources: Sources) -> Tokenizers:
     return _loaded[key]
 
 
-def _side(ids: list[list[int]], sizes: np.ndarray, bases: np.ndarray) -> tuple[np.ndarray, pd.DataFrame]:
+def _side(ids: list[bytes], sizes: np.ndarray, bases: np.ndarray) -> tuple[np.ndarray, pd.DataFrame]:
     """All ids of a block, and ``place, doc, number`` of every token; places grow over the block."""
-    counts = np.array([len(x) for x in ids], np.int64)
-    flat = np.array([x for one in ids for x in one], np.int64)
+    counts = np.array([len(x) // 4 for x in ids], np.int64)
+    flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
     doc = np.repeat(np.arange(len(ids)), counts)
     ends = np.cumsum(sizes[flat])
     first = np.concatenate([[0], ends])[np.cumsum(counts) - counts]

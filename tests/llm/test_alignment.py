@@ -1,8 +1,10 @@
 """The alignment of two tokenizers against a brute-force version over the libraries."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -117,14 +119,25 @@ def test_blocks_of_any_size_agree(spark, sf_dir, sources):
     assert list(whole["docs"]) == [sum(c in one["codes"] for one in alone) for c in whole["codes"]]
 
 
+def test_words_have_the_pieces_of_the_text(sources):
+    """Pieces by words are those of the library on the whole text."""
+    known, model = alignment.Tokenizers(sources), sentencepiece.SentencePieceProcessor(model_file=B)
+    rng = random.Random(3)
+    signs = ["the", "Thing", " ", "  ", "\n", "\t", "é", "中文", "\U0001f600", "ab", "</s>", "...", "\u00a0", "1234", "x" * 70]
+    for _ in range(400):
+        text = "".join(rng.choices(signs, k=rng.randrange(1, 40)))
+        assert np.frombuffer(known.encode(text)[1], "<u4").tolist() == model.encode(text)
+    assert known._cut(" a  b") == [" a", "  b"]
+
+
 def test_one_long_text(sources):
     """A text of several blocks' size is one block."""
     text = "the quick brown föx, 99 times over\n" * 150_000
     known = alignment.Tokenizers(sources)
     row = alignment._block(known, [1], [text], 0, True)
     a, b = known.encode(text)
-    assert (row["n_a"][0], row["n_b"][0]) == (len(a), len(b))
-    assert row["times"].sum() == row["n_links"][0] >= max(len(a), len(b))
+    assert (row["n_a"][0], row["n_b"][0]) == (len(a) // 4, len(b) // 4)
+    assert row["times"].sum() == row["n_links"][0] >= max(len(a), len(b)) // 4
 
 
 def test_query_equals_brute_force(spark, sf_dir):
