@@ -18,11 +18,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mailweave import operators as op
 from mailweave import sources
-from mailweave.functions import clean_address, is_valid_address, quarter_of
+from mailweave.functions import clean_address, header_map, is_valid_address, quarter_of
 from mailweave.functions.addresses import SEPARATORS
 from mailweave.operators.features import FEATURES
 from mailweave.session import shared_folder, stage_path
 from mailweave.sources import orders_mail
+from mailweave.sql import register
 from mailweave.streaming import closed_weeks, count_new_files, late_copies, parse_new_files
 from oracles import oracle_sql as _oracle_sql
 
@@ -210,6 +211,90 @@ def _late_copies_stream(spark, sf_dir):
     return as_rows(weeks).union(as_rows(runs))
 
 
+# ---- traffic, formats and SQL -----------------------------------------------
+
+
+def _edge_changes(spark, sf_dir):
+    """Copies of two quarters in a row, by what became of them."""
+    dated = op.with_quarter(_kept_edges(spark, sf_dir))
+    first, second = (dated.where(F.col("quarter") == q) for q in ("1998-Q1", "1998-Q2"))
+    return op.edge_changes(first, second)
+
+
+def _header_map(spark, sf_dir):
+    """Every header field of every mail, its values in one text."""
+    fields = F.explode(header_map(F.col("message"))).alias("name", "found")
+    mails = orders_mail.messages(spark, sf_dir).select("file", fields)
+    return mails.select("file", "name", F.array_join("found", "|").alias("found"))
+
+
+def _json_edges(spark, sf_dir):
+    path = stage_path(spark, "json")
+    sources.write_messages_json(orders_mail.messages(spark, sf_dir), path)
+    mails = sources.read_messages_json(spark, path)
+    return op.build_edges(op.parse_fields(op.mapped_fields(mails)))
+
+
+def _json_corrupt(spark, sf_dir):
+    """Lines read whole, with an unknown field, and not at all, from a file in which every
+    seventh line is cut short and every eleventh has a field more."""
+    path, damaged = stage_path(spark, "json"), stage_path(spark, "damaged")
+    sources.write_messages_json(orders_mail.messages(spark, sf_dir), path)
+    number = F.regexp_extract("value", r'"file":"mail/(\d+)', 1).cast("long")
+    short = F.substring("value", F.lit(1), F.length("value") - 1 - (number % 5).cast("int"))
+    more = F.concat(F.lit('{"size":'), number.cast("string"), F.lit(","), F.substring("value", F.lit(2), F.length("value")))
+    line = F.when(number % 7 == 0, short).when(number % 11 == 0, more).otherwise(F.col("value"))
+    spark.read.text(path).select(line.alias("value")).write.text(damaged)
+    mails = sources.read_messages_json(spark, damaged)
+    kind = F.when(F.col("corrupt").isNotNull(), "corrupt").when(F.size("rest") > 0, "unknown field").otherwise("whole")
+    return mails.groupBy(kind.alias("kind")).agg(
+        F.count("*").alias("mails"), F.sum(F.col("rest")["size"].cast("long")).alias("size")
+    )
+
+
+def _edges_format(fmt: str) -> Query:
+    def query(spark, sf_dir):
+        path = stage_path(spark, f"edges-{fmt}")
+        sources.write_edges(_edges(spark, sf_dir), path, fmt)
+        return sources.read_edges(spark, path, fmt)
+
+    return query
+
+
+def _edges_bucketed(spark, sf_dir):
+    """Every pair with its share of the sender's copies, from a table dealt by sender: neither
+    the sums nor the join moves an edge."""
+    path = stage_path(spark, "bucketed")
+    name = path.rpartition("/")[2].replace("-", "_")
+    edges = sources.edges_table(_edges(spark, sf_dir), name, path, buckets=8)
+    pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("copies"))
+    sent = edges.groupBy("src").agg(F.count("*").alias("sent"))
+    shares = pairs.join(sent.hint("merge"), "src")
+    spark.sql(f"DROP TABLE {name}")  # the files stay for the plan that reads them
+    return shares.select("src", "dst", "copies", "sent")
+
+
+def _in_sql(text: str) -> Query:
+    def query(spark, sf_dir):
+        register(spark, _parsed(spark, sf_dir))
+        return spark.sql(text)
+
+    return query
+
+
+_sql_quarter_sizes = _in_sql(
+    """SELECT mail_quarter(ym) AS quarter, count(DISTINCT src, dst) AS edges FROM mail_edges
+       WHERE src <> dst AND mail_quarter(ym) IS NOT NULL GROUP BY mail_quarter(ym)"""
+)
+_sql_edge_weights = _in_sql(
+    """SELECT src, dst, sum(mail_weight(type)) AS w FROM mail_edges
+       WHERE src <> dst AND mail_valid_address(src) GROUP BY src, dst"""
+)
+_sql_correspondents = _in_sql(
+    """SELECT email, sent, received FROM mail_correspondents('p7@en.example.com')"""
+)
+
+
 # ---- graph ------------------------------------------------------------------
 
 
@@ -526,6 +611,20 @@ def _mail_queries() -> dict[str, Query]:
         "active_streaks": _on_parsed(op.active_streaks),
         "edges_per_week_stream": _edges_per_week_stream,
         "late_copies_stream": _late_copies_stream,
+        # traffic, formats and SQL
+        "traffic_cube": lambda spark, sf_dir: op.traffic_cube(_edges(spark, sf_dir)),
+        "calendar_rollup": lambda spark, sf_dir: op.calendar_rollup(_edges(spark, sf_dir)),
+        "edge_churn": lambda spark, sf_dir: op.edge_churn(_edges(spark, sf_dir)),
+        "edge_changes": _edge_changes,
+        "header_map": _header_map,
+        "json_edges": _json_edges,
+        "json_corrupt": _json_corrupt,
+        "edges_orc": _edges_format("orc"),
+        "edges_json": _edges_format("json"),
+        "edges_bucketed": _edges_bucketed,
+        "sql_quarter_sizes": _sql_quarter_sizes,
+        "sql_edge_weights": _sql_edge_weights,
+        "sql_correspondents": _sql_correspondents,
         # graph
         "simple_graph": _simple,
         "graph_nodes": lambda spark, sf_dir: op.nodes(_simple(spark, sf_dir)),

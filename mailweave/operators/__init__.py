@@ -41,6 +41,8 @@ from mailweave.operators.messages import (
     gate_messages,
     header_fields,
     ingest_metrics,
+    mapped_fields,
+    parse_fields,
     parse_messages,
     persons,
     skip_reasons,
@@ -74,6 +76,13 @@ from mailweave.operators.temporal import (
     rolling_activity,
     sessions,
 )
+from mailweave.operators.traffic import (
+    calendar_rollup,
+    edge_changes,
+    edge_churn,
+    traffic_cells,
+    traffic_cube,
+)
 
 __all__ = [
     "FEATURES",
@@ -83,6 +92,7 @@ __all__ = [
     "asof_join",
     "assign",
     "build_edges",
+    "calendar_rollup",
     "check_mass",
     "cluster_centers_raw",
     "cluster_crosstab",
@@ -94,6 +104,8 @@ __all__ = [
     "conversation_sessions",
     "dangling_nodes",
     "degrees",
+    "edge_changes",
+    "edge_churn",
     "edge_weights",
     "explode_recipients",
     "gate_messages",
@@ -105,12 +117,14 @@ __all__ = [
     "kmeans",
     "kmeans_many",
     "mails_in_intervals",
+    "mapped_fields",
     "night_ratio",
     "node_strength",
     "nodes",
     "out_strength",
     "pagerank",
     "pagerank_step",
+    "parse_fields",
     "parse_messages",
     "peak_quarter",
     "person_counts",
@@ -134,6 +148,8 @@ __all__ = [
     "start_ranks",
     "top_k",
     "track",
+    "traffic_cells",
+    "traffic_cube",
     "update_centroids",
     "with_quarter",
 ]

@@ -37,6 +37,26 @@ def header_fields(messages: DataFrame, headers_only: bool = False) -> DataFrame:
     )
 
 
+def mapped_fields(mails: DataFrame) -> DataFrame:
+    """`header_fields` of mails whose headers are a map (``file, headers``).
+
+    The first value of a name counts. A mail without a map is blank, one with an empty map is not.
+    """
+
+    def first(name: str):
+        values = F.col("headers")[name]
+        return F.coalesce(F.get(values, F.lit(0)), F.lit(""))
+
+    return mails.select(
+        "file",
+        F.col("headers").isNull().alias("is_blank"),
+        first("From").alias("from_text"),
+        first("To").alias("to_text"),
+        first("Cc").alias("cc_text"),
+        first("Date").alias("date_text"),
+    )
+
+
 def gate_messages(fields: DataFrame) -> DataFrame:
     """Add the sender ``src`` and why the mail is skipped (NULL if it is not)."""
     reason = (
@@ -62,7 +82,14 @@ def parse_messages(
     are empty. Nothing but this table is needed for edges and features, so the
     message bodies are read once.
     """
-    gated = gate_messages(header_fields(messages, headers_only))
+    return parse_fields(header_fields(messages, headers_only), tz, years)
+
+
+def parse_fields(
+    fields: DataFrame, tz: str = "UTC", years: tuple[int, int] = (1998, 2002)
+) -> DataFrame:
+    """`parse_messages` of fields that are cut out already, by `header_fields` or from a map."""
+    gated = gate_messages(fields)
     nobody = F.array().cast("array<string>")
 
     def recipients(field: str):

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailweave.functions import trim_blanks
+from mailweave.functions import message_json, parsed_json, trim_blanks
 from mailweave.operators.features import FEATURES
 from mailweave.operators.messages import EDGE_COLUMNS
 
@@ -27,13 +27,26 @@ FEATURE_SCHEMA = (
 # A dump cell holds a whole mail: quoted, with line ends and doubled quotes inside.
 QUOTED = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
-# Addresses may hold quotes, so tab-separated tables are read and written without quoting.
-UNQUOTED = {"sep": "\t", "quote": "", "escape": ""}
+# Addresses may hold quotes, so tab-separated tables are read and written without quoting. An
+# empty field is written as nothing, and not as the two quotes that Spark would put there.
+UNQUOTED = {"sep": "\t", "quote": "", "escape": "", "emptyValue": ""}
 
 # Spark drops blanks at the ends of written values unless told not to.
 KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+def write_messages_json(messages: DataFrame, path: str) -> None:
+    """Mails as lines of JSON, ``file, headers, body``: one object a line, so files can be split."""
+    lines = messages.select(message_json(F.col("file"), F.col("message")).alias("value"))
+    lines.write.mode("overwrite").text(path)
+
+
+def read_messages_json(spark: SparkSession, path: str) -> DataFrame:
+    """``file, headers, body, rest, corrupt`` of every line that is not blank, by `parsed_json`."""
+    lines = spark.read.text(path).where(trim_blanks(F.col("value")) != "")
+    return lines.select(parsed_json(F.col("value")).alias("mail")).select("mail.*")
+
+
 def read_messages(
     spark: SparkSession, path: str | Sequence[str], fmt: str = "csv", partitions: int | None = None
 ) -> DataFrame:
@@ -71,6 +84,17 @@ def write_edges(
         writer.partitionBy(*partition_by).format(fmt).save(path)
 
 
+def edges_table(edges: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Write the edges to the table ``name`` at ``path``, dealt to ``buckets`` by source and sorted
+    within them, and return that table.
+
+    Joins and aggregations by source then start without a shuffle, each time the table is read.
+    """
+    writer = edges.select(*EDGE_COLUMNS).write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, "src").sortBy("src").saveAsTable(name)
+    return edges.sparkSession.table(name)
+
+
 def _edge_lines(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt != "tsv":
         return spark.read.schema(EDGE_SCHEMA).format(fmt).load(path)

@@ -392,8 +392,77 @@ FROM (SELECT skip_reason FROM mail UNION ALL SELECT skip_reason FROM odd) GROUP
     }
 
 
+# ---- traffic, formats and SQL -----------------------------------------------
+
+CHURN = f"""
+pair AS (
+  SELECT src, dst, {QUARTER} AS quarter, year(strptime(ym, '%Y-%m')) * 4
+         + quarter(strptime(ym, '%Y-%m')) AS q, count(*) AS n
+  FROM edge WHERE ym <> 'NA' GROUP BY ALL),
+compared AS (
+  SELECT src, dst, q, sum(now) AS now, sum(earlier) AS earlier FROM (
+    SELECT src, dst, q, n AS now, 0 AS earlier FROM pair
+    UNION ALL SELECT src, dst, q + 1, 0, n FROM pair) GROUP BY ALL)"""
+
+
+def _traffic() -> dict[str, str]:
+    mail = _with(MAIL)
+    edges = mail + "SELECT src, dst, type, ym FROM edge"
+    quarters = ["'1998-Q1'", "'1998-Q2'"]
+    of = [f"SELECT src, dst, type FROM edge WHERE ym <> 'NA' AND {QUARTER} = {q}" for q in quarters]
+    return {
+        "traffic_cube": mail
+        + f"""SELECT CAST(grouping(type, quarter, domain) AS INTEGER) AS level, type, quarter, domain,
+  count(*) AS copies, count(DISTINCT src) AS senders
+FROM (SELECT type, CASE WHEN ym <> 'NA' THEN {QUARTER} END AS quarter,
+             split_part(dst, '@', 2) AS domain, src FROM edge)
+GROUP BY CUBE (type, quarter, domain)""",
+        "calendar_rollup": mail
+        + f"""SELECT CAST(grouping(year, quarter, month) AS INTEGER) AS level, year, quarter, month,
+  count(*) AS copies, count(DISTINCT src) AS senders
+FROM (SELECT substr(ym, 1, 4) AS year, {QUARTER} AS quarter, ym AS month, src
+      FROM edge WHERE ym <> 'NA')
+GROUP BY ROLLUP (year, quarter, month)""",
+        "edge_churn": _with(MAIL, CHURN)
+        + """SELECT ((q - 1) // 4) || '-Q' || ((q - 1) % 4 + 1) AS quarter, sum(now)::BIGINT AS copies,
+  sum(now - least(now, earlier))::BIGINT AS gained,
+  sum(earlier - least(now, earlier))::BIGINT AS lost, sum(least(now, earlier))::BIGINT AS kept
+FROM compared GROUP BY q HAVING sum(now) > 0""",
+        "edge_changes": mail
+        + f"""SELECT *, 'lost' AS change FROM ({of[0]} EXCEPT ALL {of[1]})
+UNION ALL SELECT *, 'gained' FROM ({of[1]} EXCEPT ALL {of[0]})
+UNION ALL SELECT *, 'kept' FROM ({of[0]} INTERSECT ALL {of[1]})""",
+        "header_map": _with(MAIL, FIELDS)
+        + """, named AS (
+  SELECT msg_id AS file, unnest(['Message-ID', 'Date', 'From', 'To', 'Subject', 'Cc', 'X-From']) AS name,
+         unnest(['<' || k || '@en.example.com>', date_text, from_text, to_list, 'order ' || k, cc_list,
+                 '"Sales"']) AS found
+  FROM field)
+SELECT * FROM named WHERE found IS NOT NULL""",
+        "json_edges": edges,
+        "json_corrupt": mail
+        + """SELECT CASE WHEN k % 7 = 0 THEN 'corrupt' WHEN k % 11 = 0 THEN 'unknown field'
+            ELSE 'whole' END AS kind, count(*) AS mails,
+  CAST(sum(CASE WHEN k % 7 <> 0 AND k % 11 = 0 THEN k END) AS BIGINT) AS size
+FROM mail GROUP BY kind""",
+        "edges_orc": edges,
+        "edges_json": edges,
+        "edges_bucketed": mail
+        + """SELECT src, dst, count(*) AS copies, CAST(sum(count(*)) OVER (PARTITION BY src) AS BIGINT) AS sent
+FROM edge GROUP BY src, dst""",
+        "sql_quarter_sizes": mail
+        + f"""SELECT quarter, count(*) AS edges FROM
+  (SELECT DISTINCT {QUARTER} AS quarter, src, dst FROM edge WHERE ym <> 'NA') GROUP BY quarter""",
+        "sql_edge_weights": mail + f"SELECT src, dst, {RAW} AS w FROM edge GROUP BY src, dst",
+        "sql_correspondents": mail
+        + """SELECT email, sum(sent)::BIGINT AS sent, sum(received)::BIGINT AS received FROM (
+  SELECT dst AS email, 1 AS sent, 0 AS received FROM edge WHERE src = 'p7@en.example.com'
+  UNION ALL SELECT src, 0, 1 FROM edge WHERE dst = 'p7@en.example.com') GROUP BY email""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return _mail_graph() | _over_time() | _odd_mails()
+    return _mail_graph() | _over_time() | _odd_mails() | _traffic()
 
 
 def _mail_graph() -> dict[str, str]:
