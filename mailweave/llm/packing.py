@@ -5,8 +5,8 @@ the shorter one. Only the number of pieces of each length, at most ``capacity``
 numbers whatever the input, goes to the driver:
 
 1. Full pieces are sequences by themselves.
-2. Large pieces, in order of length, form groups of equal cardinality, and every
-   length of a group is rounded up to its largest. For these few sizes,
+2. Large pieces, in order of length, form `GROUPS` groups of equal cardinality, and
+   every length of a group is rounded up to its largest. For these few sizes,
    configurations are chosen: the largest size left together with the subset of
    sizes that fills the rest best, used as often as the groups allow.
 3. Actual pieces take the places of the rounded sizes; what rounding had added is
@@ -18,8 +18,8 @@ lie from sequence s on, q to a sequence, at this offset"; it has some thousands
 entries whatever the input. The ranks of pieces of equal length come from counts
 by bucket, so no group is ever in one task.
 
-Defined cases: a null or empty text is the end token alone; repeated rows are
-packed each by itself; null ids are kept; an empty table gives an empty table.
+Defined cases: a null or empty text is the end token alone; the text of a token that
+the tokenizer's file adds is that token; repeated rows are packed each by itself; null ids are kept; an empty table gives an empty table.
 Only the id and text columns are read.
 """
 
@@ -40,6 +40,12 @@ from mailweave.llm import pieces as cuts
 from mailweave.llm.common import shuffle_partitions, slices, written
 
 
+#: Groups of equal cardinality, and so sizes at most.
+GROUPS = 128
+#: Fractions of the capacity up to which a piece may count as small.
+SMALL_PARTS = (2, 3, 4, 6, 8, 12, 16, 32)
+
+
 class Rule(NamedTuple):
     """Pieces of one length, by rank from ``rank`` on: ``each`` per sequence, from
     ``sequence`` on, the first at ``offset``."""
@@ -90,13 +96,14 @@ def _best_fill(sizes: list[int], left: list[int], room: int) -> list[int]:
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int, groups: int = 4096):
+def plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS):
     """Rules for all pieces of a histogram {length: number}, and the number of sequences.
 
     What counts as small is tried at several fractions of the capacity; the plan of
-    fewest sequences is taken.
+    fewest sequences is taken. Up to a half, no two large pieces share a sequence, and
+    what rounding adds is all left to the small ones; below, configurations hold several.
     """
-    plans = (_plan(histogram, capacity, groups, capacity // part) for part in (4, 6, 8, 12, 16, 32))
+    plans = (_plan(histogram, capacity, groups, capacity // part) for part in SMALL_PARTS)
     return min(plans, key=lambda found: found[1])
 
 
@@ -195,7 +202,7 @@ def cut_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = cuts.encoder(content, pattern)
+        own = cuts.encoder(content, pattern, added=True)
         turn = TaskContext.get().partitionId() * 7919
         for part in slices(batches):
             texts = [text or "" for text in part.column(1).to_pylist()]
@@ -243,7 +250,7 @@ def pack(
     pattern: str,
     end_id: int,
     capacity: int = 1024,
-    groups: int = 4096,
+    groups: int = GROUPS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:

@@ -7,6 +7,7 @@ the ids of the cuts it has met.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Sequence
@@ -65,30 +66,43 @@ class _Known(dict):
 
 
 class CutIds:
-    """Encoder of one byte-level tokenizer file; special tokens in a text are ordinary text."""
+    """Encoder of one byte-level tokenizer file. Special tokens in a text are ordinary text, or
+    with ``added`` the tokens that the file adds, as the library has it by default."""
 
-    def __init__(self, content: str, pattern: str):
+    def __init__(self, content: str, pattern: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._cut = cutter(pattern)
         self._ids = _Known(Tokenizer.from_str(content).model).__getitem__
+        tokens = json.loads(content).get("added_tokens", []) if added else []
+        self._added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in tokens}
+        longest = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._parts = re.compile(f"({'|'.join(longest)})").split if longest else None
+
+    def _encoded(self, text: str) -> bytes:
+        return b"".join(map(self._ids, self._cut(text)))
+
+    def _with_added(self, text: str) -> bytes:
+        """What stands between added tokens is cut by itself."""
+        parts = self._parts(text)
+        return b"".join(self._added[x] if i % 2 else self._encoded(x) for i, x in enumerate(parts))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        return [b"".join(map(self._ids, self._cut(text))) for text in texts]
+        return list(map(self._with_added if self._parts else self._encoded, texts))
 
 
 _encoders: dict[int, CutIds] = {}
 
 
-def encoder(content: str, pattern: str) -> CutIds:
+def encoder(content: str, pattern: str, added: bool = False) -> CutIds:
     """The encoder of this worker; it is built once."""
     claim("pieces", _encoders.clear)
-    key = hash((content, pattern))
+    key = hash((content, pattern, added))
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = CutIds(content, pattern)
+        _encoders[key] = CutIds(content, pattern, added)
     return _encoders[key]
 
 

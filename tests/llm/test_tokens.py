@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import public_tokenizers
 from mailweave.llm import bpe_matrix, packing, pieces, separator_scan
+from mailweave.llm.queries import queries
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -179,3 +180,77 @@ def test_write_flat_then_scan(spark, tmp_path):
     assert Counter(r.n_tokens for r in found) == wanted
     separator_scan.write_flat(ids.limit(0), str(tmp_path / "none"), 50256)
     assert separator_scan.count_tokens(spark, str(tmp_path / "none"), 50256).count() == 0
+
+
+# ---- packing as the library and the method have it --------------------------
+
+
+def test_large_lengths_are_rounded_to_few_sizes():
+    """Groups hold equally many pieces, and every size is the largest length of its group."""
+    rng = random.Random(8)
+    counts = Counter(rng.randrange(300, 1024) for _ in range(30_000))
+    lengths = sorted(counts, reverse=True)
+    grouped = packing._groups(lengths, counts, packing.GROUPS)
+    assert len(grouped) <= packing.GROUPS < len(lengths)
+    items = [x for x in lengths for _ in range(counts[x])]
+    assert [g[1] for g in grouped] == [0, *(g[2] for g in grouped[:-1])] and grouped[-1][2] == len(items)
+    share = len(items) / packing.GROUPS
+    for size, first, end in grouped:
+        assert size == items[first] and items[end - 1] <= size
+        assert (end - first) / share == pytest.approx(round((end - first) / share), abs=0.05)
+
+
+def test_configurations_of_several_sizes():
+    """Large pieces alone: they meet in configurations of rounded sizes, and what rounding adds
+    is all that is lost."""
+    rng = random.Random(6)
+    sizes = Counter(rng.choice((512 - rng.randrange(8), 341 - rng.randrange(5))) for _ in range(6000))
+    bound = -(-sum(k * n for k, n in sizes.items()) // 1024)
+    assert _filled(sizes, 1024) <= 1.02 * bound
+    assert packing._plan(sizes, 1024, packing.GROUPS, 64)[1] <= 1.02 * bound
+
+
+def test_what_rounding_costs():
+    """Two thousandths at most where small pieces fill what it adds, four where they are few."""
+    rng = random.Random(4)
+    for spread, most in ((0.6, 1.004), (1.1, 1.002)):
+        sizes = Counter(min(1024, max(1, int(rng.lognormvariate(5.7, spread)))) for _ in range(60_000))
+        bound = -(-sum(k * n for k, n in sizes.items()) // 1024)
+        _, used = packing.plan(sizes, 1024)
+        assert used <= most * bound
+
+
+def test_added_tokens_are_those_of_the_library(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|>  <|endoftext|> x  ", "<|endoftext|", "a  <|endoftext|>\n\n b"]
+    ids = pieces.CutIds(pieces.file_content(TOKENIZER), PATTERN, added=True).encode(texts)
+    expected = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert expected[0] == [64, 50256, 65]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == expected
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in packing.pack(df, TOKENIZER, PATTERN, end_id=2).collect()}
+    for i, own in enumerate(expected):
+        assert found[i].ids_crc32 == zlib.crc32(np.array([*own, 2], "<u4").tobytes())
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    """Every piece of every document, from the library; places without gap or overlap; few sequences."""
+    library = Tokenizer.from_file(TOKENIZER)
+    expected, total = {}, 0
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        ids = np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4")
+        total += len(ids)
+        cut = [0, *range((len(ids) - 1) % 1024 + 1, len(ids) + 1, 1024)]
+        for k, (a, b) in enumerate(zip(cut, cut[1:])):
+            expected[r.doc_id, k] = (a, b - a, zlib.crc32(ids[a:b].tobytes()))
+    found = queries()["op9_linear_grouping"](spark, sf_dir).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in found} == expected
+    assert len(found) == len(expected)
+    places = {}
+    for r in found:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in places.values():
+        own.sort()
+        assert [at for at, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
+        assert sum(n for _, n in own) <= 1024
+    assert len(places) <= 1.01 * -(-total // 1024)
