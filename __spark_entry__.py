@@ -6,7 +6,6 @@ feature and clustering queries start from the rendered raw mails.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -76,10 +75,12 @@ def _parsed_odd(spark, sf_dir, headers_only=False):
 
 def _odd_mails(headers_only: bool) -> Query:
     """Everything parsed from mails with missing, folded, forwarded or unreadable parts."""
-    listed = {c: F.array_join(c, ",") for c in ("to", "cc")}
-    return lambda spark, sf_dir: _parsed_odd(spark, sf_dir, headers_only).withColumns(
-        _clock("sent_at") | listed
-    )
+
+    def query(spark, sf_dir):
+        listed = {c: F.array_join(c, ",") for c in ("to", "cc")}
+        return _parsed_odd(spark, sf_dir, headers_only).withColumns(_clock("sent_at") | listed)
+
+    return query
 
 
 def _skip_reasons_all(spark, sf_dir):
@@ -555,21 +556,23 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _added() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and oracles of the training-data operators, where they are installed."""
-    here = os.path.dirname(os.path.abspath(__file__))
-    if importlib.util.find_spec("mailweave.llm") is None or not os.path.exists(
-        os.path.join(here, "mailweave", "llm", "queries.py")
-    ):
-        return {}, {}
-    from mailweave.llm import queries as added
-
-    functions, texts = dict(added.queries()), dict(added.oracle_sql())
-    if importlib.util.find_spec("corpus_pipeline") is not None:
+    """Queries and oracles of the training-data operators, where they and what they need can be
+    imported; the mail queries do not depend on them."""
+    functions: dict[str, Query] = {}
+    texts: dict[str, str] = {}
+    try:
+        from mailweave.llm import queries as added
+    except ImportError:
+        return functions, texts
+    functions |= added.queries()
+    texts |= added.oracle_sql()
+    try:
         import corpus_pipeline
-
-        functions["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL is not None:
-            texts["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return functions, texts
+    functions["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        texts["pipeline"] = corpus_pipeline.ORACLE_SQL
     return functions, texts
 
 
