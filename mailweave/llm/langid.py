@@ -4,13 +4,17 @@ Each language has a character model of order `ORDER` over lower-case words (runs
 letters) with a mark at either end; contexts do not reach over words, so a word has one
 score. The models are sorted arrays of hashes with their values: discounted probabilities
 per n-gram, and back-off weights per context. A text gets the language of least cross-entropy
-per character. It is rejected where that exceeds what texts of its length in that language
-have, and its score is a softmax over the languages whose sharpness is calibrated; for both, a
-fifth of the sample is kept out of the counts.
-
-The models are fitted on a bounded sample: about ``per_language`` documents per language (the
-documented bound of `fit`), drawn by a hash of the text, so the driver holds the words of that
-many documents at most. Every text is classified whole, by all its words.
+per character. Its score is a softmax over the languages whose sharpness is calibrated, and it
+is rejected where its entropy lies too far above the language's mean; for both, a fifth of the
+sample is kept out of the counts. The limit lies halfway between what the held-out texts have
+and what they have once their letters are shuffled, which are the language's letters and not
+the language; for short texts, whose entropies vary, it is higher.
+
+The models are fitted on a bounded sample: the ``per_language`` texts of each language that come
+first by a hash (the documented bound of `fit`). Texts are counted once however many copies they
+have, so copies neither crowd a sample nor enlarge it, and the driver holds the words of that
+many texts at most, and one row of numbers for each held-out one. Every text is classified
+whole, by all its words.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected;
 languages of equal cross-entropy are taken by name; null languages are not learned from;
@@ -20,7 +24,6 @@ table gives an empty table. Extra columns are not read.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
@@ -29,18 +32,18 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailweave.llm.common import by_slices, claim, slices
+from mailweave.llm.common import by_slices, claim, removed, slices, written
 
 ORDER = 5
 UNKNOWN = "und"
 #: Chance of a character that a language has never shown.
 FLOOR = 2.0**-16
-#: Bits per character above a language's mean that are never rejected. Mixed languages and
-#: odd words stay below; other scripts and random letters lie far above.
-MARGIN = 3.0
+#: Share of held-out texts below, and of shuffled ones above, the quantiles between which the
+#: rejection's limit lies; and how many times as much as they a text may vary.
+HELD, ROOM = 0.995, 2.0
 #: Words a worker remembers the scores of, and the longest of them.
 REMEMBERED, LONGEST = 250_000, 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -138,8 +141,11 @@ class Identifier:
 
     languages: list[str]
     models: list[Model]
+    #: Bits per character of held-out texts: their mean, how far above it the limit lies, and the
+    #: quantile of what they have above it times the root of the characters.
     mean: np.ndarray
-    spread: np.ndarray
+    above: np.ndarray
+    varying: np.ndarray
     sharpness: float = 0.05
 
     def __post_init__(self):
@@ -196,15 +202,18 @@ class Identifier:
         least = bits[np.arange(len(bits)), best]
         gap = (bits - least[:, None]) * (self.sharpness * size)[:, None]
         score = 1 / np.exp2(-np.minimum(gap, 1000)).sum(axis=1)
-        limit = self.mean[best] + np.maximum(MARGIN, 6 * self.spread[best] / np.sqrt(np.maximum(size, 1)))
+        varying = self.varying[best] / np.sqrt(np.maximum(size, 1))
+        limit = self.mean[best] + np.maximum(self.above[best], ROOM * varying)
         return [
             (self.languages[b], float(s), float(h), bool(h > m)) if n else (UNKNOWN, 0.0, 0.0, True)
             for b, s, h, m, n in zip(best, np.round(score, 6), least, limit, size)
         ]
 
-    def calibrate(self, texts: Sequence[str], truth: Sequence[str]) -> None:
-        """Set mean, spread and sharpness from labelled texts that were not counted."""
-        bits, size = self.entropies(texts)
+    def calibrate(
+        self, bits: np.ndarray, shuffled: np.ndarray, size: np.ndarray, truth: Sequence[str]
+    ) -> None:
+        """Set the rejection's figures and the sharpness from `entropies` of labelled texts that
+        were not counted, as they are and shuffled."""
         index = {name: i for i, name in enumerate(self.languages)}
         pairs = [(i, index[name]) for i, name in enumerate(truth) if name in index and size[i]]
         rows, right = np.array(pairs, np.int64).reshape(-1, 2).T
@@ -213,7 +222,11 @@ class Identifier:
             if len(own):
                 h, n = bits[own, i], size[own]
                 self.mean[i] = (h * n).sum() / n.sum()
-                self.spread[i] = math.sqrt(((h - self.mean[i]) ** 2 * n).mean()) + 1e-6
+                more = np.maximum(h - self.mean[i], 0)
+                fewest = np.quantile(shuffled[own, i] - self.mean[i], 1 - HELD)
+                most = np.quantile(more, HELD)
+                self.above[i] = (most + max(most, fewest)) / 2
+                self.varying[i] = np.quantile(more * np.sqrt(n), HELD)
         if len(rows):
             def loss(sharpness: float) -> float:
                 scaled = -bits[rows] * (sharpness * size[rows])[:, None]
@@ -224,29 +237,33 @@ class Identifier:
             self.sharpness = min((2.0**-i for i in range(1, 9)), key=loss)
 
 
+def sample(rows: DataFrame, per_language: int) -> DataFrame:
+    """(lang, text, apart) of the ``per_language`` distinct texts of each language that come first
+    by their hash; a fifth of them is apart."""
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    # a task keeps its own first hashes before the shuffle, so a common language is no large group
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h")
+    first = hashed.select("lang", "h").distinct().withColumn("place", F.row_number().over(order))
+    # per_language rows for each language at most
+    first = first.where(F.col("place") <= per_language).drop("place")
+    chosen = hashed.join(F.broadcast(first), ["lang", "h"])
+    once = chosen.groupBy("lang", "h").agg(F.any_value("text").alias("text"))
+    return once.select("lang", "text", (F.pmod(F.xxhash64("h", F.lit(1)), F.lit(5)) == 0).alias("apart"))
+
+
 def fit(
     df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 1500
 ) -> Identifier:
-    """Fit on about ``per_language`` documents of each language that ``df`` labels.
+    """Fit on at most ``per_language`` distinct texts of each language that ``df`` labels.
 
     The driver receives the distinct words of four fifths of that sample with their
-    counts, and the other fifth's texts.
+    counts, and the entropies of the other fifth.
     """
     rows = df.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {x.lang: x.n for x in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return Identifier([], [], np.zeros(0), np.zeros(0))
-    parts = 1 << 30
-    shares = F.create_map(
-        *(F.lit(x) for k, n in sizes.items() for x in (k, int(parts * min(1.0, per_language / n))))
-    )
-    place = F.pmod(F.xxhash64("text"), F.lit(parts))
-    sample = rows.where(place < shares[F.col("lang")]).select(
-        "lang", "text", (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 0).alias("apart")
-    )
-    counted = sample.where(~F.col("apart")).select("lang", "text").mapInArrow(
+    drawn = written(sample(rows, per_language), "sample")
+    counted = drawn.where(~F.col("apart")).select("lang", "text").mapInArrow(
         _count_words, "lang string, word string, n long"
     )
     words: dict[str, dict[str, int]] = {}
@@ -254,18 +271,50 @@ def fit(
     for lang, word, n in zip(*(column.to_pylist() for column in totals.columns)):
         words.setdefault(lang, {})[word] = n
     languages = sorted(words)
-    found = Identifier(
-        languages,
-        [Model.fit(words[name]) for name in languages],
-        np.full(len(languages), 4.0),
-        np.full(len(languages), 4.0),
-    )
+    figures = (np.full(len(languages), value) for value in (4.0, 4.0, 0.0))
+    found = Identifier(languages, [Model.fit(words[name]) for name in languages], *figures)
     if languages:
-        apart = sample.where("apart").select("text", "lang").toArrow()
-        found.calibrate(*(column.to_pylist() for column in apart.columns))
+        apart = drawn.where("apart").select("text", "lang").mapInArrow(
+            _entropies(df, found), "lang string, bits array<double>, shuffled array<double>, size long"
+        )
+        apart = apart.toArrow()
+        table = lambda name: np.array(apart.column(name).to_pylist(), np.float64).reshape(-1, len(languages))
+        truth = apart.column("lang").to_pylist()
+        found.calibrate(table("bits"), table("shuffled"), apart.column("size").to_numpy(), truth)
+    removed(drawn)
     return found
 
 
+def shuffled_letters(text: str) -> str:
+    """A text's words with all their letters in another order, the same for the same text."""
+    words = words_of(text)
+    letters = np.array(list("".join(words)), "U1")
+    order = np.random.default_rng(len(letters)).permutation(len(letters))
+    mixed, at = "".join(letters[order]), 0
+    out = []
+    for word in words:
+        out.append(mixed[at : at + len(word)])
+        at += len(word)
+    return " ".join(out)
+
+
+def _entropies(df: DataFrame, identifier: Identifier):
+    shared = df.sparkSession.sparkContext.broadcast(identifier)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 0):
+            claim("langid", shared.value.forget)
+            texts = part.column(0).to_pylist()
+            bits, size = shared.value.entropies(texts)
+            shuffled, _ = shared.value.entropies(list(map(shuffled_letters, texts)))
+            tables = [pa.array(x.tolist(), pa.list_(pa.float64())) for x in (bits, shuffled)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(1), *tables, pa.array(size)], names=["lang", "bits", "shuffled", "size"]
+            )
+
+    return run
+
+
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, 1):
         counts: dict[str, Counter] = {}

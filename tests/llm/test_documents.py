@@ -1,6 +1,7 @@
 """PII, line rules, language identification and SimHash against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -196,6 +197,81 @@ def test_language_edge_cases(spark):
     assert langid.identify(df.limit(0), found).count() == 0
 
 
+def _kneser_ney(counts):
+    """Bits of each character of a word, by the definition: dictionaries of strings, no hashes."""
+    top, tables = langid.ORDER, []
+    for k in range(1, top + 1):
+        raw, before = Counter(), {}
+        for word, n in counts.items():
+            marked = f"\x02{word}\x03"
+            for end in range(1, len(marked)):
+                if end >= k - 1:
+                    gram = marked[end - k + 1 : end + 1]
+                    raw[gram] += n
+                    if end >= k:
+                        before.setdefault(gram, set()).add(marked[end - k])
+        count = {g: n if k == top or g[0] == "\x02" else len(before[g]) for g, n in raw.items()}
+        ones, twos = (sum(n == x for n in count.values()) for x in (1, 2))
+        discount = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.9)
+        total, kinds = Counter(), Counter()
+        for gram, n in count.items():
+            total[gram[:-1]] += n
+            kinds[gram[:-1]] += 1
+        tables.append((count, discount, total, kinds))
+
+    def chance(marked, end, k):
+        if k == 0:
+            return langid.FLOOR
+        lower = chance(marked, end, k - 1)
+        if end < k - 1:
+            return lower
+        count, discount, total, kinds = tables[k - 1]
+        context, gram = marked[end - k + 1 : end], marked[end - k + 1 : end + 1]
+        if not total[context]:
+            return lower
+        return (max(count.get(gram, 0) - discount, 0) + discount * kinds[context] * lower) / total[context]
+
+    return lambda word: [-math.log2(chance(f"\x02{word}\x03", end, top)) for end in range(1, len(word) + 2)]
+
+
+def test_models_equal_kneser_ney_by_definition():
+    rng = random.Random(6)
+    counts = Counter("".join(rng.choices("aabcdé", k=rng.randrange(1, 9))) for _ in range(400))
+    counts["abcabcabc"] += 50
+    model, bits = langid.Model.fit(counts), _kneser_ney(counts)
+    for word in [*list(counts)[:100], "zzz", "abzab", "a", "ééééééééé", "bcabcab"]:
+        codes, place = langid._codes([word])
+        assert model.bits(codes, place)[1:] == pytest.approx(bits(word), rel=1e-4)
+
+
+def test_the_sample_is_bounded_and_counts_copies_once(spark):
+    """20,000 copies of one text are one text of it, whether its hash is drawn or not."""
+    copies = [("the one text with so many copies", "en")] * 20_000
+    others = [(f"text number {i} of the others", "en") for i in range(2000)] + [("ein text", "de")] * 50
+    rows = spark.createDataFrame(copies + others, "text string, lang string").repartition(7)
+    for asked, expected in ((1500, 1500), (5000, 2001)):
+        drawn = langid.sample(rows.select("lang", "text"), asked).collect()
+        texts = Counter((r.lang, r.text) for r in drawn)
+        assert Counter(lang for lang, _ in texts) == {"en": expected, "de": 1}
+        assert max(texts.values()) == 1
+        assert 0.1 < sum(r.apart for r in drawn) / len(drawn) < 0.3
+    again = {r.text for r in langid.sample(rows.select("lang", "text").repartition(2), 1500).collect()}
+    assert again == {r.text for r in langid.sample(rows.select("lang", "text"), 1500).collect()}
+
+
+def test_rejection_is_calibrated_on_held_out_texts(spark, sf_dir):
+    """Texts of the learned languages stay; random letters, other languages and scripts go."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = langid.fit(docs)
+    texts = [r.text for r in docs.select("text").collect()]
+    kept = [not rejected for *_, rejected in found.predict(texts)]
+    assert 0.98 <= np.mean(kept) <= 1
+    rng = random.Random(2)
+    alien = ["".join(rng.choices("qwxzjkvbp ", k=400)) for _ in range(20)]
+    alien += ["Бұл мәтін басқа тілде жазылған, оны ешкім үйренген жоқ. " * 5, "この文は別の言語で書かれています。" * 10]
+    assert all(rejected for *_, rejected in found.predict(alien))
+
+
 # ---- fingerprints -----------------------------------------------------------
 
 
