@@ -189,7 +189,7 @@ def _in_two_arrivals(spark, sf_dir, first, delay):
     messages = orders_mail.messages(spark, sf_dir)
     for arrival, mails in enumerate((messages.where(first), messages.where(~first))):
         sources.write_messages(mails, f"{dump}/arrival={arrival}", "csv")
-        count_new_files(spark, f"{dump}/*", folder, delay, files_per_batch=100_000)
+        count_new_files(spark, f"{dump}/*", folder, delay, 100_000, state_store="memory")
     return folder
 
 
