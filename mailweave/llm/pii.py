@@ -1,11 +1,13 @@
 """Personal data by weak supervision, in DataFrame expressions alone.
 
 Base spans (emails, IP addresses, card numbers, phone numbers) come from fixed patterns and
-checks, and always stay. Looser patterns find further candidates: emails spelled with "at" and
-"dot", and national phone numbers. Five labelers vote on every candidate of either sort, for
-(1), against (-1) or not at all (0):
+checks, and always stay. Looser patterns find further candidates of every kind: emails spelled
+with "at" and "dot", addresses of version 6, numbers in the groups of a card that stand in a
+longer run of digits or fail the check, and phone numbers that are national or run into what
+follows them. Five labelers vote on every candidate of either sort, for (1), against (-1) or not
+at all (0):
 
-* format: a stricter pattern;
+* format: a stricter pattern, for looser card numbers the check digit;
 * gazetteer: top-level domains, address blocks, card issuers, country codes;
 * context: words shortly before the candidate;
 * edges: what stands directly before and after it;
@@ -49,12 +51,16 @@ PATTERNS = {
     ("phone", "base"): r"\+[0-9][\x20().0-9-]+[0-9]",
     ("email", "loose"): r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}+ ?(?:\(at\)|\[at\]| at ) ?"
     r"[a-z0-9-]{2,63}+ ?(?:\(dot\)|\[dot\]| dot ) ?[a-z]{2,10}(?![a-z0-9])",
-    ("phone", "loose"): r"(?<![0-9+.-])\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
+    ("ip", "loose"): r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|"
+    r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})(?![0-9A-Za-z:])",
+    ("card", "loose"): r"(?<![0-9])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}(?![0-9])",
+    ("phone", "loose"): r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9+.-]))\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])",
 }
 _NEEDS = {
     ("email", "base"): lambda t: t.contains("@"),
     ("email", "loose"): lambda t: t.contains("dot") | t.contains("DOT") | t.contains("Dot"),
     ("phone", "base"): lambda t: t.contains("+"),
+    ("ip", "loose"): lambda t: t.contains(":"),
 }
 _CONTEXT = {
     "email": "mail|contact|write|reach|address|e-post|correo|courriel",
@@ -137,23 +143,30 @@ def _votes(kind: str, sort: str, m: Column, before: Column, after: Column) -> li
         form = _vote((strict, 1), (F.lit(True), -1))
         listed = _vote((plain.rlike(rf"(?i)\.(?:{_TOP_LEVEL})$"), 1))
         shape = _vote((F.length(m).between(6, 64), 1), (F.lit(True), -1))
+    elif kind == "ip" and loose:
+        groups = F.size(F.split(m, ":"))
+        form = _vote((groups > 8, -1), (m.contains("::") | (groups == 8), 1), (F.lit(True), -1))
+        listed = _vote((m.rlike("^(?i:[23][0-9a-f]{3}|f[cde][0-9a-f]{2}):"), 1), (F.lit(True), -1))
+        shape = _vote((m.rlike("[A-Fa-f]") & (groups >= 4), 1), (groups < 4, -1))
     elif kind == "ip":
         form = _vote((m.rlike(r"(^|\.)0[0-9]"), -1), (F.lit(True), 1))
         listed = _vote((m.rlike(r"^0*(0|2[4-9]\d)\."), -1), (m.rlike(r"^(10|127|192\.168)\."), 0), (F.lit(True), 1))
         shape = _vote((m.rlike(r"[1-9][0-9]"), 1), (F.lit(True), -1))
     elif kind == "card":
         form = _vote((m.rlike(r"^[0-9]{15,16}$|^([0-9]{4}[ -]){3}[0-9]{4}$"), 1))
+        if loose:
+            form = _vote((F.call_function("luhn_check", digits), 1), (F.lit(True), -1))
         listed = _vote((digits.rlike("^(4|5[1-5]|2[2-7]|3[47]|6011|65)"), 1), (F.lit(True), -1))
         shape = _vote((kinds_of_digit >= 4, 1), (F.lit(True), -1))
     else:
         form = _vote((m.rlike(r"^\+[1-9][0-9]{0,2}[ (.-]|^\("), 1))
-        listed = _vote((m.rlike(rf"^\+(?:{_COUNTRY})"), 1), (F.lit(not loose), -1))
+        listed = _vote((m.rlike(rf"^\+(?:{_COUNTRY})"), 1), (m.rlike(r"^\(?[01]|^\+") | F.lit(not loose), -1))
         shape = _vote((kinds_of_digit >= 3, 1), (F.lit(True), -1))
     context = _vote(
         (before.rlike(f"(?i){_AGAINST[kind]}"), -1),
         (before.rlike(f"(?i){_CONTEXT[kind]}"), 1),
-        # a loose match without a word for it speaks against itself
-        (F.lit(loose), -1),
+        # a loose match without a word for it speaks against itself, if it is spelled out or national
+        (~m.rlike(r"^\+|^[0-9A-Fa-f:]+$") & F.lit(loose), -1),
     )
     edges = _vote((before.rlike("[A-Za-z0-9@]$") | after.rlike("^[A-Za-z0-9@]|^[.][0-9]"), -1), (F.lit(True), 1))
     return [form, listed, context, edges, shape]

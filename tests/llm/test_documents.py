@@ -197,6 +197,71 @@ def test_language_edge_cases(spark):
     assert langid.identify(df.limit(0), found).count() == 0
 
 
+def _luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (1 + i % 2)
+        total += n - 9 * (n > 9)
+    return total % 10 == 0
+
+
+def test_classifier_adds_what_base_patterns_miss_and_refuses_decoys(spark):
+    """Cards side by side and phones that run into an address are no base spans; with enough plain
+    ones and decoys to learn from, the real ones are added and the decoys are not."""
+    rng = random.Random(3)
+
+    def card(real, first="4"):
+        while True:
+            digits = first + "".join(rng.choices("0123456789", k=15))
+            if _luhn(digits) == real:
+                return digits
+
+    phone = lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+    ip = lambda: ".".join(str(rng.randrange(11, 220)) for _ in range(4))
+    rows, real, decoys = [], {}, {}
+    for i in range(400):
+        form, filler = i % 8, " ".join(rng.choices(["lorem", "ipsum", "dolor", "sit"], k=6))
+        if form == 0:
+            text = f"{filler} {card(True)} {filler}"
+        elif form == 1:
+            text = f"{filler} {phone()} {filler}"
+        elif form == 2:
+            decoys[i] = card(False, rng.choice("178"))
+            text = f"{filler} {decoys[i]} {filler}"
+        elif form == 3 and i % 5 == 3:
+            one, two = card(True), card(True)
+            real[i], text = [one, two], f"{filler} {one} {two} {filler}"
+        elif form == 4 and i % 5 == 4:
+            real[i] = [phone()]
+            text = f"{filler} {real[i][0]} {ip()} {filler}"
+        elif form == 5:
+            text = f"{filler} {ip()} {filler}"
+        else:
+            text = filler
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = pii.with_candidates(df).cache()
+    spans = pii.accepted(pii.classify(pii.cell_counts(found)))
+    added = F.transform(F.array_except(spans, "base"), lambda x: F.substring("text", (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int")))
+    got = {r.doc_id: r.added for r in found.select("doc_id", added.alias("added")).collect() if r.added}
+    assert len(real) >= 10 and got == real
+    assert not set(got) & set(decoys)
+
+
+def test_loose_candidates_of_every_kind(spark):
+    texts = {
+        "email": "write to joe at corp dot org", "ip": "host 2001:db8:85a3:0:0:8a2e:370:7334 or fe80::1:2ff now 12:30:45",
+        "card": "1234567890123456 9999-8888-7777-6666", "phone": "call 555-123 or (415) 555-2671, 212.555.0100.",
+    }
+    df = spark.createDataFrame(list(texts.items()), "kind string, text string")
+    rows = pii.with_candidates(df).collect()
+    loose = {r.kind: [r.text[x.start : x.end] for x in r.loose if x.kind == r.kind] for r in rows}
+    assert loose == {
+        "email": ["joe at corp dot org"], "ip": ["2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1:2ff"],
+        "card": ["1234567890123456", "9999-8888-7777-6666"], "phone": ["(415) 555-2671", "212.555.0100"],
+    }
+
+
 def _kneser_ney(counts):
     """Bits of each character of a word, by the definition: dictionaries of strings, no hashes."""
     top, tables = langid.ORDER, []
