@@ -11,16 +11,16 @@ similarity. A process ends once it is past the last slot of its text, so most wi
 one or two points.
 
 Candidates. Texts of equal words are one node from here on. Nodes meet in the buckets of 16
-bands of 4 slots. A bucket of up to `SMALL` nodes pairs them all. In a larger one every node is
-paired with `LEADERS` leaders alone, the nodes that have most company over all their bands and
-then the fewest windows, which in a family of copies are the text they were made from and those
-closest to it. So pairs grow with the nodes and not with their square. Copies that resemble each
-other more than the leader also meet in the slots in which they differ from the leader but not
-from each other, since what links them without linking either to the leader is what both have
-changed. What the leaders leave apart is compared in full: of every large bucket, the nodes
-outside its largest class with all its nodes of other classes, by signatures and then by texts,
-in pairs of blocks. So every pair of a bucket is either compared or already of one class, and
-the pairs grow with the nodes that are left apart and not with the bucket's square.
+bands of 4 slots, and every node is paired with one leader of its bucket: in a large bucket the
+node that has most company over all its bands and then the fewest windows, which in a family of
+copies is the text they were made from or close to it. So pairs grow with the nodes and not with
+their square. Copies that resemble each other more than the leader also meet in the slots in
+which they differ from the leader but not from each other, since what links them without linking
+either to the leader is what both have changed. What the leaders leave apart is compared in full:
+of every bucket of three or more, the nodes outside its largest class with all its nodes of other
+classes, by signatures and then by texts, in pairs of blocks. So every pair of a bucket is either
+compared or already of one class, and the pairs grow with the nodes that are left apart and not
+with the bucket's square.
 
 Candidates whose signatures agree too little for the threshold are dropped (`SLACK` standard
 deviations), the others are verified on the whole texts. Classes are the connected
@@ -39,7 +39,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,14 +48,13 @@ from mailweave.llm.components import components
 
 SLOTS, ROWS = 64, 4
 BANDS = SLOTS // ROWS
-#: Nodes of a bucket that are paired with one another.
-SMALL = 40
-#: Leaders of a larger bucket.
-LEADERS = 4
+#: Nodes of a bucket from which on the leader is chosen by its company, and differences are shared.
+LARGE = 41
 #: Nodes, and bytes of text, of a block of a large bucket whose classes are compared.
 BLOCK, BLOCK_BYTES = 512, 1 << 19
-#: Standard deviations below the threshold at which the slots' estimate drops a pair.
-SLACK = 4.0
+#: Standard deviations below the threshold at which the slots' estimate drops a pair: of pairs at
+#: the threshold one in 50 million.
+SLACK = 6.0
 REMEMBERED = 150_000
 #: Bytes of text whose points are drawn at once; drawing takes about 60 times as many.
 SIGNED_BYTES = 1 << 20
@@ -206,36 +205,28 @@ def _keyed_texts(bits: bytes):
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members of buckets of two nodes or more, with the bucket's size n."""
-    sizes = members.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-    return written(members.join(written(sizes, "buckets"), "value"), "members")
-
-
-def _all_pairs(members: DataFrame) -> DataFrame:
-    small = members.where(F.col("n") <= SMALL).select("value", "key")
-    other = small.select("value", F.col("key").alias("b"))
-    return small.withColumnRenamed("key", "a").join(other, "value").where("a < b").select("a", "b")
-
-
-def _led(members: DataFrame, company: DataFrame, leaders: int = 1) -> DataFrame:
-    """(leader, key, first: whether the leader is the first of a bucket) of the large buckets."""
-    large = written(members.where(F.col("n") > SMALL).select("value", "key").join(company, "key"), "large")
-    # a task keeps its own first ranks before the shuffle, so a large bucket is no large group
-    first = Window.partitionBy("value").orderBy(F.desc("company"), "windows", "key")
-    ranked = large.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= leaders)
-    ranked = written(ranked.select("value", F.col("key").alias("leader"), "rank"), "leaders")
-    led = large.select("value", "key").join(ranked, "value").where("leader <> key")
-    return led.groupBy("leader", "key").agg((F.min("rank") == 1).alias("first"))
+    """Members of buckets of two nodes or more, with the bucket's size n and a leader by hash."""
+    sizes = members.groupBy("value").agg(
+        F.count("*").alias("n"), F.min_by("key", F.xxhash64("key")).alias("leader")
+    )
+    return written(members.join(written(sizes.where("n > 1"), "buckets"), "value"), "members")
 
 
-def _ordered(led: DataFrame) -> DataFrame:
-    return led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b"))
+def _led(members: DataFrame) -> DataFrame:
+    """Distinct (a, b) of every node with its buckets' leaders, the smaller key first."""
+    led = members.where("leader <> key")
+    return led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")).distinct()
 
 
-def _by_chance(members: DataFrame) -> DataFrame:
-    """Leaders by hash instead of company, where buckets should differ in their leaders."""
-    found = members.select("key").distinct().withColumn("company", F.xxhash64("key"))
-    return written(found.withColumn("windows", F.lit(0)), "company")
+def _by_company(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``members`` in which the nodes with most company lead the large buckets."""
+    company = members.groupBy("key").agg(F.sum("n").alias("company"))
+    company = written(company.join(nodes.select("key", "windows"), "key"), "company")
+    large = written(members.where(F.col("n") >= LARGE).drop("leader").join(company, "key"), "large")
+    first = F.min(F.struct((-F.col("company")).alias("company"), "windows", "key"))
+    leaders = large.groupBy("value").agg(first.alias("first")).select("value", F.col("first.key").alias("leader"))
+    led = large.drop("company", "windows").join(written(leaders, "leaders"), "value")
+    return written(members.where(F.col("n") < LARGE).unionByName(led), "members")
 
 
 def _differences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,24 +248,25 @@ def _differences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a < b) of keys that meet in a bucket, from nodes (key, signature, windows),
-    and the members (value, key, band, n) of the buckets, of which the large ones are not paired
-    in full."""
+    and the members (value, band, key, n, leader) of the buckets, which are paired with the leader
+    alone."""
     bands = F.array(
         *(F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * ROWS * i, 4 * ROWS)) for i in range(BANDS))
     )
     members = _sized(nodes.select("key", F.posexplode(bands).alias("band", "value")))
-    company = members.groupBy("key").agg(F.sum("n").alias("company"))
-    company = written(company.join(nodes.select("key", "windows"), "key"), "company")
-    led = written(_led(members, company, LEADERS), "led")
-    pairs = [written(_all_pairs(members).union(_ordered(led)).distinct(), "pairs")]
-
-    pointed = led.where("first").select(F.col("leader").alias("a"), F.col("key").alias("b"))
-    unlike = _with_both(pointed, nodes, "signature").mapInArrow(_differences, "value long, key string")
+    members = _by_company(members, nodes)
+    pairs = _led(members)
+    pointed = members.where((F.col("n") >= LARGE) & (F.col("leader") != F.col("key")))
+    pointed = pointed.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+    unlike = _with_both(written(pointed, "pointed"), nodes, "signature")
+    unlike = unlike.mapInArrow(_differences, "value long, key string")
     sharing = _sized(written(unlike.distinct(), "differences"))
-    found = _all_pairs(sharing).union(_ordered(_led(sharing, _by_chance(sharing))))
-    pairs.append(written(found.distinct(), "pairs"))
+    return written(pairs.union(_led(sharing)).distinct(), "candidates"), members
 
-    return written(pairs[0].union(pairs[1]).distinct(), "candidates"), members
+
+def _of_like_size(one: str, other: str, threshold: float) -> Column:
+    """Whether two numbers of windows allow the threshold: the smaller bag is at most in the larger."""
+    return F.least(one, other) >= threshold * F.greatest(one, other) - 1e-9
 
 
 def _alike(least: float):
@@ -318,20 +310,21 @@ def _verified(window: int, threshold: float):
     return run
 
 
-def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """Pairs with a column of both nodes; the leader side, which may be hot, comes first."""
-    a = table.select(F.col("key").alias("a"), F.col(column).alias("of_a"))
-    b = table.select(F.col("key").alias("b"), F.col(column).alias("of_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "of_a", "of_b")
+def _with_both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with columns of both nodes; the leader side, which may be hot, comes first."""
+    a = table.select(F.col("key").alias("a"), *(F.col(c).alias(f"{c}_a") for c in columns))
+    b = table.select(F.col("key").alias("b"), *(F.col(c).alias(f"{c}_b") for c in columns))
+    sides = [f"{c}_{side}" for c in columns for side in "ab"]
+    return pairs.join(a, "a").join(b, "b").select("a", "b", *sides)
 
 
 # ---- what leaders leave apart -----------------------------------------------
 
 
 def _mixed_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(value, band, key, label, outside) of the large buckets with nodes of several classes;
-    outside is false for those of the bucket's largest class."""
-    large = members.where(F.col("n") > SMALL).select("value", "band", "key")
+    """(value, band, key, leads, label, outside) of the buckets of three or more with nodes of
+    several classes; outside is false for those of the bucket's largest class."""
+    large = members.where("n > 2").select("value", "band", "key", (F.col("key") == F.col("leader")).alias("leads"))
     large = written(large.join(labels, "key"), "labelled")
     classes = large.groupBy("value", "label").agg(F.count("*").alias("n"))
     mixed = classes.groupBy("value").agg(
@@ -360,9 +353,10 @@ def _block_pairs(members: DataFrame, size, limit: int) -> DataFrame:
     return pairs.select("band", "first", "second")
 
 
-def _open_pairs(band: int, first: dict, second: dict, least: float) -> list[tuple[int, int]]:
+def _open_pairs(band: int, first: dict, second: dict, threshold: float, least: float) -> list[tuple[int, int]]:
     """Places of nodes of different classes that are alike enough, most alike first; pairs that
-    meet in an earlier band too, and the second of a pair's two orders, are left out."""
+    meet in an earlier band too or with the bucket's leader, which have been compared, and the
+    second of a pair's two orders, are left out."""
     a, b = (np.frombuffer(b"".join(x["signature"]), np.uint32).reshape(-1, SLOTS) for x in (first, second))
     agree = np.zeros((len(a), len(b)), np.uint8)
     earlier = np.zeros((len(a), len(b)), bool)
@@ -378,6 +372,9 @@ def _open_pairs(band: int, first: dict, second: dict, least: float) -> list[tupl
     labels, others = np.array(first["label"], object), np.array(second["label"], object)
     keys, names = np.array(first["key"], object), np.array(second["key"], object)
     found = here & ~earlier & (agree >= least * SLOTS)
+    sizes, others_sizes = (np.array(x["windows"], np.float64) for x in (first, second))
+    found &= np.minimum.outer(sizes, others_sizes) >= threshold * np.maximum.outer(sizes, others_sizes) - 1e-9
+    found &= ~np.logical_or.outer(np.array(first["leads"], bool), np.array(second["leads"], bool))
     i, j = np.nonzero(found)
     once = ~np.array(second["outside"], bool)[j] | (keys[i] < names[j]).astype(bool)
     kept = once & (labels[i] != others[j]).astype(bool)
@@ -396,12 +393,12 @@ def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, dict,
             yield part.column(0)[k].as_py(), first, second
 
 
-def _open_keys(least: float):
+def _open_keys(threshold: float, least: float):
     """The keys of nodes that have an open pair in their blocks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for band, first, second in _block_rows(batches):
-            pairs = _open_pairs(band, first, second, least)
+            pairs = _open_pairs(band, first, second, threshold, least)
             keys = {first["key"][i] for i, _ in pairs} | {second["key"][j] for _, j in pairs}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(keys), pa.string())], names=["key"])
 
@@ -413,7 +410,7 @@ def _open_links(window: int, threshold: float, least: float):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for band, first, second in _block_rows(batches):
-            pairs = _open_pairs(band, first, second, least)
+            pairs = _open_pairs(band, first, second, threshold, least)
             places = ({i for i, _ in pairs}, {j for _, j in pairs})
             texts = dict.fromkeys(x["text"][i] for x, at in zip((first, second), places) for i in at)
             bag = dict(zip(texts, _bags_of(texts, window)))
@@ -437,20 +434,17 @@ def _open_links(window: int, threshold: float, least: float):
 def _rejoined(
     rows: DataFrame, nodes: DataFrame, members: DataFrame, labels: DataFrame, window: int, threshold: float, least: float
 ) -> DataFrame:
-    """``labels`` (key, label) with those classes as one that a pair of a large bucket links."""
+    """``labels`` (key, label) with those classes as one that a pair of a bucket links."""
+    kept = ["value", "band", "key", "leads", "label", "outside", "signature", "windows"]
     apart = _mixed_members(members, labels)
-    apart = apart.join(nodes.select("key", "signature"), "key").select(
-        "value", "band", "key", "label", "outside", "signature"
-    )
+    apart = apart.join(nodes.select("key", "signature", "windows"), "key").select(*kept)
     blocks = _block_pairs(apart, F.lit(1), BLOCK)
-    needed = written(blocks.mapInArrow(_open_keys(least), "key string").distinct(), "needed")
+    needed = written(blocks.mapInArrow(_open_keys(threshold, least), "key string").distinct(), "needed")
     if not needed.limit(1).count():
         return labels
     texts = _texts(rows, needed)
     apart = _mixed_members(members.join(needed, "key", "left_semi"), labels)
-    apart = apart.join(nodes.select("key", "signature"), "key").join(texts, "key").select(
-        "value", "band", "key", "label", "outside", "signature", "text"
-    )
+    apart = apart.join(nodes.select("key", "signature", "windows"), "key").join(texts, "key").select(*kept, "text")
     blocks = _block_pairs(apart, F.length("text"), BLOCK_BYTES)
     links = written(blocks.mapInArrow(_open_links(window, threshold, least), "a string, b string"), "rejoining")
     joined = components(links).select(F.col("node").alias("label"), F.col("label").alias("joined"))
@@ -492,8 +486,8 @@ def near_duplicates(
     )
     pairs, members = candidates(nodes)
     least = threshold - SLACK * (threshold * (1 - threshold) / SLOTS) ** 0.5
-    alike = _with_both(pairs, nodes, "signature").mapInArrow(_alike(least), "a string, b string")
-    alike = written(alike, "alike")
+    alike = _with_both(pairs, nodes, "signature", "windows").where(_of_like_size("windows_a", "windows_b", threshold))
+    alike = written(alike.select("a", "b", "signature_a", "signature_b").mapInArrow(_alike(least), "a string, b string"), "alike")
     needed = written(
         alike.select(F.col("a").alias("key")).union(alike.select("b")).distinct(), "needed"
     )

@@ -104,8 +104,52 @@ def test_large_family_is_one_class(spark):
     rows = list(enumerate(_copies(rng, 1, 300, 5) + _copies(rng, 30, 1, 1)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     found = {r.id: r.class_id for r in bagminhash.near_duplicates(df).collect()}
-    exact = _classes(rows)
-    assert sum(found[i] != c for i, c in exact.items()) <= 1
+    assert found == _classes(rows)
+
+
+def _classes_of_many(texts):
+    """Exact classes by all pairs, with one product of matrices: a window's k-th occurrence is a
+    feature, and two texts have as many windows in common as features."""
+    features = [{(w, k) for w, n in _bag(t.split()).items() for k in range(n)} for t in texts]
+    times = Counter(f for own in features for f in own)
+    place = {f: i for i, f in enumerate(f for f, n in times.items() if n > 1)}
+    x = np.zeros((len(texts), len(place)), np.float32)
+    for i, own in enumerate(features):
+        x[i, [place[f] for f in own if f in place]] = 1
+    sizes = np.array([len(own) for own in features])
+    common = np.rint(x @ x.T)
+    near = common >= 0.8 * (sizes[:, None] + sizes[None, :] - common) - 1e-9
+    np.fill_diagonal(near, True)
+    label = np.arange(len(texts))
+    while True:
+        least = np.where(near, label[None, :], len(texts)).min(axis=1)
+        least = np.minimum(least, least[least])
+        if (least == label).all():
+            return dict(enumerate(label.tolist()))
+        label = least
+
+
+def test_classes_of_2600_copies_equal_brute_force(spark):
+    """One family, many of whose members are apart from its centre and linked to each other."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    versions = [base]
+    for _ in range(40):
+        words = list(rng.choice(versions))
+        for _ in range(3):
+            words[rng.randrange(150)] = f"v{rng.randrange(10**6)}"
+        versions.append(words)
+    texts = []
+    for _ in range(2600):
+        words = list(rng.choice(versions))
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    exact = _classes_of_many(texts)
+    assert 5 < len(set(exact.values())) < 1500
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    found = {r.id: r.class_id for r in bagminhash.near_duplicates(df).collect()}
+    assert sum(found[i] != c for i, c in exact.items()) == 0
 
 
 def test_large_family_whose_shared_edits_are_common_equals_brute_force(spark):
