@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir), works on all documents that its predecessor kept,
 and returns them with its decisions applied; the result is written as Parquet and reread as
 the next one's docs. The last one returns the pieces of the packed sequences.
+
+Defined cases of all stages: an empty table gives an empty table; columns beyond those of
+`documents`, and missing `lang` or `n_chars`, are kept as they are; null and repeated ids are rows
+of their own. What a stage does with null, empty and very long texts, ties and repeated rows
+stands at the stage.
 """
 
 from __future__ import annotations
@@ -17,27 +22,44 @@ from mailweave.llm.common import ship, written
 
 def _columns(docs: DataFrame, text: Column, row: str | None = None) -> list[Column]:
     """The columns of ``docs`` with another text, and its length where there is a column for it."""
-    own = {"text": text, "n_chars": F.length(text).cast("long")}
+    return _with(docs, {"text": text, "n_chars": F.length(text).cast("long")}, row)
+
+
+def _with(docs: DataFrame, own: dict[str, Column], row: str | None = None) -> list[Column]:
     return [own.get(c, F.col(row)[c] if row else F.col(c)).alias(c) for c in docs.columns]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those that the models reject go."""
+    """Documents whose language is recognised, with that language as their `lang`; those that the
+    models reject go.
+
+    Null and empty texts and those without a letter are rejected. A text of any length is judged
+    whole; of languages that fit equally the first by name is taken; repeated rows all stay or go.
+    """
     ship(spark)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = langid.identify(rows, langid.fit(docs), keep=["row"])
-    return found.where(~F.col("rejected")).select("row.*")
+    kept = found.where(~F.col("rejected"))
+    return kept.select(*_with(docs, {"lang": F.col("lang_pred")}, "row"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one of least id."""
+    """One document of each class of near duplicates, the one of least id.
+
+    Texts without a word are no duplicates and all stay; of repeated rows one stays; of equal ids
+    in a class the text of least key. Texts of any length are compared whole.
+    """
     ship(spark)
     return bagminhash.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 200 bytes or more that occur elsewhere as well; bytes
-    of a character that was cut in two go with it."""
+    of a character that was cut in two go with it.
+
+    Null texts stay null, and shorter texts stay as they are; repeated rows and ties lose what
+    they share in every place. A long text is compared in pieces that overlap, so nothing is cut.
+    """
     ship(spark)
     found = suffix_family.without_repeats(docs, length=200, keep=docs.columns)
     rest = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\\uFFFD", "")
@@ -46,14 +68,22 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with emails, addresses, card and phone numbers replaced by marks."""
+    """Documents with emails, addresses, card and phone numbers replaced by marks.
+
+    Null and empty texts stay as they are; spans that overlap become one mark; a text of any
+    length is searched whole; repeated rows are treated alike.
+    """
     ship(spark)
     clean = pii.redact(docs)
     return clean.select(*_columns(clean, F.col("text")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in sequences of 1024 tokens: one row per piece."""
+    """The documents in sequences of 1024 tokens: one row per piece.
+
+    A null or empty text is the end token alone; a long text is cut into full pieces, of which
+    the first may be shorter; repeated rows and pieces of equal length are packed each by itself.
+    """
     ship(spark)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(docs, tokenizer, public_tokenizers.PATTERN, end_id=2, capacity=1024)
