@@ -1,6 +1,7 @@
 """The registered queries and the pipeline on the smallest tables."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -63,11 +64,33 @@ def test_pipeline_stages(spark, sf_dir):
     assert not {9001, 9002, 9003} & set(kept)
     assert kept[9004].text == "Mail <EMAIL> today, the thing of it."
     assert all(r.n_chars == len(r.text) and r.key == "own" for r in kept.values())
+    assert kept[9004].lang == "en" and {r.lang for r in kept.values()} == {"de", "en", "es", "fr"}
     assert sizes[0] == 201 and sizes[1] == sizes[2] == sizes[3] < 201
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     assert {r.doc_id for r in last} == set(kept)
 
 
+def test_pipeline_with_repeated_rows_and_a_long_text(spark, sf_dir):
+    """Repeated rows and ids, a text of 400,000 characters, no column for its length."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    fitted = docs.select("doc_id", "text", "lang")
+    rng = random.Random(5)
+    long = " ".join(rng.choice(["the", "and", "of", "in", "thing", "then", "on"]) + rng.choice(["", ",", ".", "s"]) for _ in range(90_000))
+    odd = [(7001, long, None), (7001, long, None), (7002, "Same text of the thing, and the other.", None)]
+    odd += [(7002, "Same text of the thing, and the other.", None), (None, "The thing of and the other, of the same.", None)]
+    rows = fitted.union(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, sf_dir)
+        assert out.columns == rows.columns
+        rows = corpus_pipeline.written(out, name)
+        if name == "language_id":
+            assert Counter(r.doc_id for r in rows.where("doc_id > 7000 OR doc_id IS NULL").collect()) == {7001: 2, 7002: 2, None: 1}
+    kept = Counter(r.doc_id for r in rows.where("doc_id > 7000 OR doc_id IS NULL").collect())
+    assert kept == {7001: 1, 7002: 1, None: 1}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, rows, sf_dir).where("doc_id = 7001")
+    assert pieces.agg(F.sum("length")).head()[0] > 10_000
+
+
 def test_pipeline_on_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
