@@ -82,26 +82,34 @@ def _total(part: Column) -> Column:
     return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a name for ``value``, which is computed once: the optimiser may put the
+    definition of a column in place of its name, inside a lambda too, but not that of a
+    lambda's variable."""
+    return F.transform(F.array(value), body)[0]
+
+
 def with_running(df: DataFrame, steps: str, out: str) -> DataFrame:
-    """Adds running sums of an array column, in blocks of about the root of its length.
+    """Adds running sums of an array column, in blocks of about the root of its length."""
 
-    The sums of blocks are columns of their own: inside a lambda they would be computed
-    again for every element.
-    """
-    names = [f"{out}_block", f"{out}_sums", f"{out}_before"]
-    block, sums, before = map(F.col, names)
-    root = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(steps)))).cast("int")
-    df = df.withColumn(names[0], root)
-    blocks = F.sequence(F.lit(0), ((F.size(steps) - 1) / block).cast("int"))
-    of_block = F.transform(blocks, lambda k: _total(F.slice(steps, k * block + 1, block)))
-    df = df.withColumn(names[1], F.when(F.size(steps) > 0, of_block))
-    df = df.withColumn(names[2], F.transform(sums, lambda _, k: _total(F.slice(sums, 1, k))))
-    sum_at = F.transform(
-        F.col(steps),
-        lambda _, i: before[(i / block).cast("int")]
-        + _total(F.slice(steps, i - i % block + 1, i % block + 1)),
-    )
-    return df.withColumn(out, F.when(F.size(steps) > 0, sum_at)).drop(*names)
+    def whole(own: Column, block: Column) -> Column:
+        blocks = F.sequence(F.lit(0), ((F.size(own) - 1) / block).cast("int"))
+        sums = F.transform(blocks, lambda k: _total(F.slice(own, k * block + 1, block)))
+        return _bound(sums, lambda s: _bound(before(s), lambda b: sum_at(own, block, b)))
+
+    def before(sums: Column) -> Column:
+        return F.transform(sums, lambda _, k: _total(F.slice(sums, 1, k)))
+
+    def sum_at(own: Column, block: Column, before: Column) -> Column:
+        return F.transform(
+            own,
+            lambda _, i: before[(i / block).cast("int")]
+            + _total(F.slice(own, i - i % block + 1, i % block + 1)),
+        )
+
+    root = lambda own: F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(own)))).cast("int")
+    running = _bound(F.col(steps), lambda own: _bound(root(own), lambda block: whole(own, block)))
+    return df.withColumn(out, F.when(F.size(steps) > 0, running))
 
 
 def _digits(text: Column) -> Column:

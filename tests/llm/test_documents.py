@@ -22,6 +22,14 @@ BASE = {
 }
 
 
+def test_a_long_text_full_of_numbers(spark, tmp_path):
+    """Tens of thousands of matches in one text: sums up to each are computed once."""
+    text = " ".join(f"the {i} and of {i * i % 7919} in" for i in range(12_000)) + " at 10.1.2.3 or +1 415 555 2671."
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    row = pii.with_candidates(spark.read.parquet(str(tmp_path / "t"))).head()
+    assert [(x.kind, text[x.start : x.end]) for x in row.base] == [("ip", "10.1.2.3"), ("phone", "+1 415 555 2671")]
+
+
 def _luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
