@@ -15,8 +15,9 @@ Layout, chosen so that the edges are shuffled once and not per iteration:
 * contributions are summed per task before they are shuffled on the target, so
   a target with very many sources costs one row per task;
 * the nodes are cached in the partitioning in which the sums arrive;
-* the ranks are checkpointed after every iteration: the plan stays short, and a
-  lost executor costs its cached blocks and at most one iteration.
+* the ranks are cached after every iteration and checkpointed after some: the plan
+  stays short, and a lost executor costs its cached blocks and at most the
+  iterations since the last checkpoint.
 """
 
 from __future__ import annotations
@@ -178,16 +179,26 @@ def pagerank(
     damping: float = 0.85,
     iterations: int = 10,
     part_edges: int | None = None,
+    checkpoint_every: int = 5,
 ) -> DataFrame:
     """Rank the nodes of ``graph(by…, src, dst[, weight])``: ``(by…, id, rank)``.
 
     A fixed number of iterations from ``1 / n``; the rank of nodes that send to
-    nobody is spread over their slice, so the ranks of a slice sum to 1.
+    nobody is spread over their slice, so the ranks of a slice sum to 1. Lineage is cut
+    after every ``checkpoint_every`` iterations and after the last.
     """
     state = start_ranks(graph, weight, by, part_edges)
-    for _ in range(iterations):
-        state = pagerank_step(state, damping)
-        state = state._replace(ranks=state.ranks.checkpoint())
+    cached: list[DataFrame] = []
+    for done in range(1, iterations + 1):
+        ranks = pagerank_step(state, damping).ranks
+        if done % checkpoint_every == 0 or done == iterations:
+            ranks = ranks.checkpoint()
+            while cached:
+                cached.pop().unpersist()
+        else:
+            ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(ranks)
+        state = state._replace(ranks=ranks)
     if iterations:
         state.release()
     return rank_vector(state)

@@ -189,3 +189,15 @@ def test_mass(spark):
 def test_no_iterations_gives_the_start_vector(spark):
     ranks = pagerank(golden_edges(spark), by=["quarter"], iterations=0)
     assert as_dict(ranks)["2002-Q4", "a"] == 0.25
+
+
+@pytest.mark.parametrize("every", [1, 2, 5, 100])
+def test_lineage_is_cut_whatever_the_checkpoints(spark, every):
+    """The result is a checkpoint, equal for any distance, and nothing stays cached."""
+    graph = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("d", "a")], "src string, dst string")
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    ranks = pagerank(graph, iterations=7, checkpoint_every=every)
+    assert "Join" not in ranks._jdf.queryExecution().executedPlan().toString()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    expected = {r.id: r["rank"] for r in pagerank(graph, iterations=7, checkpoint_every=1).collect()}
+    assert {r.id: r["rank"] for r in ranks.collect()} == pytest.approx(expected, abs=1e-15)
