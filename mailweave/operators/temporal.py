@@ -13,12 +13,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailweave.functions.dates import NO_MONTH
+from mailweave.session import stage_path
 
 #: Days of one stretch of time.
 STRETCH = 7
 
+#: Mails of a block of time in which intervals are counted, and how many blocks there are at most.
+BLOCK_MAILS, BLOCKS = 250_000, 256
+
 
 def _day(time: str) -> Column:
     return F.unix_date(F.col(time).cast("date"))
@@ -183,19 +188,183 @@ def interval_join(
     return placed.join(spans, keys).where(inside).select("point", "interval")
 
 
+def _micros(time: Column, kind: T.DataType) -> Column:
+    """Microseconds since 1970, of a time without zone on the wall clock."""
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(time)
+    clock = F.unix_date(time.cast("date")).cast("long") * 86400 + F.hour(time) * 3600 + F.minute(time) * 60
+    return clock * 1_000_000 + (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("long")
+
+
+def _of_micros(micros: Column, kind: T.DataType) -> Column:
+    if not isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_micros(micros)
+    day = F.floor(micros / 86_400_000_000)
+    rest = ((micros - day * 86_400_000_000).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(day.cast("int"), F.lit(0), F.lit(0), rest)
+
+
+def _counts_in_blocks(answer: T.StructType):
+    """Per query (a, b) of a block: the weights of its points with p >= a and q < b, and the first
+    mail of the block in [a, b). All queries of a block go through the bits of q together."""
+    names = answer.names
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        asked = np.asarray(table["asked"])
+        points, queries = table.filter(pa.array(~asked)), table.filter(pa.array(asked))
+        p, q, a, b = (np.asarray(t[c]) for t in (points, queries) for c in ("p", "q"))
+        order = np.argsort(p, kind="stable")
+        p, q = p[order], q[order]
+        weights = [np.asarray(points[c])[order] for c in ("mails", "again")]
+        times = p[weights[0] > 0]
+        at = np.searchsorted(times, a)
+        first = np.append(times, np.iinfo(np.int64).max)[at]
+        kinds, rank = np.unique(q, return_inverse=True)
+        below = np.searchsorted(kinds, b)
+        low, high = np.searchsorted(p, a), np.full(len(a), len(p))
+        sums = [np.zeros(len(a), np.int64) for _ in weights]
+        for bit in reversed(range(len(kinds).bit_length())):
+            one = (rank >> bit & 1).astype(bool)
+            zeros = np.append(0, np.cumsum(~one))
+            up = (below >> bit & 1).astype(bool)
+            for i, w in enumerate(weights):
+                total = np.append(0, np.cumsum(np.where(one, 0, w)))
+                sums[i] += np.where(up, total[high] - total[low], 0)
+            low, high = (np.where(up, zeros[-1] + x - zeros[x], zeros[x]) for x in (low, high))
+            order = np.concatenate((np.flatnonzero(~one), np.flatnonzero(one)))
+            rank, weights = rank[order], [w[order] for w in weights]
+        found = pa.array(first, pa.int64(), mask=first >= b)
+        return pa.table([queries["id"], *(pa.array(x, pa.int64()) for x in sums), found], names=names)
+
+    return run
+
+
+def _block_of(bounds: Sequence[int]):
+    @F.arrow_udf("int")
+    def block(times):
+        import numpy as np
+        import pyarrow as pa
+
+        return pa.array(np.searchsorted(np.array(bounds, np.int64), np.asarray(times), "right"), pa.int32())
+
+    return block
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    path = stage_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def mails_in_intervals(parsed: DataFrame, intervals: DataFrame) -> DataFrame:
     """``id, mails, senders, first_at`` of every interval ``id, start, end`` with a mail in it.
 
-    Mails are the valid ones of a known month, each once.
+    Mails are the valid ones of a known month, each once. Mails are counted and not paired: those
+    of an interval whose sender has an earlier one in it are the pairs (p, q) of instants, each a
+    sender's mail and its next one, that lie in the interval whole. Time is cut into blocks of as
+    many mails. A pair is in the block of p and in that of q; an interval asks the block of its start
+    for what starts there, that of its end for what ends there and starts in a later block than its
+    start's, and the table of blocks (at most `BLOCKS` squared, on the driver) for the rest. So both sides grow with
+    their rows alone. Intervals that share an id are one, and go through `interval_join`.
     """
-    mails = parsed.where(F.col("skip_reason").isNull() & (F.col("ym") != NO_MONTH))
-    pairs = interval_join(mails.select("src", "sent_at"), intervals, "sent_at", "start", "end")
+    valid = parsed.where(F.col("skip_reason").isNull() & (F.col("ym") != NO_MONTH))
+    mails = valid.where(F.col("sent_at").isNotNull()).select("src", "sent_at")
+    kind = mails.schema["sent_at"].dataType
+    instants = mails.groupBy("src", _stretch("sent_at").alias("stretch"), _micros(F.col("sent_at"), kind).alias("t"))
+    instants = _kept(instants.agg(F.count("*").alias("mails")), "instants")
+    known = intervals.where(_known(["start", "end"]) & (F.col("start") < F.col("end")))
+    known = known.select("id", "start", "end", F.count("*").over(Window.partitionBy("id")).alias("times"))
+    shared = known.where("times > 1").drop("times")
+    found = _counted_in_intervals(instants, known.where("times = 1"), kind)
+    if not shared.limit(1).count():
+        return found
+    pairs = interval_join(mails, shared, "sent_at", "start", "end")
     by_sender = pairs.groupBy(F.col("interval.id").alias("id"), "point.src").agg(
         F.count("*").alias("mails"), F.min("point.sent_at").alias("first_at")
     )
-    return by_sender.groupBy("id").agg(
-        F.sum("mails").alias("mails"), F.count("*").alias("senders"), F.min("first_at").alias("first_at")
+    return found.union(
+        by_sender.groupBy("id").agg(
+            F.sum("mails").alias("mails"), F.count("*").alias("senders"), F.min("first_at").alias("first_at")
+        )
+    )
+
+
+def _counted_in_intervals(instants: DataFrame, intervals: DataFrame, kind: T.DataType) -> DataFrame:
+    """`mails_in_intervals` of intervals that have an id each, from the senders' instants ``t``."""
+    spark = instants.sparkSession
+    total = instants.agg(F.coalesce(F.sum("mails"), F.lit(0))).first()[0]
+    blocks = min(BLOCKS, 1 + total // BLOCK_MAILS)
+    shares = [i / blocks for i in range(1, blocks)]
+    bounds = sorted(set(instants.agg(F.percentile_approx("t", shares)).first()[0])) if shares and total else []
+    block = _block_of(bounds)
+
+    # a sender's mails in a row: of one instant, of one stretch, and of two stretches
+    here = instants.select(F.col("t").alias("p"), F.col("t").alias("q"), "mails", (F.col("mails") - 1).alias("again"))
+    inside, across = Window.partitionBy("src", "stretch").orderBy("t"), Window.partitionBy("src").orderBy("stretch")
+    ends = instants.groupBy("src", "stretch").agg(F.min("t").alias("q"), F.max("t").alias("last"))
+    once = (F.lit(0).cast("long").alias("mails"), F.lit(1).cast("long").alias("again"))
+    nexts = instants.select(F.lag("t").over(inside).alias("p"), F.col("t").alias("q"), *once)
+    nexts = nexts.union(ends.select(F.lag("last").over(across).alias("p"), "q", *once)).where("p IS NOT NULL")
+    points = here.union(nexts).groupBy("p", "q").agg(F.sum("mails").alias("mails"), F.sum("again").alias("again"))
+    points = _kept(points.select("*", block("p").alias("bp"), block("q").alias("bq")), "points")
+
+    start, end = (_micros(F.col(c).cast(kind), kind) for c in ("start", "end"))
+    asked = intervals.select("id", start.alias("p"), end.alias("q"))
+    asked = _kept(asked.select("*", block("p").alias("bp"), block("q").alias("bq")), "asked")
+
+    def rows(table: DataFrame, side: int, where: str, asked: bool, p: Column) -> DataFrame:
+        counts = (F.lit(0).cast("long").alias(c) if asked else F.col(c) for c in ("mails", "again"))
+        name = F.col("id") if asked else F.lit(None).cast(intervals.schema["id"].dataType).alias("id")
+        return table.select(F.lit(side).alias("side"), F.col(where).alias("block"), F.lit(asked).alias("asked"),
+                            name, p.alias("p"), "q", *counts)
+
+    longer = asked.where("bq > bp")
+    later = F.get(F.lit(bounds).cast("array<long>"), F.col("bp"))
+    placed = rows(points, 0, "bp", False, F.col("p")).union(rows(points, 1, "bq", False, F.col("p")))
+    placed = placed.union(rows(asked, 0, "bp", True, F.col("p"))).union(rows(longer, 1, "bq", True, later))
+    answer = T.StructType([T.StructField("id", intervals.schema["id"].dataType)])
+    answer = answer.add("mails", "long").add("again", "long").add("first", "long")
+    parts = placed.groupBy("side", "block").applyInArrow(_counts_in_blocks(answer), answer)
+    if len(bounds) > 1:
+        between = _between_blocks(points, len(bounds) + 1)
+        rows_between = spark.createDataFrame(between, "bp int, bq int, mails long, again long, first long")
+        whole = longer.join(F.broadcast(rows_between), ["bp", "bq"])
+        parts = parts.union(whole.select("id", "mails", "again", "first"))
+    sums = parts.groupBy("id").agg(F.sum("mails").alias("mails"), F.sum("again").alias("again"), F.min("first").alias("first"))
+    return sums.where("mails > 0").select(
+        "id", "mails", (F.col("mails") - F.col("again")).alias("senders"), _of_micros(F.col("first"), kind).alias("first_at")
+    )
+
+
+def _between_blocks(points: DataFrame, blocks: int) -> list[tuple]:
+    """(bp, bq, mails, again, first) of all that lies in the blocks between any two."""
+    cells = points.groupBy("bp", "bq").agg(
+        F.sum("mails"), F.sum("again"), F.min(F.when(F.col("mails") > 0, F.col("p")))
     )
+    sums = [[[0] * (blocks + 1) for _ in range(blocks + 2)] for _ in range(2)]
+    firsts: dict[int, int] = {}
+    for bp, bq, *counts, first in cells.collect():
+        for table, n in zip(sums, counts):
+            table[bp][bq] = n
+        if first is not None:
+            firsts[bp] = first
+    # from here on a cell holds all that starts in its block or later and ends in its block or earlier
+    for table in sums:
+        for i in reversed(range(blocks)):
+            for j in range(blocks):
+                left = table[i][j - 1] - table[i + 1][j - 1] if j else 0
+                table[i][j] += table[i + 1][j] + left
+    rows = []
+    for i in range(blocks):
+        least = None
+        for j in range(i + 2, blocks):
+            if j - 1 in firsts:
+                least = firsts[j - 1] if least is None else min(least, firsts[j - 1])
+            rows.append((i, j, sums[0][i + 1][j - 1], sums[1][i + 1][j - 1], least))
+    return rows
 
 
 # ---- sessions ---------------------------------------------------------------

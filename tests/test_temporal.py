@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailweave import operators as op
+from mailweave.operators import temporal
 
 START = datetime.datetime(1999, 12, 20)
 
@@ -241,3 +242,36 @@ def test_no_mails(spark, operator):
     nothing = spark.createDataFrame([], "msg_id string, " + PARSED)
     for other in (op.reply_latency, lambda df: op.conversation_sessions(df, 60)):
         assert other(nothing).where(F.lit(True)).collect() == []
+
+
+@pytest.mark.parametrize("block_mails", [7, 250_000])
+def test_mails_in_intervals_are_counted_without_pairs(spark, monkeypatch, block_mails):
+    """Against every mail with every interval, in one block and in many."""
+    monkeypatch.setattr(temporal, "BLOCK_MAILS", block_mails)
+    monkeypatch.setattr(temporal, "interval_join", None)
+    draw = random.Random(5)
+    day = datetime.datetime(2000, 1, 1)
+    at = lambda: day + datetime.timedelta(hours=draw.randrange(300), microseconds=draw.choice([0, 0, 1, 999_999]))
+    mails = [(f"s{draw.randrange(9)}", at()) for _ in range(300)] + [("s1", day)] * 5
+    spans = [(n, *sorted((at(), at()))) for n in range(120)] + [(200, day, day), (201, day + datetime.timedelta(days=90), day), (202, day, day + datetime.timedelta(days=400)), (203, None, day)]
+    parsed = spark.createDataFrame(
+        [(*m, "2000-01", None) for m in mails] + [("s1", day, "NA", None), ("s1", day, "2000-01", "no_sender"), ("s1", None, "2000-01", None)],
+        "src string, sent_at timestamp_ntz, ym string, skip_reason string",
+    )
+    intervals = spark.createDataFrame(spans, "id long, start timestamp_ntz, end timestamp_ntz")
+    expected = set()
+    for number, start, end in spans:
+        inside = [m for m in mails if start and start <= m[1] < end]
+        if inside:
+            expected.add((number, len(inside), len({m[0] for m in inside}), min(m[1] for m in inside)))
+    assert {tuple(r) for r in op.mails_in_intervals(parsed, intervals).collect()} == expected
+
+
+def test_intervals_that_share_an_id_are_one(spark):
+    day = datetime.datetime(2000, 1, 1)
+    parsed = spark.createDataFrame(
+        [("a", day, "2000-01", None), ("b", day, "2000-01", None)], "src string, sent_at timestamp_ntz, ym string, skip_reason string"
+    )
+    spans = [(i, day, day + datetime.timedelta(days=1)) for i in (1, 1, 2, None, None)]
+    found = op.mails_in_intervals(parsed, spark.createDataFrame(spans, "id long, start timestamp_ntz, end timestamp_ntz"))
+    assert {tuple(r) for r in found.collect()} == {(1, 4, 2, day), (2, 2, 2, day), (None, 4, 2, day)}
