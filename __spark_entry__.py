@@ -267,7 +267,8 @@ def _edges_bucketed(spark, sf_dir):
     the sums nor the join moves an edge."""
     path = stage_path(spark, "bucketed")
     name = path.rpartition("/")[2].replace("-", "_")
-    edges = sources.edges_table(_edges(spark, sf_dir), name, path, buckets=8)
+    kept = _kept_edges(spark, sf_dir)
+    edges = sources.edges_table(kept, name, path, sources.bucket_count(kept))
     pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("copies"))
     sent = edges.groupBy("src").agg(F.count("*").alias("sent"))
     shares = pairs.join(sent.hint("merge"), "src")

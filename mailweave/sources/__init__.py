@@ -2,6 +2,7 @@
 
 from mailweave.sources.split_csv import read_large_dump
 from mailweave.sources.tables import (
+    bucket_count,
     count_short_lines,
     edges_table,
     read_edges,
@@ -18,6 +19,7 @@ from mailweave.sources.tables import (
 )
 
 __all__ = [
+    "bucket_count",
     "count_short_lines",
     "edges_table",
     "read_edges",

@@ -84,13 +84,23 @@ def write_edges(
         writer.partitionBy(*partition_by).format(fmt).save(path)
 
 
+#: Edges of a bucket: what one task sums, sorts and joins.
+BUCKET_EDGES = 500_000
+
+
+def bucket_count(edges: DataFrame, least: int = 8) -> int:
+    """Buckets for a table of these edges: as many as keep each to `BUCKET_EDGES` on average."""
+    return max(least, -(-edges.count() // BUCKET_EDGES))
+
+
 def edges_table(edges: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
     """Write the edges to the table ``name`` at ``path``, dealt to ``buckets`` by source and sorted
     within them, and return that table.
 
     Joins and aggregations by source then start without a shuffle, each time the table is read.
+    The edges are dealt before they are written, so a bucket is one file.
     """
-    writer = edges.select(*EDGE_COLUMNS).write.mode("overwrite").format("parquet").option("path", path)
+    writer = edges.select(*EDGE_COLUMNS).repartition(buckets, "src").write.mode("overwrite").format("parquet").option("path", path)
     writer.bucketBy(buckets, "src").sortBy("src").saveAsTable(name)
     return edges.sparkSession.table(name)
 

@@ -163,3 +163,34 @@ def test_named_folder_is_used(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     if named:
         assert folder == named
+
+
+def test_large_dump_shuffles_the_ends_of_splits_alone(spark, tmp_path):
+    mails = [(str(i), f'Subject: "{i}"\n\n' + "\n".join('x "y"' * (i % 7) for _ in range(i % 11))) for i in range(3000)]
+    df = spark.createDataFrame(mails, sources.tables.MESSAGE_SCHEMA)
+    sources.write_messages(df.coalesce(1), str(tmp_path / "dump"), "csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = sources.read_large_dump(spark, str(tmp_path / "dump"))
+        assert {tuple(r) for r in found.collect()} == set(mails)
+        assert found.count() == len(mails)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # no window or grouping stands above all lines but that which counts quotes
+    assert "monotonically" not in plan and plan.count("MapInArrow") == 2
+
+
+def test_buckets_grow_with_the_edges(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sources.tables, "BUCKET_EDGES", 10)
+    edges = spark.range(205).selectExpr("string(id) src", "'b' dst", "'to' type", "'NA' ym")
+    assert sources.bucket_count(edges) == 21
+    assert sources.bucket_count(edges.limit(3)) == 8
+    sources.edges_table(edges, "growing_buckets", str(tmp_path / "t"), 21)
+    try:
+        files = list((tmp_path / "t").glob("part-*.parquet"))
+        assert 10 < len(files) <= 21
+        assert spark.table("growing_buckets").count() == 205
+    finally:
+        spark.sql("DROP TABLE growing_buckets")
