@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweave.functions.dates import NO_MONTH
-from mailweave.operators.messages import explode_recipients, parse_messages
+from mailweave.operators.messages import parse_messages
 from mailweave.sources.tables import MESSAGE_SCHEMA, QUOTED
 
 WEEK = "7 days"
@@ -33,7 +33,9 @@ def weekly_edges(parsed: DataFrame, delay: str) -> DataFrame:
     """
     clock = F.unix_date(F.col("sent_at").cast("date")).cast("long") * 86400
     clock += F.hour("sent_at") * 3600 + F.minute("sent_at") * 60 + F.second("sent_at")
-    copies = explode_recipients(parsed).where(F.col("ym") != NO_MONTH)
+    # a filter on the month would be pushed below the parser, which then parses once more for it
+    people = F.transform(F.concat("to", "cc"), lambda dst: F.struct(dst.alias("dst")))
+    copies = parsed.select("src", F.inline(F.when(F.col("ym") != NO_MONTH, people)), "sent_at")
     timed = copies.select("src", "dst", F.timestamp_seconds(clock).alias("at")).withWatermark("at", delay)
     # one row of state for each pair of an open week, dealt by the pair; then one for each week
     pairs = timed.select("src", "dst", F.window("at", WEEK).alias("week")).dropDuplicates(["week", "src", "dst"])

@@ -92,3 +92,13 @@ def test_late_copies_are_dropped_and_counted(spark, arrive):
     assert _week(day(26)) < _week(day(29)) == _week(day(30))
     assert _weeks(spark, folder) == {_week(day(0)): 1, _week(day(26)): 1, _week(day(30)): 1}
     assert [r.late_copies for r in late_copies(spark, folder).orderBy("first_batch").collect()] == [0, 4]
+
+
+def test_the_month_of_weekly_edges_parses_no_date_again(spark):
+    from mailweave.operators import parse_messages
+    from mailweave.streaming.weekly import weekly_edges
+
+    mails = spark.createDataFrame([("1", "From: a@b.c\nTo: d@e.f")], "file string, message string")
+    plan = weekly_edges(parse_messages(mails.repartition(2)), "1 day")._jdf.queryExecution().optimizedPlan().toString()
+    # eight with a filter on the month
+    assert plan.count("Date:(") <= 5
