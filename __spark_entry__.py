@@ -65,8 +65,16 @@ def _header_fields(spark, sf_dir):
     return op.header_fields(orders_mail.messages(spark, sf_dir))
 
 
+def _kept(parsed):
+    """The parsed mails as a table: a filter on what was parsed reads that table, and does not have
+    the mails parsed again for each of its terms."""
+    path = stage_path(parsed.sparkSession, "parsed")
+    parsed.write.parquet(path)
+    return parsed.sparkSession.read.schema(parsed.schema).parquet(path)
+
+
 def _parsed(spark, sf_dir):
-    return op.parse_messages(orders_mail.messages(spark, sf_dir))
+    return _kept(op.parse_messages(orders_mail.messages(spark, sf_dir)))
 
 
 def _parsed_odd(spark, sf_dir, headers_only=False):
@@ -96,7 +104,7 @@ def _sent_local(spark, sf_dir):
 
 def _edges_headers_only(spark, sf_dir):
     messages = orders_mail.messages(spark, sf_dir)
-    return op.build_edges(op.parse_messages(messages, headers_only=True))
+    return op.build_edges(_kept(op.parse_messages(messages, headers_only=True)))
 
 
 def _tokens(spark, sf_dir):
@@ -129,20 +137,13 @@ def _recipients(spark, sf_dir):
 # ---- mails over time --------------------------------------------------------
 
 
-def _kept_parsed(spark, sf_dir):
-    """The parsed mails as a table, for queries that read them more than once."""
-    path = stage_path(spark, "parsed")
-    _parsed(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _clock(*cols):
     """Times as text, which reads the same in every engine."""
     return {c: F.col(c).cast("string") for c in cols}
 
 
 def _reply_latency(spark, sf_dir):
-    return op.reply_latency(_kept_parsed(spark, sf_dir)).withColumns(_clock("sent_at"))
+    return op.reply_latency(_parsed(spark, sf_dir)).withColumns(_clock("sent_at"))
 
 
 def _periods(spark, sf_dir):
@@ -233,7 +234,7 @@ def _json_edges(spark, sf_dir):
     path = stage_path(spark, "json")
     sources.write_messages_json(orders_mail.messages(spark, sf_dir), path)
     mails = sources.read_messages_json(spark, path)
-    return op.build_edges(op.parse_fields(op.mapped_fields(mails)))
+    return op.build_edges(_kept(op.parse_fields(op.mapped_fields(mails))))
 
 
 def _json_corrupt(spark, sf_dir):

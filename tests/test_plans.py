@@ -73,3 +73,20 @@ def test_top_k_takes_without_a_full_sort(spark):
     ranks = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "id string, rank double")
     assert "TakeOrderedAndProject(limit=1" in physical(top_k(ranks, 1))
 
+
+
+@pytest.mark.parametrize("name", ["night_ratio", "conversation_sessions", "sql_quarter_sizes", "mails_in_own_intervals"])
+def test_filters_do_not_parse_the_mails_again(spark, sf_dir, name):
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "From:(" not in plan and "collect_list" not in plan
+
+
+def test_dates_are_added_up_and_header_blocks_cut_once(spark, messages):
+    from mailweave.operators import header_fields
+
+    plan = parse_messages(messages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lpad(") == 2  # hours and minutes of one zone
+    plan = header_fields(messages, headers_only=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\r?") + plan.count(r"\r?") == 1
