@@ -119,12 +119,16 @@ def _instant(parts: Column) -> Column:
     first = F.make_date(number(3, MOST_YEAR).cast("int"), _month_number(parts[2]), F.lit(1))
     days = F.unix_date(first) - 1 + number(1)
     clock = number(4) * 3600 + number(5) * 60 + number(6) - _zone_seconds(parts[7])
-    total = days * 86400 + clock
-    seconds = F.when(F.abs(total) <= MOST_SECONDS, total)
-    day = F.floor(seconds / 86400)
-    rest = (seconds - day * 86400).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(day.cast("int"), F.lit(0), F.lit(0), rest)
+
+    def instant(total: Column) -> Column:
+        seconds = F.when(F.abs(total) <= MOST_SECONDS, total)
+        day = F.floor(seconds / 86400)
+        rest = (seconds - day * 86400).cast("decimal(18,6)")
+        return epoch + F.make_dt_interval(day.cast("int"), F.lit(0), F.lit(0), rest)
+
+    # bound as the element of an array, the sum is computed once and not for each of its uses
+    return F.get(F.transform(F.array(days * 86400 + clock), instant), F.lit(0))
 
 
 def sent_at(date: Column) -> Column:

@@ -94,9 +94,13 @@ def _token(line: Column, person: Column) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw message table ``file, message``."""
-    token = _token(F.col("line"), F.col("person"))
-    lines = F.collect_list(F.struct("line", "cc", token.alias("token")))
-    mails = _lines(spark, sf_dir).groupBy("k").agg(F.array_sort(lines).alias("all"))
+    def recipient(line: Column) -> Column:
+        return F.struct(line["line"], line["cc"], _token(line["line"], line["person"]).alias("token"))
+
+    # numbers move to their order, and become text there
+    lines = F.collect_list(F.struct("line", "cc", "person"))
+    mails = _lines(spark, sf_dir).groupBy("k").agg(lines.alias("lines"))
+    mails = mails.select("k", F.sort_array(F.transform("lines", recipient)).alias("all"))
 
     def field(name: str, cc: bool) -> Column:
         kept = F.filter("all", lambda line: line["cc"] == F.lit(cc))
