@@ -26,14 +26,21 @@ EDGE_COLUMNS = ["src", "dst", "type", "ym"]
 
 def header_fields(messages: DataFrame, headers_only: bool = False) -> DataFrame:
     """``file, is_blank, from_text, to_text, cc_text, date_text`` of every message."""
-    message = F.col("message")
+    text = F.ltrim(F.coalesce(F.col("message"), F.lit("")), F.lit(BLANKS))
+    if headers_only:
+        # cut once and not for every field
+        searched = F.split(F.concat(F.lit("\n"), text), r"\n\r?\n", 2)[0]
+        messages = messages.select("file", (text == "").alias("is_blank"), searched.alias("searched"))
+    else:
+        messages = messages.select("file", (text == "").alias("is_blank"), text.alias("searched"))
+    message = F.col("searched")
     return messages.select(
         "file",
-        (F.ltrim(F.coalesce(message, F.lit("")), F.lit(BLANKS)) == "").alias("is_blank"),
-        header(message, "From", headers_only).alias("from_text"),
-        header(message, "To", headers_only).alias("to_text"),
-        header(message, "Cc", headers_only).alias("cc_text"),
-        header(message, "Date", headers_only).alias("date_text"),
+        "is_blank",
+        header(message, "From").alias("from_text"),
+        header(message, "To").alias("to_text"),
+        header(message, "Cc").alias("cc_text"),
+        header(message, "Date").alias("date_text"),
     )
 
 
