@@ -7,30 +7,38 @@ graph at once (``by``), each slice with its own node count and dangling mass:
 
 Layout, chosen so that the edges are shuffled once and not per iteration:
 
-* the edges are checkpointed, then hash-partitioned and sorted on (slice,
-  source, part) and cached; each iteration merges the ranks into them, so what
-  moves is one row per node, not one per edge;
+* `pagerank` ranks numbers: every (slice, id) has one of 64 bits, and the ids
+  come back with the last ranks. The numbers are hashes, so that no edge is
+  joined to get them, and are drawn anew if two nodes share one;
+* the edges are hash-partitioned and sorted on (slice, source, part) and cached;
+  each iteration merges the ranks into them, so what moves is one row per node,
+  not one per edge;
 * a source with more edges than an average task holds is cut into parts by
   target, and its rank is sent to each part;
+* in a dense graph without such sources the edges are dealt to a grid of cells by
+  source and target instead: a rank is sent to every column, and a target costs
+  one row per row of the grid, where it cost nearly one per edge;
 * contributions are summed per task before they are shuffled on the target, so
   a target with very many sources costs one row per task;
 * the nodes are cached in the partitioning in which the sums arrive;
-* the ranks are cached after every iteration and checkpointed after some: the plan
-  stays short, and a lost executor costs its cached blocks and at most the
-  iterations since the last checkpoint.
+* the ranks are cached after every iteration and written as a table after some:
+  the plan stays short, and a lost executor costs its cached blocks and at most
+  the iterations since the last table.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailweave.operators.graph import node_strength
-from mailweave.session import shared_folder
+from mailweave.session import as_table, drop_table, setting, shared_folder
 
 # A source is never cut for fewer edges than this.
 MIN_PART_EDGES = 1_000_000
@@ -45,6 +53,12 @@ MAX_BROADCAST_ROWS = 100_000
 # Parts per slice where there are more slices than that.
 SLICE_PARTS = 32
 
+# Edges that are placed by their cell are joined on cell and source where they are.
+PLACED_SETTING = "spark.sql.requireAllClusterKeysForCoPartition"
+
+# Edges of a cell of the grid (about 100 MB cached), and its least cells per core.
+CELL_EDGES, CORE_CELLS = 4_000_000, 2
+
 
 class RankState(NamedTuple):
     """A graph prepared for the loop, and the ranks reached so far."""
@@ -54,9 +68,11 @@ class RankState(NamedTuple):
     ranks: DataFrame  # the nodes with their rank
     keys: list[str]  # the slice columns, none for one graph
     slices: int
+    on: list[str]  # the slice columns that an id needs to name a node
+    grid: tuple[int, int] | None = None  # rows and columns of cells, if edges have a cell
 
     def release(self) -> None:
-        """Drop the cached graph; checkpointed ranks stay readable."""
+        """Drop the cached graph; written ranks stay readable."""
         self.edges.unpersist()
         self.nodes.unpersist()
 
@@ -83,40 +99,87 @@ def start_ranks(
     A source gets one part per ``part_edges`` edges; the default is the average
     number of edges per shuffle partition.
     """
-    spark = graph.sparkSession
-    shared_folder(spark)
+    shared_folder(graph.sparkSession)
     keys = list(by)
+    edges = _weighted(graph, weight, keys).checkpoint()
+    strength = node_strength(edges, keys, "w").checkpoint()
+    return _placed(edges, strength, keys, keys, part_edges)
+
+
+def _weighted(graph: DataFrame, weight: str | None, keys: Sequence[str]) -> DataFrame:
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    edges = graph.select(*keys, "src", "dst", w.alias("w")).checkpoint()
+    return graph.select(*keys, "src", "dst", w.alias("w"))
 
-    strength = node_strength(edges, keys, "w").checkpoint()
+
+def _grid(edges: int, nodes: int, senders: int, partitions: int, cells: int) -> tuple[int, int] | None:
+    """Rows and columns of the grid that moves the fewest rows per iteration, None if that
+    is over half of what moves with all edges of a source in one of the partitions."""
+
+    def moved(rows: int, columns: int) -> float:
+        targets = nodes * rows
+        return senders * columns - targets * math.expm1(-edges / targets)
+
+    shapes = [(-(-cells // columns), columns) for columns in range(1, cells + 1)]
+    best = min(shapes, key=lambda shape: moved(*shape))
+    return best if 2 * moved(*best) < moved(partitions, 1) else None
+
+
+def _row(node: str, rows: int) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(rows))
+
+
+def _placed(
+    edges: DataFrame,
+    strength: DataFrame,
+    keys: list[str],
+    on: list[str],
+    part_edges: int | None,
+    cells: int = 0,
+) -> RankState:
+    """The state before the first iteration, from tables of edges and of their nodes; with
+    ``cells`` per core, the edges may be placed in a grid."""
+    spark = edges.sparkSession
     sizes = strength.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.sum("out_degree").alias("edges")
+        F.count("*").alias("n"),
+        F.sum("out_degree").alias("edges"),
+        F.count_if(F.col("out_degree") > 0).alias("senders"),
+        F.max("out_degree").alias("largest"),
     )
-    slices, total = sizes.agg(F.count("*"), F.coalesce(F.sum("edges"), F.lit(0))).first()
+    counts = ("edges", "n", "senders", "largest")
+    slices, total, number, senders, largest = sizes.agg(
+        F.count("*"), *(F.coalesce((F.max if c == "largest" else F.sum)(c), F.lit(0)) for c in counts)
+    ).first()
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     partitions = count if total // count >= MIN_TASK_EDGES else None
     if part_edges is None:
         part_edges = max(total // count, MIN_PART_EDGES)
+    grid = None
+    if cells and partitions and largest <= part_edges:
+        cells = max(total // CELL_EDGES, cells * spark.sparkContext.defaultParallelism)
+        grid = _grid(total, number, senders, count, cells)
     parts = F.greatest(F.ceil(F.col("out_degree") / part_edges), F.lit(1)).cast("int")
     nodes = strength.select(*keys, "id", "out_weight", parts.alias("parts"))
-    nodes = _cached(nodes, [*keys, "id"], partitions)
+    nodes = _cached(nodes, [*on, "id"], partitions)
+    start = sizes.select(*keys, (1.0 / F.col("n")).alias("rank"))
+    ranks = _with_slice(nodes, start, keys, slices)
+    sending = edges.where(F.col("w") > 0)
+    if grid:
+        rows, columns = grid
+        cell = _row("src", rows) * columns + F.pmod(F.xxhash64("dst"), F.lit(columns))
+        split = sending.select(*on, "src", cell.cast("int").alias("cell"), "dst", "w")
+        split = split.repartition(4 * rows * columns, "cell").sortWithinPartitions("cell", *on, "src")
+        split = split.persist(StorageLevel.MEMORY_AND_DISK)
+        return RankState(split, nodes, ranks, keys, slices, on, grid)
 
     # Each large source holds more than part_edges of the total, so there are
     # fewer than total / part_edges of them: by default at most one per task.
-    large = nodes.where(F.col("parts") > 1).select(*keys, F.col("id").alias("src"), "parts")
+    large = nodes.where(F.col("parts") > 1).select(*on, F.col("id").alias("src"), "parts")
     if total // part_edges <= max(count, MAX_BROADCAST_ROWS):
         large = F.broadcast(large)
     part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")), F.lit(0)).cast("int")
-    split = (
-        edges.where(F.col("w") > 0)
-        .join(large, [*keys, "src"], "left")
-        .select(*keys, "src", part.alias("part"), "dst", "w")
-    )
-    start = sizes.select(*keys, (1.0 / F.col("n")).alias("rank"))
-    ranks = _with_slice(nodes, start, keys, slices)
-    split = _cached(split, [*keys, "src", "part"], partitions)
-    return RankState(split, nodes, ranks, keys, slices)
+    split = sending.join(large, [*on, "src"], "left").select(*on, "src", part.alias("part"), "dst", "w")
+    split = _cached(split, [*on, "src", "part"], partitions)
+    return RankState(split, nodes, ranks, keys, slices, on)
 
 
 def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int) -> DataFrame:
@@ -140,7 +203,7 @@ def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int)
 
 def pagerank_step(state: RankState, damping: float = 0.85) -> RankState:
     """One iteration, as a plan; nothing runs until the ranks are used."""
-    edges, nodes, ranks, keys, slices = state
+    edges, nodes, ranks, keys, slices, on, grid = state
     sends = F.col("out_weight") > 0
     base = ranks.groupBy(*keys).agg(
         (
@@ -151,19 +214,22 @@ def pagerank_step(state: RankState, damping: float = 0.85) -> RankState:
             / F.count("*")
         ).alias("base")
     )
-    shares = ranks.where(sends).select(
-        *keys,
-        F.col("id").alias("src"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        (F.col("rank") / F.col("out_weight")).alias("share"),
-    )
-    received = (
-        edges.join(shares, [*keys, "src", "part"])
-        .groupBy(*keys, F.col("dst").alias("id"))
-        .agg(F.sum(F.col("share") * F.col("w")).alias("received"))
+    share = (F.col("rank") / F.col("out_weight")).alias("share")
+    if grid:
+        rows, columns = grid
+        first = (_row("id", rows) * columns).cast("int")
+        cells = F.explode(F.sequence(first, first + columns - 1)).alias("cell")
+        shares = ranks.where(sends).select(*on, F.col("id").alias("src"), cells, share)
+        sent = edges.join(shares.repartition(4 * rows * columns, "cell"), ["cell", *on, "src"])
+    else:
+        parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        shares = ranks.where(sends).select(*on, F.col("id").alias("src"), parts, share)
+        sent = edges.join(shares, [*on, "src", "part"])
+    received = sent.groupBy(*on, F.col("dst").alias("id")).agg(
+        F.sum(F.col("share") * F.col("w")).alias("received")
     )
     rank = F.col("base") + damping * F.coalesce("received", F.lit(0.0))
-    updated = _with_slice(nodes.join(received, [*keys, "id"], "left"), base, keys, slices)
+    updated = _with_slice(nodes.join(received, [*on, "id"], "left"), base, keys, slices)
     return state._replace(ranks=updated.select(*nodes.columns, rank.alias("rank")))
 
 
@@ -172,6 +238,29 @@ def rank_vector(state: RankState) -> DataFrame:
     return state.ranks.select(*state.keys, "id", "rank")
 
 
+def _number(keys: Sequence[str], node: str, seed: int) -> Column:
+    """A number for the node in its slice, null where one of its columns is."""
+    known = F.col(node).isNotNull()
+    for key in keys:
+        known &= F.col(key).isNotNull()
+    return F.when(known, F.xxhash64(F.lit(seed), *keys, node))
+
+
+def _numbered(graph: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``graph`` with numbers as its nodes, and the table (number, id) of distinct numbers."""
+    for seed in itertools.count():
+        numbers = {end: _number(keys, end, seed) for end in ("src", "dst")}
+        ends = [
+            F.struct(number.alias("number"), *keys, F.col(end).alias("id"))
+            for end, number in numbers.items()
+        ]
+        names = graph.select(F.inline(F.array(*ends))).where(F.col("number").isNotNull())
+        names = as_table(names.distinct().select("number", "id"), "names")
+        if not names.groupBy("number").count().where(F.col("count") > 1).limit(1).count():
+            return graph.select(*keys, *(n.alias(end) for end, n in numbers.items()), "w"), names
+        drop_table(names)
+
+
 def pagerank(
     graph: DataFrame,
     weight: str | None = None,
@@ -187,21 +276,33 @@ def pagerank(
     nobody is spread over their slice, so the ranks of a slice sum to 1. Lineage is cut
     after every ``checkpoint_every`` iterations and after the last.
     """
-    state = start_ranks(graph, weight, by, part_edges)
+    keys = list(by)
+    table = as_table(_weighted(graph, weight, keys), "graph")
+    edges, names = _numbered(table, keys)
+    strength = as_table(node_strength(edges, keys, "w"), "strength")
+    state = _placed(edges, strength, keys, [], part_edges, CORE_CELLS)
+    tables = [table, names, strength]
     cached: list[DataFrame] = []
-    for done in range(1, iterations + 1):
-        ranks = pagerank_step(state, damping).ranks
-        if done % checkpoint_every == 0 or done == iterations:
-            ranks = ranks.checkpoint()
-            while cached:
-                cached.pop().unpersist()
-        else:
-            ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(ranks)
-        state = state._replace(ranks=ranks)
-    if iterations:
-        state.release()
-    return rank_vector(state)
+    with setting(graph.sparkSession, PLACED_SETTING, "false"):
+        for done in range(1, iterations + 1):
+            ranks = pagerank_step(state, damping).ranks
+            if done % checkpoint_every == 0 and done < iterations:
+                ranks = as_table(ranks, "ranks")
+                tables.append(ranks)
+                while cached:
+                    cached.pop().unpersist()
+            else:
+                ranks = ranks.persist(StorageLevel.MEMORY_AND_DISK)
+                cached.append(ranks)
+            state = state._replace(ranks=ranks)
+        named = rank_vector(state).withColumnRenamed("id", "number").join(names, "number", "left")
+        result = as_table(named.select(*keys, "id", "rank"), "ranks")
+    for ranks in cached:
+        ranks.unpersist()
+    state.release()
+    for part in tables:
+        drop_table(part)
+    return result
 
 
 def rank_mass(ranks: DataFrame, by: Sequence[str] = ()) -> DataFrame:

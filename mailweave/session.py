@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "mailweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,3 +48,33 @@ def shared_folder(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one stage table inside the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def as_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there: its lineage is cut, and columns
+    are packed, which a checkpoint's rows are not."""
+    path = stage_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(table: DataFrame) -> None:
+    """Delete a table of `as_table` that no later plan reads."""
+    spark = table.sparkSession
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the plans that run inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -201,3 +201,75 @@ def test_lineage_is_cut_whatever_the_checkpoints(spark, every):
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
     expected = {r.id: r["rank"] for r in pagerank(graph, iterations=7, checkpoint_every=1).collect()}
     assert {r.id: r["rank"] for r in ranks.collect()} == pytest.approx(expected, abs=1e-15)
+
+
+def _in_cells(monkeypatch, grid):
+    """Have graphs placed in that grid of cells; the plans by which ranks become tables."""
+    monkeypatch.setattr(module, "MIN_TASK_EDGES", 0)
+    monkeypatch.setattr(module, "_grid", lambda *counts: grid)
+    plans, as_table = [], module.as_table
+
+    def noted(df, label):
+        if label == "ranks":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return as_table(df, label)
+
+    monkeypatch.setattr(module, "as_table", noted)
+    return plans
+
+
+@pytest.mark.parametrize("grid", [(2, 3), (1, 4), (5, 1)])
+def test_grid_of_cells_gives_the_same_ranks(spark, monkeypatch, grid):
+    _in_cells(monkeypatch, grid)
+    pairs = random_weights(5)
+    ranks = pagerank(weighted_df(spark, pairs), weight="w")
+    found = {key[0]: value for key, value in as_dict(ranks).items()}
+    assert found == pytest.approx(brute_force(pairs), abs=1e-13)
+    keyed = as_dict(pagerank(golden_edges(spark), by=["quarter"]))
+    for quarter, (_, expected) in GOLDEN.items():
+        for person, value in expected.items():
+            assert keyed[quarter, person] == pytest.approx(value, abs=1e-12)
+
+
+def test_dense_graph_moves_less_than_its_edges():
+    """A dense graph is dealt to cells, each iteration moving fewer rows than there are edges;
+    a sparse one, where that saves nothing, is not."""
+    rows, columns = module._grid(200_000_000, 7_000_000, 3_500_000, 200, 50)
+    assert rows * columns >= 50
+    assert 7_000_000 * rows + 3_500_000 * columns < 200_000_000 / 2
+    assert module._grid(160_000_000, 140_000_000, 70_000_000, 200, 50) is None
+
+
+def test_cells_are_not_moved_again(spark, monkeypatch):
+    """Shares move to the cells and sums to the targets; the edges stay where they are."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = _in_cells(monkeypatch, (2, 3))
+        pagerank(weighted_df(spark, random_weights(6)), weight="w", iterations=3, checkpoint_every=2)
+        assert re.search(r"Exchange hashpartitioning\(cell#\d+, \d+\)", plans[0])
+        assert not re.search(r"Exchange hashpartitioning\((cell#\d+, )?src#", plans[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nodes_that_share_a_number_get_others(spark, monkeypatch):
+    """Numbers are drawn anew until no two nodes have the same."""
+    number, seeds = module._number, []
+
+    def clashing(keys, node, seed):
+        seeds.append(seed)
+        return number(keys, node, seed) % 3 if seed < 2 else number(keys, node, seed)
+
+    monkeypatch.setattr(module, "_number", clashing)
+    pairs = random_weights(7)
+    found = as_dict(pagerank(weighted_df(spark, pairs), weight="w"))
+    assert {key[0]: value for key, value in found.items()} == pytest.approx(brute_force(pairs), abs=1e-13)
+    assert max(seeds) == 2
+
+
+def test_unknown_nodes_keep_their_rank(spark):
+    """A null id is a node that no edge reaches, and is no error."""
+    rows = [("a", "b"), ("b", "a"), (None, "a"), ("b", None)]
+    found = as_dict(pagerank(spark.createDataFrame(rows, "src string, dst string"), iterations=1))
+    assert found[(None,)] == pytest.approx(0.15 / 3)
+    assert found["a",] == pytest.approx(0.15 / 3 + 0.85 / 6)
