@@ -21,6 +21,15 @@ SLICE_BYTES = 1 << 22
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Stage tables in a folder of the local file system have no checksum file beside each file. Without
+#: its native library Hadoop starts a ``chmod`` for each of them, twice, and a small task writes a
+#: small file; the process started shares the executor's memory for a moment and counts as much
+#: again. Other file systems are not concerned.
+_PLAIN_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
 
 #: Bytes of an Arrow batch between the JVM and Python, unless the session sets its own: the
 #: default number of rows would be tens of MB of text for each of a task's buffers.
@@ -79,7 +88,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**_PLAIN_FILES).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
