@@ -39,7 +39,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,19 +213,20 @@ def _sized(members: DataFrame) -> DataFrame:
 
 
 def _led(members: DataFrame) -> DataFrame:
-    """Distinct (a, b) of every node with its buckets' leaders, the smaller key first."""
+    """(a, b) of every node with its buckets' leaders, the smaller key first."""
     led = members.where("leader <> key")
-    return led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")).distinct()
+    return led.select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b"))
 
 
-def _by_company(members: DataFrame, nodes: DataFrame) -> DataFrame:
+def _by_company(members: DataFrame) -> DataFrame:
     """``members`` in which the nodes with most company lead the large buckets."""
-    company = members.groupBy("key").agg(F.sum("n").alias("company"))
-    company = written(company.join(nodes.select("key", "windows"), "key"), "company")
-    large = written(members.where(F.col("n") >= LARGE).drop("leader").join(company, "key"), "large")
+    # a node has a row for each of its bands at most
+    company = F.sum("n").over(Window.partitionBy("key")).alias("company")
+    large = members.select("*", company).where(F.col("n") >= LARGE)
+    large = written(large.drop("leader"), "large")
     first = F.min(F.struct((-F.col("company")).alias("company"), "windows", "key"))
     leaders = large.groupBy("value").agg(first.alias("first")).select("value", F.col("first.key").alias("leader"))
-    led = large.drop("company", "windows").join(written(leaders, "leaders"), "value")
+    led = large.drop("company").join(written(leaders, "leaders"), "value")
     return written(members.where(F.col("n") < LARGE).unionByName(led), "members")
 
 
@@ -248,20 +249,20 @@ def _differences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a < b) of keys that meet in a bucket, from nodes (key, signature, windows),
-    and the members (value, band, key, n, leader) of the buckets, which are paired with the leader
-    alone."""
+    and the members (value, key, windows, band, n, leader) of the buckets, which are paired with the
+    leader alone."""
     bands = F.array(
         *(F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * ROWS * i, 4 * ROWS)) for i in range(BANDS))
     )
-    members = _sized(nodes.select("key", F.posexplode(bands).alias("band", "value")))
-    members = _by_company(members, nodes)
+    members = _sized(nodes.select("key", "windows", F.posexplode(bands).alias("band", "value")))
+    members = _by_company(members)
     pairs = _led(members)
     pointed = members.where((F.col("n") >= LARGE) & (F.col("leader") != F.col("key")))
     pointed = pointed.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    unlike = _with_both(written(pointed, "pointed"), nodes, "signature")
+    unlike = _with_both(pointed, nodes, "signature")
     unlike = unlike.mapInArrow(_differences, "value long, key string")
     sharing = _sized(written(unlike.distinct(), "differences"))
-    return written(pairs.union(_led(sharing)).distinct(), "candidates"), members
+    return pairs.union(_led(sharing)).distinct(), members
 
 
 def _of_like_size(one: str, other: str, threshold: float) -> Column:
@@ -335,9 +336,9 @@ def _mixed_members(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _block_pairs(members: DataFrame, size, limit: int) -> DataFrame:
-    """(band, first, second): every block of a bucket's outside nodes with every block of all its
-    nodes. Blocks hold about ``limit`` of ``size``; each pair of blocks is placed by itself."""
-    members = written(members, "apart")
+    """(value, band, first, second): every block of a bucket's outside nodes with every block of all
+    its nodes, of members that are a table. Blocks hold about ``limit`` of ``size``; each pair of
+    blocks is placed by itself."""
     count = lambda of: F.greatest(F.lit(1), F.ceil(of / limit)).cast("int")
     sizes = members.groupBy("value").agg(
         count(F.sum(F.when(F.col("outside"), size))).alias("firsts"), count(F.sum(size)).alias("seconds")
@@ -350,7 +351,7 @@ def _block_pairs(members: DataFrame, size, limit: int) -> DataFrame:
     seconds = sized.groupBy("value", place("seconds").alias("j")).agg(rows.alias("second"))
     firsts = written(firsts.select("value", "j", "band", "first"), "firsts")
     pairs = firsts.join(written(seconds, "seconds"), ["value", "j"])
-    return pairs.select("band", "first", "second")
+    return pairs.select("value", "band", "first", "second")
 
 
 def _open_pairs(band: int, first: dict, second: dict, threshold: float, least: float) -> list[tuple[int, int]]:
@@ -383,24 +384,26 @@ def _open_pairs(band: int, first: dict, second: dict, threshold: float, least: f
     return list(zip(i[order].tolist(), j[order].tolist()))
 
 
-def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, dict, dict]]:
+def _block_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, dict, dict]]:
     for part in batches:
         for k in range(part.num_rows):
             first, second = (
                 dict(zip((f.name for f in column.type.value_type), (x.to_pylist() for x in column[k].values.flatten())))
-                for column in (part.column(1), part.column(2))
+                for column in (part.column(2), part.column(3))
             )
-            yield part.column(0)[k].as_py(), first, second
+            yield part.column(0)[k].as_py(), part.column(1)[k].as_py(), first, second
 
 
 def _open_keys(threshold: float, least: float):
-    """The keys of nodes that have an open pair in their blocks."""
+    """(value, key) of nodes that have an open pair in their blocks of a bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, first, second in _block_rows(batches):
+        for value, band, first, second in _block_rows(batches):
             pairs = _open_pairs(band, first, second, threshold, least)
             keys = {first["key"][i] for i, _ in pairs} | {second["key"][j] for _, j in pairs}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(keys), pa.string())], names=["key"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([value] * len(keys), pa.int64()), pa.array(sorted(keys), pa.string())], names=["value", "key"]
+            )
 
     return run
 
@@ -409,7 +412,7 @@ def _open_links(window: int, threshold: float, least: float):
     """Pairs (a, b) of classes that a pair of their nodes links, as many as join them all."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, first, second in _block_rows(batches):
+        for _, band, first, second in _block_rows(batches):
             pairs = _open_pairs(band, first, second, threshold, least)
             places = ({i for i, _ in pairs}, {j for _, j in pairs})
             texts = dict.fromkeys(x["text"][i] for x, at in zip((first, second), places) for i in at)
@@ -437,15 +440,15 @@ def _rejoined(
     """``labels`` (key, label) with those classes as one that a pair of a bucket links."""
     kept = ["value", "band", "key", "leads", "label", "outside", "signature", "windows"]
     apart = _mixed_members(members, labels)
-    apart = apart.join(nodes.select("key", "signature", "windows"), "key").select(*kept)
+    apart = written(apart.join(nodes.select("key", "signature", "windows"), "key").select(*kept), "apart")
     blocks = _block_pairs(apart, F.lit(1), BLOCK)
-    needed = written(blocks.mapInArrow(_open_keys(threshold, least), "key string").distinct(), "needed")
-    if not needed.limit(1).count():
+    met = written(blocks.mapInArrow(_open_keys(threshold, least), "value long, key string").distinct(), "met")
+    if not met.limit(1).count():
         return labels
-    texts = _texts(rows, needed)
-    apart = _mixed_members(members.join(needed, "key", "left_semi"), labels)
-    apart = apart.join(nodes.select("key", "signature", "windows"), "key").join(texts, "key").select(*kept, "text")
-    blocks = _block_pairs(apart, F.length("text"), BLOCK_BYTES)
+    # a text goes to the buckets alone in which it has an open pair
+    texts = _texts(rows, met.select("key").distinct())
+    apart = apart.join(met, ["value", "key"], "left_semi").join(texts, "key").select(*kept, "text")
+    blocks = _block_pairs(written(apart, "apart"), F.length("text"), BLOCK_BYTES)
     links = written(blocks.mapInArrow(_open_links(window, threshold, least), "a string, b string"), "rejoining")
     joined = components(links).select(F.col("node").alias("label"), F.col("label").alias("joined"))
     labels = labels.join(joined, "label", "left")
@@ -496,7 +499,7 @@ def near_duplicates(
     links = written(both.mapInArrow(_verified(window, threshold), "a string, b string"), "verified")
     labels = nodes.select("key").join(components(links).withColumnRenamed("node", "key"), "key", "left")
     labels = written(labels.select("key", F.coalesce("label", "key").alias("label")), "labels")
-    removed(pairs, alike, needed, texts, links)
+    removed(alike, needed, texts, links)
     labels = _rejoined(rows, nodes, members, labels, window, threshold, least)
     named = written(nodes.select("key", "id").join(labels, "key"), "named")
     classes = named.groupBy("label").agg(F.min("id").alias("class_id"))

@@ -2,12 +2,13 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mailweave.llm import bagminhash, components, suffix_family
+from mailweave.llm import bagminhash, common, components, suffix_family
 
 # ---- signatures -------------------------------------------------------------
 
@@ -281,3 +282,50 @@ def test_equal_rows_and_empty_table(spark):
     found = suffix_family.without_repeats(df).collect()
     assert sorted((r.row.doc_id or 0, len(r.kept)) for r in found) == [(0, 50), (1, 0), (1, 0)]
     assert suffix_family.without_repeats(df.limit(0)).count() == 0
+
+
+# ---- stage tables -----------------------------------------------------------
+
+
+def test_classes_take_no_stage_table_twice(spark, monkeypatch):
+    """Classes that leaders leave apart are looked up once, and a text goes to those of its buckets
+    in which it has an open pair."""
+    labels, texts = [], []
+    write = bagminhash.written
+
+    def counted(df, label):
+        table = write(df, label)
+        labels.append(label)
+        if label == "apart" and "text" in df.columns:
+            texts.extend((r.value, r.key) for r in table.select("value", "key").collect())
+        if label == "met":
+            met.extend((r.value, r.key) for r in table.collect())
+        return table
+
+    met = []
+    monkeypatch.setattr(bagminhash, "written", counted)
+    rng = random.Random(13)
+    rows = []
+    for _ in range(3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        for _ in range(80):
+            words = list(base)
+            for _ in range(rng.randrange(1, 9)):
+                words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.id: r.class_id for r in bagminhash.near_duplicates(df).collect()}
+    assert found == _classes(rows)
+    assert met and sorted(texts) == sorted(met)
+    assert Counter(labels)["labelled"] == Counter(labels)["mixed"] == 1
+    assert not {"company", "pointed", "candidates"} & set(labels)
+
+
+def test_local_stage_tables_have_no_checksum_files(spark):
+    table = common.written(spark.range(100).repartition(4), "plain")
+    folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+    assert [p.name for p in folder.rglob("*") if p.suffix == ".parquet"]
+    assert not list(folder.rglob(".*.crc"))
+    assert sorted(r.id for r in table.collect()) == list(range(100))
+    common.removed(table)
+    assert not folder.exists()
