@@ -57,7 +57,7 @@ BLOCK, BLOCK_BYTES = 512, 1 << 19
 SLACK = 6.0
 REMEMBERED = 150_000
 #: Bytes of text whose points are drawn at once; drawing takes about 60 times as many.
-SIGNED_BYTES = 1 << 20
+SIGNED_BYTES = 1 << 18
 #: Bits of a key in the bitmap that spares most texts which are not needed the shuffle.
 BITMAP = 24
 

@@ -39,12 +39,12 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Give the executors this package's code, as ``--py-files`` would, once per session, and
-    bound the bytes of Arrow batches."""
+    bound the bytes of Arrow batches, unless they are."""
     context = spark.sparkContext
     if spark.conf.get(_BATCH, None) is None:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
+        spark.conf.set(_BATCH, str(batch_bytes))
     if context.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

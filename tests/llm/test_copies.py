@@ -1,13 +1,16 @@
 """Near duplicates and repeated strings against brute force."""
 
 import random
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from mailweave.llm import bagminhash, common, components, suffix_family
 
 # ---- signatures -------------------------------------------------------------
@@ -329,3 +332,29 @@ def test_local_stage_tables_have_no_checksum_files(spark):
     assert sorted(r.id for r in table.collect()) == list(range(100))
     common.removed(table)
     assert not folder.exists()
+
+
+@pytest.mark.parametrize("signed", [False, True])
+def test_tasks_take_texts_in_slices_of_little_memory(signed):
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(2000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(1500)]
+    column = pa.array(texts) if signed else pa.array([text.encode() for text in texts])
+    ids = pa.array(range(len(texts)))
+    columns = [ids, column] if signed else [ids, ids, column]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "hash", "data"][-len(columns) :])
+    assert column.nbytes > 3_000_000
+    work = bagminhash._signed(5) if signed else suffix_family._find_runs(200)
+    tracemalloc.start()
+    try:
+        assert sum(part.num_rows for part in work([batch])) >= len(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < (20_000_000 if signed else 40_000_000)
+
+
+def test_pipeline_bounds_the_bytes_of_arrow_batches(spark):
+    own = spark.newSession()
+    corpus_pipeline.personal_data(own, own.createDataFrame([(1, "a")], "doc_id long, text string"), "")
+    assert int(own.conf.get(common._BATCH)) == corpus_pipeline.BATCH_BYTES == 1 << 20
