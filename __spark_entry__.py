@@ -20,7 +20,7 @@ from mailweave import sources
 from mailweave.functions import clean_address, header_map, is_valid_address, quarter_of
 from mailweave.functions.addresses import SEPARATORS
 from mailweave.operators.features import FEATURES
-from mailweave.session import shared_folder, stage_path
+from mailweave.session import as_table, shared_folder, stage_path
 from mailweave.sources import orders_mail
 from mailweave.sql import register
 from mailweave.streaming import closed_weeks, count_new_files, late_copies, parse_new_files
@@ -442,9 +442,12 @@ def _peak_quarter(spark, sf_dir):
 
 
 def _rank_compare(spark, sf_dir):
-    edges = _kept_edges(spark, sf_dir)
-    log, freq = (op.top_k(_rank_weighted(edges, mode)) for mode in ("log", "freq"))
-    return op.rank_compare(op.top_k(_rank_basic(edges)), log, freq)
+    edges, names = op.number_nodes(_kept_edges(spark, sf_dir))
+    graphs = {"basic": (op.simple_graph(edges), None)}
+    graphs |= {mode: (op.edge_weights(edges, mode), "w") for mode in ("log", "freq")}
+    ranks = as_table(op.with_names(op.pageranks(graphs), names), "ranks")
+    tops = (op.top_k(ranks.select("id", F.col(name).alias("rank"))) for name in graphs)
+    return op.rank_compare(*tops)
 
 
 def _global_vs_quarterly(spark, sf_dir):

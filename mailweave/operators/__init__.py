@@ -13,6 +13,7 @@ from mailweave.operators.graph import (
     dangling_nodes,
     edge_weights,
     node_strength,
+    node_strengths,
     nodes,
     out_strength,
     quarter_sizes,
@@ -49,11 +50,14 @@ from mailweave.operators.messages import (
 )
 from mailweave.operators.pagerank import (
     check_mass,
+    number_nodes,
     pagerank,
     pagerank_step,
+    pageranks,
     rank_mass,
     rank_vector,
     start_ranks,
+    with_names,
 )
 from mailweave.operators.ranking import (
     global_vs_quarterly,
@@ -120,10 +124,13 @@ __all__ = [
     "mapped_fields",
     "night_ratio",
     "node_strength",
+    "node_strengths",
     "nodes",
+    "number_nodes",
     "out_strength",
     "pagerank",
     "pagerank_step",
+    "pageranks",
     "parse_fields",
     "parse_messages",
     "peak_quarter",
@@ -151,5 +158,6 @@ __all__ = [
     "traffic_cells",
     "traffic_cube",
     "update_centroids",
+    "with_names",
     "with_quarter",
 ]

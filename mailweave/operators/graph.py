@@ -6,7 +6,7 @@ mailbox with millions of correspondents is many small rows and not a giant one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,35 +44,39 @@ def edge_weights(
     return pairs if mode == "freq" else pairs.withColumn("w", 1.0 + F.log1p("w"))
 
 
-def _ends(graph: DataFrame, by: Sequence[str], weight: str | None) -> DataFrame:
-    """One row per end of an edge, the source end carrying degree and weight."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+def _ends(graph: DataFrame, by: Sequence[str], weights: Mapping[str, str | None]) -> DataFrame:
+    """One row per end of an edge, the source end carrying degree and weights."""
+    own = {name: F.col(w).cast("double") if w else F.lit(1.0) for name, w in weights.items()}
 
-    def end(node: str, degree: int, strength: Column) -> Column:
+    def end(node: str, degree: int, strength: Mapping[str, Column]) -> Column:
         return F.struct(
             F.col(node).alias("id"),
             F.lit(degree).cast("bigint").alias("out_degree"),
-            strength.alias("out_weight"),
+            *(value.alias(name) for name, value in strength.items()),
         )
 
-    return graph.select(
-        *by, F.inline(F.array(end("src", 1, w), end("dst", 0, F.lit(0.0))))
-    )
+    none = dict.fromkeys(weights, F.lit(0.0))
+    return graph.select(*by, F.inline(F.array(end("src", 1, own), end("dst", 0, none))))
 
 
-def node_strength(
-    graph: DataFrame, by: Sequence[str] = (), weight: str | None = None
+def node_strengths(
+    graph: DataFrame, by: Sequence[str], weights: Mapping[str, str | None]
 ) -> DataFrame:
-    """Every node with ``out_degree`` and ``out_weight`` (0 where it never sends).
+    """Every node with ``out_degree`` and, by the names given, the sums of weight columns that it
+    sends (0 where it never sends); a weight of None is 1 for every edge.
 
     One pass, one shuffle on the node; sums are combined before it, so a hub
     costs each task one row.
     """
-    return (
-        _ends(graph, by, weight)
-        .groupBy(*by, "id")
-        .agg(F.sum("out_degree").alias("out_degree"), F.sum("out_weight").alias("out_weight"))
-    )
+    sums = [F.sum(name).alias(name) for name in ("out_degree", *weights)]
+    return _ends(graph, by, weights).groupBy(*by, "id").agg(*sums)
+
+
+def node_strength(
+    graph: DataFrame, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
+    """Every node with ``out_degree`` and ``out_weight`` (0 where it never sends)."""
+    return node_strengths(graph, by, {"out_weight": weight})
 
 
 def nodes(graph: DataFrame, by: Sequence[str] = ()) -> DataFrame:

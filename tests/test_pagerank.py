@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from mailweave.operators import (
     check_mass,
     edge_weights,
+    number_nodes,
     pagerank,
+    pageranks,
     rank_mass,
     simple_graph,
     top_k,
+    with_names,
 )
 
 # The package exports the function under the name of its module.
@@ -273,3 +276,124 @@ def test_unknown_nodes_keep_their_rank(spark):
     found = as_dict(pagerank(spark.createDataFrame(rows, "src string, dst string"), iterations=1))
     assert found[(None,)] == pytest.approx(0.15 / 3)
     assert found["a",] == pytest.approx(0.15 / 3 + 0.85 / 6)
+
+
+def silent_weights(seed):
+    """A graph in which most nodes send to nobody, one source alone among them."""
+    rng = random.Random(seed)
+    people = [f"p{i}" for i in range(60)]
+    pairs = {(rng.choice(people[:12]), rng.choice(people)): rng.randint(1, 9) / 2 for _ in range(150)}
+    return {p: w for p, w in pairs.items() if p[0] != p[1]} | {("alone", "p59"): 1.0}
+
+
+@pytest.mark.parametrize(("part_edges", "placed"), [(None, False), (5, True)])
+def test_silent_nodes_apart_give_the_same_ranks(spark, monkeypatch, part_edges, placed):
+    """The loop keeps senders only, and all nodes have their rank at the end, in slices too."""
+    states, heard = [], module._placed
+
+    def noted(*args):
+        states.append(heard(*args))
+        return states[-1]
+
+    monkeypatch.setattr(module, "_placed", noted)
+    if placed:
+        monkeypatch.setattr(module, "MIN_TASK_EDGES", 0)
+        monkeypatch.setattr(module, "_grid", lambda *counts: None)
+    slices = {"a": silent_weights(1), "b": silent_weights(2), "c": {("x", "y"): 0.0}}
+    rows = [(q, s, d, w) for q, pairs in slices.items() for (s, d), w in pairs.items()]
+    graph = spark.createDataFrame(rows, "quarter string, src string, dst string, w double")
+    for iterations in (1, 4):
+        found = as_dict(pagerank(graph, "w", ["quarter"], iterations=iterations, part_edges=part_edges))
+        for quarter in "ab":
+            expected = brute_force(slices[quarter], iterations)
+            assert {k[1]: v for k, v in found.items() if k[0] == quarter} == pytest.approx(expected, abs=1e-13)
+        assert found["c", "x"] == found["c", "y"] == pytest.approx(0.5)
+        alone = pagerank(graph.where("quarter = 'a'").drop("quarter"), "w", iterations=iterations)
+        assert {k[0]: v for k, v in as_dict(alone).items()} == pytest.approx(
+            brute_force(slices["a"], iterations), abs=1e-13
+        )
+    for state in states:
+        assert set(state.ranks.columns) >= {"lost", "held"}
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "as_table", lambda df, label: df.checkpoint())
+        patch.setattr(module, "drop_table", lambda table: None)
+        state = heard(*_numbers_of(graph), ["quarter"], [], None, 2)
+        senders = graph.where("w > 0").select("quarter", "src").distinct().count()
+        assert module.pagerank_step(state).ranks.count() == state.nodes.count() == senders
+        state.release()
+
+
+def _numbers_of(graph):
+    """Edges and strengths as `_placed` takes them."""
+    numbered = graph.withColumns({end: F.xxhash64("quarter", end) for end in ("src", "dst")})
+    return numbered, module.node_strength(numbered, ["quarter"], "w")
+
+
+def test_unknown_nodes_among_silent_ones(spark):
+    """Edges from and to null carry nothing, whether silent nodes are apart or not."""
+    rows = [("a", "b"), (None, "b"), ("a", None), ("a", "c"), ("a", "d"), ("b", "a")]
+    graph = spark.createDataFrame(rows, "src string, dst string")
+    found = as_dict(pagerank(graph, iterations=2))
+    first = {None: 0.0, "a": 0.2, "b": 0.05, "c": 0.05, "d": 0.05}
+    first = {k: (0.15 + 0.85 * 0.4) / 5 + 0.85 * v for k, v in first.items()}
+    base = (0.15 + 0.85 * (first["c"] + first["d"])) / 5
+    sent = first["a"] / 4
+    expected = {None: 0.0, "a": first["b"], "b": sent, "c": sent, "d": sent}
+    assert found == pytest.approx({(k,): base + 0.85 * v for k, v in expected.items()}, abs=1e-15)
+
+
+@pytest.mark.parametrize("grid", [None, (2, 3)])
+def test_graphs_ranked_in_one_loop(spark, monkeypatch, grid):
+    """One loop over graphs of the same pairs finds what each graph's own finds."""
+    if grid:
+        _in_cells(monkeypatch, grid)
+    mails = [(s, d, kind, "NA") for n, (s, d) in enumerate(random_weights(8)) for kind in ("to", "cc")[: 1 + n % 2]]
+    edges = spark.createDataFrame(mails, "src string, dst string, type string, ym string")
+    graphs = {"basic": (simple_graph(edges), None)}
+    graphs |= {mode: (edge_weights(edges, mode), "w") for mode in ("log", "freq")}
+    ranks = pageranks(graphs)
+    assert ranks.columns == ["id", "basic", "log", "freq"]
+    for name, (graph, weight) in graphs.items():
+        pairs = {(r.src, r.dst): r[weight] if weight else 1.0 for r in graph.collect()}
+        found = {r.id: r[name] for r in ranks.collect()}
+        assert found == pytest.approx(brute_force(pairs), abs=1e-13)
+
+
+def test_weights_of_one_graph_may_be_missing(spark):
+    """An edge that weighs nothing in one graph carries nothing there, and its nodes are known."""
+    weights = [random_weights(9), {p: w * (n % 3) for n, (p, w) in enumerate(random_weights(9).items())}]
+    graphs = {name: (weighted_df(spark, pairs), "w") for name, pairs in zip(("full", "part"), weights, strict=True)}
+    ranks = pageranks(graphs).collect()
+    for name, (graph, _) in graphs.items():
+        own = {k[0]: v for k, v in as_dict(pagerank(graph, "w")).items()}
+        assert {r.id: r[name] for r in ranks} == pytest.approx(own, abs=1e-14)
+
+
+def test_graphs_of_other_pairs_are_an_error(spark):
+    one, two = ({("a", "b"): 1.0}, {("a", "b"): 1.0, ("b", "a"): 1.0})
+    with pytest.raises(ValueError, match="1 pairs"):
+        pageranks({"one": (weighted_df(spark, one), "w"), "two": (weighted_df(spark, two), None)})
+
+
+def test_numbered_edges_keep_their_names(spark, monkeypatch):
+    """Numbers are drawn anew on a clash, ranks come back by id, and unknown ids stay unknown."""
+    number, seeds = module._number, []
+
+    def clashing(keys, node, seed):
+        seeds.append(seed)
+        return number(keys, node, seed) % 3 if seed < 2 else number(keys, node, seed)
+
+    monkeypatch.setattr(module, "_number", clashing)
+    pairs = random_weights(10)
+    edges, names = number_nodes(weighted_df(spark, pairs))
+    assert max(seeds) == 2
+    found = {k[0]: v for k, v in as_dict(with_names(pagerank(edges, "w"), names)).items()}
+    assert max(seeds) == 2  # numbers are not numbered again
+    assert found == pytest.approx(brute_force(pairs), abs=1e-13)
+    some = with_names(pagerank(edges, "w"), names.where("id = 'p1'")).collect()
+    assert len(some) == len(found) and {r.id for r in some} == {None, "p1"}
+
+
+def test_every_cell_is_a_partition_of_its_own(spark):
+    cells = spark.createDataFrame([(n,) for n in module._labels(spark, 13)], "cell int").repartition(13, "cell")
+    assert cells.select(F.spark_partition_id()).distinct().count() == 13
