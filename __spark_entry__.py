@@ -419,9 +419,10 @@ def _tracked_seed(spark, sf_dir):
 
 
 def _tracked(spark, sf_dir):
-    edges = _kept_edges(spark, sf_dir)
-    seeds = op.seed_emails(op.top_k(_rank_basic(edges)), 5)
-    return op.track(_rank_quarterly(edges), seeds), seeds
+    edges, names = op.number_nodes(_kept_edges(spark, sf_dir))
+    seeds = op.seed_emails(op.top_k(op.with_names(_rank_basic(edges), names)), 5)
+    tracked = F.broadcast(names.where(F.col("id").isin(seeds)))
+    return op.track(op.with_names(_rank_quarterly(edges), tracked), seeds), seeds
 
 
 def _tracked_series(spark, sf_dir):
