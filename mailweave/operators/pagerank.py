@@ -91,13 +91,12 @@ class RankState(NamedTuple):
     partitions: int | None = None  # of placed edges and nodes
     every: DataFrame | None = None  # with silent nodes apart: their edges too
     sizes: DataFrame | None = None  # and slice…, n, silent
+    tables: Sequence[DataFrame] = ()  # to drop when all is done
 
     def release(self) -> None:
         """Drop the cached graph; written ranks stay readable."""
         self.edges.unpersist()
         self.nodes.unpersist()
-        if self.every is not None:
-            self.every.unpersist()
 
 
 def _cached(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
@@ -239,28 +238,31 @@ def _placed(
     if total // part_edges <= max(count, MAX_BROADCAST_ROWS):
         large = F.broadcast(large)
     part = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("parts")), F.lit(0)).cast("int")
-    split = sending.join(large, [*on, "src"], "left")
-    split = split.select(*on, "src", part.alias("part"), "dst", *weights)
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        return df.join(large, [*on, "src"], "left").select(*on, "src", part.alias("part"), "dst", *weights)
+
     if not apart:
-        split = _cached(split, [*on, "src", "part"], partitions)
+        split = _cached(in_parts(sending), [*on, "src", "part"], partitions)
         return RankState(split, nodes, ranks, keys, slices, on, None, (), tags, partitions)
 
     heard = nodes.where(F.coalesce(F.col("out_weight") > 0, F.lit(True)))
     marks = heard.select(*on, F.col("id").alias("dst"), F.lit(True).alias("heard"))
-    split = split.join(marks, [*on, "dst"], "left").select(*split.columns, "heard")
-    split = _cached(split, [*on, "src", "part"], partitions)
-    to_silent = split.where("heard IS NULL AND dst IS NOT NULL")
+    marked = sending.join(marks, [*on, "dst"], "left").select(*on, "src", "dst", *weights, "heard")
+    marked = as_table(marked, "marked")
+    to_silent = marked.where("heard IS NULL AND dst IS NOT NULL")
     w = F.col("w") if weights else F.lit(1.0)
     lost = to_silent.groupBy(*on, F.col("src").alias("id")).agg(F.sum(w).alias("lost"))
     nodes = heard.join(lost, [*on, "id"], "left")
-    nodes = nodes.select(*heard.columns, F.coalesce("lost", F.lit(0.0)).alias("lost"))
-    nodes = _cached(nodes, [*on, "id"], partitions)
-    inner = split.where("heard").drop("heard").persist(StorageLevel.MEMORY_AND_DISK)
+    heard = as_table(nodes.select(*heard.columns, F.coalesce("lost", F.lit(0.0)).alias("lost")), "heard")
+    nodes = _cached(heard, [*on, "id"], partitions)
+    inner = _cached(in_parts(marked.where("heard")), [*on, "src", "part"], partitions)
     sizes = as_table(sizes.select(*keys, "n", "silent"), "sizes")
     start = F.struct((1.0 / F.col("n")).alias("rank"), (F.col("silent") / F.col("n")).alias("held"))
     ranks = _with_slice(nodes, sizes.select(*keys, start.alias("start")), keys, slices)
     ranks = ranks.select(*nodes.columns, "start.rank", "start.held")
-    return RankState(inner, nodes, ranks, keys, slices, on, None, (), tags, partitions, split, sizes)
+    every, tables = in_parts(marked), (marked, heard, sizes)
+    return RankState(inner, nodes, ranks, keys, slices, on, None, (), tags, partitions, every, sizes, tables)
 
 
 def _with_slice(df: DataFrame, totals: DataFrame, keys: list[str], slices: int) -> DataFrame:
@@ -434,7 +436,7 @@ def pageranks(
     edges = table.select(*keys, *(number(end).alias(end) for end in ("src", "dst")), *weights)
     nodes = strength.withColumns({"id": number("id"), "name": F.col("id")})
     state = _placed(edges, nodes.drop("name"), keys, [], part_edges, CORE_CELLS, tags)
-    tables = [table, strength, *([state.sizes] if state.sizes is not None else [])]
+    tables = [table, strength, *state.tables]
     cached: list[DataFrame] = []
     spark = table.sparkSession
     partitions = state.partitions or int(spark.conf.get(PARTITIONS_SETTING))
